@@ -173,6 +173,30 @@ UNION SELECT DISTINCT 'dm_related_dx', patient_id FROM dx
 """)
 
 
+_EMB = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings),
+c AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cluster, x AS cx
+      FROM e ORDER BY vec_id LIMIT 3),
+d AS (
+  SELECT e.vec_id, c.cluster,
+         list_reduce(list_transform(range(1, len(e.x) + 1),
+                                    lambda i: (e.x[i] - c.cx[i]) * (e.x[i] - c.cx[i])),
+                     lambda a, b: a + b, 0.0) AS dist
+  FROM e, c
+),
+a AS (
+  SELECT vec_id, cluster FROM (
+    SELECT vec_id, cluster,
+           row_number() OVER (PARTITION BY vec_id ORDER BY dist, cluster) AS rn FROM d)
+  WHERE rn = 1
+),
+u AS (SELECT vec_id, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM e),
+agg AS (
+  SELECT a.cluster, u.i, sum(u.v) AS s, count(*) AS n
+  FROM a JOIN u ON a.vec_id = u.vec_id GROUP BY a.cluster, u.i
+)
+"""
+
 ORACLE: dict[str, str] = {
     "lab_extract": _q("SELECT patient_id, ts_ms, test_name, value FROM lab"),
     "med_extract": _q("SELECT patient_id, ts_ms, medicine FROM med"),
@@ -234,4 +258,35 @@ SELECT CAST(sum(total) AS BIGINT) AS n, round(sum(best) / sum(total), 6) AS puri
     SELECT c.c_mktsegment AS cluster, l.label, count(*) AS n
     FROM customer c JOIN labels l ON CAST(c.c_custkey AS VARCHAR) = l.patient_id
     GROUP BY 1, 2) GROUP BY cluster)"""),
+    "csv_lab_roundtrip": _q("SELECT patient_id, ts_ms, test_name, value FROM lab"),
+    "csv_dx_roundtrip": _q("SELECT patient_id, ts_ms, code FROM dx"),
+    "term_set": _q("SELECT DISTINCT medicine AS term FROM med"),
+    "label_sink_roundtrip": _q("SELECT patient_id, label FROM labels"),
+    "feature_sink_roundtrip": _q(
+        "SELECT patient_id, feature, round(value, 6) AS value FROM tuples"
+    ),
+    "feature_moments": _q(""", np AS (SELECT count(DISTINCT patient_id) AS n FROM mlong),
+mm AS (SELECT idx, sum(value) / (SELECT n FROM np) AS mean, count(*) AS nnz
+       FROM mlong GROUP BY idx),
+ss AS (SELECT m.idx, m.mean, m.nnz, sum((l.value - m.mean) * (l.value - m.mean)) AS ss
+       FROM mlong l JOIN mm m ON l.idx = m.idx GROUP BY m.idx, m.mean, m.nnz)
+SELECT idx, CAST(mean AS FLOAT) AS mean,
+       CAST(sqrt((ss + ((SELECT n FROM np) - nnz) * mean * mean) / ((SELECT n FROM np) - 1.0))
+            AS FLOAT) AS std
+FROM ss"""),
+    "nearest_centre": _EMB + "SELECT vec_id, cluster FROM a",
+    "kmeans_one_step": _EMB + (
+        "SELECT cluster, CAST(i - 1 AS INTEGER) AS dim, round(s / n, 6) AS value FROM agg"
+    ),
+    "online_kmeans_update": _EMB + """
+SELECT agg.cluster, CAST(agg.i - 1 AS INTEGER) AS dim,
+       round(c.cx[agg.i] * (1.0 - agg.n / (0.5 + agg.n))
+             + agg.s * ((agg.n / (0.5 + agg.n)) / agg.n), 6) AS value,
+       0.5 + agg.n AS weight
+FROM agg JOIN c ON agg.cluster = c.cluster""",
+    "embedding_purity": _EMB + """
+SELECT CAST(sum(total) AS BIGINT) AS n, round(sum(best) / sum(total), 6) AS purity FROM (
+  SELECT cluster, max(n) AS best, sum(n) AS total FROM (
+    SELECT a.cluster, e.label, count(*) AS n FROM a JOIN e ON a.vec_id = e.vec_id
+    GROUP BY 1, 2) GROUP BY cluster)""",
 }

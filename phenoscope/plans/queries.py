@@ -284,3 +284,184 @@ def purity_vs_phenotype(spark, sf_dir):
     labels = phenotype_labels(spark, sf_dir)
     p = metrics.purity(metrics.assignments_with_labels(c, labels), "cluster", "label")
     return p.select("n", _r("purity").alias("purity"))
+
+
+# --- sources and sinks round trips (S1-S4, S6, S7) --------------------------
+
+def _staged_csv(spark, sf_dir, stems):
+    """Write raw extracts as headed CSV under the shared scratch folder and read
+    them back as views named after their paths."""
+    from ..session import scratch_path
+    from ..sources.csv import RAW_COLUMNS, read_csv_table, write_csv_table
+
+    raw = load_events(spark, sf_dir).raw
+    root = scratch_path(spark, "raw-csv")
+    out = {}
+    for stem in stems:
+        path = f"{root}/{stem}.csv"
+        write_csv_table(raw[stem], path)
+        out[stem] = read_csv_table(spark, path, columns=RAW_COLUMNS[stem])
+    return out
+
+
+@query
+def csv_lab_roundtrip(spark, sf_dir):
+    from ..operators.extract import extract_labs
+
+    _staged_csv(spark, sf_dir, ["lab_results_INPUT"])
+    return with_epoch_ms(extract_labs(spark.table("lab_results_INPUT")))
+
+
+@query
+def csv_dx_roundtrip(spark, sf_dir):
+    from ..operators.extract import extract_diagnoses
+
+    _staged_csv(spark, sf_dir, ["encounter_INPUT", "encounter_dx_INPUT"])
+    return with_epoch_ms(
+        extract_diagnoses(spark.table("encounter_INPUT"), spark.table("encounter_dx_INPUT"))
+    )
+
+
+@query
+def term_set(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.terms import read_term_set, write_term_set
+
+    raw = load_events(spark, sf_dir).raw["medication_orders_INPUT"]
+    path = scratch_path(spark, "terms")
+    write_term_set(raw.select("Drug_Name").distinct(), "Drug_Name", path)
+    return read_term_set(spark, path)
+
+
+@query
+def label_sink_roundtrip(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.sinks import read_labels, write_labels
+
+    path = scratch_path(spark, "labels")
+    write_labels(phenotype_labels(spark, sf_dir), path)
+    return read_labels(spark, path)
+
+
+@query
+def feature_sink_roundtrip(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.sinks import read_features, write_features
+
+    path = scratch_path(spark, "features")
+    write_features(_all_tuples(spark, sf_dir), path)
+    return _tuples_out(read_features(spark, path))
+
+
+# --- scaler moments (A11) ---------------------------------------------------
+
+@query
+def feature_moments(spark, sf_dir):
+    from .learn import feature_moments as moments
+
+    t = _all_tuples(spark, sf_dir)
+    long = features.feature_matrix_long(t, features.feature_dictionary(t))
+    n_rows = long.select("patient_id").distinct().count()
+    m = moments(long, n_rows)
+    # single precision: the two engines sum in different orders
+    return m.select("idx", F.col("mean").cast("float").alias("mean"),
+                    F.col("std").cast("float").alias("std"))
+
+
+# --- clustering on embeddings with fixed centres (M8 step, M10, M11) --------
+
+def _embeddings(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return e.select("vec_id", F.col("embedding").cast("array<double>").alias("features"),
+                    "label")
+
+
+def _fixed_centres(e, k=3):
+    """The k vectors with the lowest ids (a top-k; only k rows reach the driver)."""
+    import numpy as np
+
+    rows = e.orderBy("vec_id").limit(k).select("features").collect()
+    return np.array([r.features for r in rows], dtype=float)
+
+
+@query
+def nearest_centre(spark, sf_dir):
+    from ..streaming.online_kmeans import nearest_centre as assign
+
+    e = _embeddings(spark, sf_dir)
+    return assign(e, _fixed_centres(e)).select("vec_id", "cluster")
+
+
+@query
+def kmeans_one_step(spark, sf_dir):
+    from .learn import kmeans_step
+
+    e = _embeddings(spark, sf_dir)
+    c = kmeans_step(e, _fixed_centres(e))
+    return c.select("cluster", F.posexplode("centre").alias("dim", "value")).select(
+        "cluster", "dim", _r("value").alias("value")
+    )
+
+
+@query
+def online_kmeans_update(spark, sf_dir):
+    from ..streaming.online_kmeans import OnlineKMeans
+
+    e = _embeddings(spark, sf_dir)
+    centres = _fixed_centres(e)
+    m = OnlineKMeans(3, decay=1.0, time_unit="batches").set_centres(centres, [0.5] * 3).update(e)
+    rows = [
+        (k, j, float(round(m.state.centres[k][j], ROUND)), float(m.state.weights[k]))
+        for k in range(3) for j in range(centres.shape[1])
+    ]
+    return spark.createDataFrame(rows, "cluster int, dim int, value double, weight double")
+
+
+@query
+def embedding_purity(spark, sf_dir):
+    from ..streaming.online_kmeans import nearest_centre as assign
+
+    e = _embeddings(spark, sf_dir)
+    p = metrics.purity(assign(e, _fixed_centres(e)), "cluster", "label")
+    return p.select("n", _r("purity").alias("purity"))
+
+
+# --- patient clustering (M4-M9, M13, M14, S8): rows-only checks -------------
+
+def _experiment(spark, sf_dir, algorithms):
+    from .learn import ClusteringExperiment, patient_matrix
+
+    vectors, width = patient_matrix(_all_tuples(spark, sf_dir))
+    return ClusteringExperiment().fit(vectors, width, algorithms)
+
+
+@query
+def pca_projection(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    exp = _experiment(spark, sf_dir, ())
+    return exp.projected.select("patient_id", vector_to_array("pca").alias("pca"))
+
+
+@query
+def kmeans_assign(spark, sf_dir):
+    return _experiment(spark, sf_dir, ("kmeans",)).assignments("kmeans")
+
+
+@query
+def gmm_assign(spark, sf_dir):
+    return _experiment(spark, sf_dir, ("gmm",)).assignments("gmm")
+
+
+@query
+def online_kmeans_assign(spark, sf_dir):
+    return _experiment(spark, sf_dir, ("streaming_kmeans",)).assignments("streaming_kmeans")
+
+
+@query
+def experiment_report(spark, sf_dir):
+    from .learn import experiment_report as report
+
+    ev = load_events(spark, sf_dir)
+    labels = cohort.phenotype_labels(ev.dx, ev.med, ev.lab)
+    return report(ev.dx, ev.med, ev.lab, labels)
