@@ -140,15 +140,17 @@ def patient_vectors(long: DataFrame, size: int) -> DataFrame:
     Grouping and sorting run in Spark; the only Python is building each
     patient's vector object from its (already sorted) index/value arrays.
     """
-    e = _entries(long)
     idx = F.col("entries.idx")
-    vec = _sparse_vector(F.lit(size), idx, F.col("entries.value"))
-    return e.select(
-        "patient_id",
+    # The same feature name from two event types gives a patient one index
+    # twice; fail in Spark (a filter runs before the Python step) instead of
+    # building an invalid vector
+    e = _entries(long).where(
         F.when(F.size(F.array_distinct(idx)) != F.size(idx),
                F.raise_error(F.lit("duplicate feature index for a patient")))
-        .otherwise(vec).alias("features"),
+        .otherwise(F.lit(True))
     )
+    vec = _sparse_vector(F.lit(size), idx, F.col("entries.value"))
+    return e.select("patient_id", vec.alias("features"))
 
 
 def dense_patient_vectors(long: DataFrame, size: int) -> DataFrame:
