@@ -196,27 +196,31 @@ def code_set_members(dx: DataFrame, med: DataFrame, criteria: DataFrame) -> Data
     """S5 + P9 + P10: distinct ``(set_name, patient_id)`` for every code set a
     patient's events match, through the criteria dimension.
 
-    The dimension is fixed and small, so it is broadcast.  Exact terms are one
-    equi-join on ``(source, name)``; prefix terms are an equi-join on the
-    name's leading characters, one join per distinct prefix length (the only
-    prefix today is ``250``), never a non-equi join.
+    One scan of the events and one equi-join: each event carries its lookup
+    keys, the whole name (for ``exact`` terms) and its leading characters for
+    each prefix length present in the criteria (for ``prefix`` terms; the
+    only one today is ``250``), so no non-equi join is needed.  The dimension
+    is fixed and small, so it is broadcast; the final distinct is a partial
+    aggregate per task before its shuffle.
     """
+    # prefix lengths of a fixed code-set profile: a handful of values at most
+    lengths = sorted(
+        r[0] for r in criteria.where(F.col("match_kind") == "prefix")
+        .select(F.length("term")).distinct().collect()
+    )
     events = bag_union(
         dx.select("patient_id", F.lit("dx").alias("source"), F.col("code").alias("name")),
         med.select("patient_id", F.lit("med").alias("source"), F.col("medicine").alias("name")),
     )
-    exact = criteria.where(F.col("match_kind") == "exact").select("set_name", "source", "term")
-    hits = [
-        events.join(F.broadcast(exact), (events.source == exact.source)
-                    & (events.name == exact.term), "inner").select("set_name", "patient_id")
+    keys = [F.struct(F.lit("exact").alias("kind"), F.col("name").alias("key"))]
+    keys += [
+        F.struct(F.lit("prefix").alias("kind"), F.substring("name", 1, n).alias("key"))
+        for n in lengths
     ]
-    prefixes = criteria.where(F.col("match_kind") == "prefix")
-    # prefix lengths of a fixed code-set profile: a handful of values at most
-    for (length,) in prefixes.select(F.length("term")).distinct().collect():
-        pref = prefixes.where(F.length("term") == length).select("set_name", "source", "term")
-        ev = events.withColumn("_lead", F.substring("name", 1, length))
-        hits.append(
-            ev.join(F.broadcast(pref), (ev.source == pref.source) & (ev._lead == pref.term),
-                    "inner").select("set_name", "patient_id")
-        )
-    return bag_union(*hits).distinct()
+    keyed = events.select("patient_id", "source", F.explode(F.array(*keys)).alias("k")).select(
+        "patient_id", "source", F.col("k.kind").alias("match_kind"), F.col("k.key").alias("term")
+    )
+    crit = F.broadcast(criteria.select("set_name", "source", "match_kind", "term"))
+    return keyed.join(crit, ["source", "match_kind", "term"], "inner").select(
+        "set_name", "patient_id"
+    ).distinct()

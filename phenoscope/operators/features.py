@@ -120,7 +120,7 @@ def feature_matrix_long(tuples: DataFrame, dictionary: DataFrame) -> DataFrame:
     return tuples.join(d, "feature", "inner").select("patient_id", "idx", "value")
 
 
-def _entries(long: DataFrame) -> DataFrame:
+def patient_entries(long: DataFrame) -> DataFrame:
     """A5: a patient's ``(idx, value)`` pairs, sorted by index.  The list is
     bounded by the vocabulary (tuples are already one row per feature)."""
     return long.groupBy("patient_id").agg(
@@ -144,7 +144,7 @@ def patient_vectors(long: DataFrame, size: int) -> DataFrame:
     # The same feature name from two event types gives a patient one index
     # twice; fail in Spark (a filter runs before the Python step) instead of
     # building an invalid vector
-    e = _entries(long).where(
+    e = patient_entries(long).where(
         F.when(F.size(F.array_distinct(idx)) != F.size(idx),
                F.raise_error(F.lit("duplicate feature index for a patient")))
         .otherwise(F.lit(True))
@@ -156,7 +156,11 @@ def patient_vectors(long: DataFrame, size: int) -> DataFrame:
 def dense_patient_vectors(long: DataFrame, size: int) -> DataFrame:
     """M3, dense form, fully JVM-side: ``(patient_id, features)`` with dense
     vectors of width ``size`` (what the scaler works on anyway)."""
-    e = _entries(long)
+    return dense_vectors_from_entries(patient_entries(long), size)
+
+
+def dense_vectors_from_entries(e: DataFrame, size: int) -> DataFrame:
+    """Dense vectors from per-patient ``entries``: a projection, no shuffle."""
     m = F.map_from_entries(F.col("entries"))  # duplicate keys raise (D12)
     dense = F.transform(
         F.sequence(F.lit(0), F.lit(size - 1)),

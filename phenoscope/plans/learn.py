@@ -91,11 +91,14 @@ class ClusteringExperiment:
         self.projected: DataFrame | None = None
         self.models: dict = {}
 
-    def fit(self, vectors: DataFrame, width: int,
-            algorithms=ALGORITHMS) -> ClusteringExperiment:
+    def fit(self, vectors: DataFrame, width: int, algorithms=ALGORITHMS,
+            ordered: bool = False) -> ClusteringExperiment:
+        """``ordered=True`` when ``vectors`` already come partitioned and sorted
+        by patient id (as from ``patient_matrix``)."""
         cfg = self.cfg
-        n_parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ordered = vectors.repartition(n_parts, "patient_id").sortWithinPartitions("patient_id")
+        if not ordered:
+            vectors = vectors.repartition("patient_id").sortWithinPartitions("patient_id")
+        ordered = vectors
         self.projection = projection_pipeline(width, cfg).fit(ordered)
         projected = self.projection.transform(ordered).select("patient_id", "pca")
         self.projected = reliable_checkpoint(projected)
@@ -142,11 +145,19 @@ class ClusteringExperiment:
 
 
 def patient_matrix(tuples: DataFrame) -> tuple[DataFrame, int]:
-    """Feature tuples → ``(patient_id, features)`` dense vectors and their width."""
+    """Feature tuples → ``(patient_id, features)`` sparse vectors and their width.
+
+    The aggregated tuples and the finished sparse vectors (sorted by patient
+    id inside the hash partitions of their grouping) are each written once to
+    the checkpoint folder: the dictionary, the join and every fitting pass read
+    them instead of re-deriving them from the events.  Vectors are stored
+    sparse; the scaler densifies them on the fly (JVM-side) when it centres.
+    """
+    tuples = reliable_checkpoint(tuples)
     dictionary = feat.feature_dictionary(tuples)
     width = dictionary.count()
-    long = feat.feature_matrix_long(tuples, dictionary)
-    return feat.dense_patient_vectors(long, width), width
+    vectors = feat.patient_vectors(feat.feature_matrix_long(tuples, dictionary), width)
+    return reliable_checkpoint(vectors.sortWithinPartitions("patient_id")), width
 
 
 def experiment_report(dx: DataFrame, med: DataFrame, lab: DataFrame, labels: DataFrame,
@@ -167,7 +178,7 @@ def experiment_report(dx: DataFrame, med: DataFrame, lab: DataFrame, labels: Dat
     report = None
     for arm, tuples in arms.items():
         vectors, width = patient_matrix(tuples)
-        exp = ClusteringExperiment(cfg).fit(vectors, width)
+        exp = ClusteringExperiment(cfg).fit(vectors, width, ordered=True)
         r = exp.purity_report(labels).select(F.lit(arm).alias("arm"), "*")
         report = r if report is None else report.unionByName(r)
     return report

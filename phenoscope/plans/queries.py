@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import cohort, features, metrics
 from ..operators.extract import with_epoch_ms
 from ..sources.criteria import candidate_terms, criteria_frame, lab_rules_frame
+from ..session import reliable_checkpoint
 from .context import load_events
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -229,6 +230,12 @@ def feature_tuples_filtered(spark, sf_dir):
 
 # --- dictionary and matrix (A10, J6, A5, M3) --------------------------------
 
+def _stored_tuples(spark, sf_dir):
+    """Tuples written once to the checkpoint folder: the dictionary and the
+    matrix join both read them (aggregated, far smaller than the events)."""
+    return reliable_checkpoint(_all_tuples(spark, sf_dir))
+
+
 @query
 def feature_dictionary(spark, sf_dir):
     return features.feature_dictionary(_all_tuples(spark, sf_dir))
@@ -236,7 +243,7 @@ def feature_dictionary(spark, sf_dir):
 
 @query
 def feature_matrix_long(spark, sf_dir):
-    t = _all_tuples(spark, sf_dir)
+    t = _stored_tuples(spark, sf_dir)
     long = features.feature_matrix_long(t, features.feature_dictionary(t))
     return long.select("patient_id", "idx", _r("value").alias("value"))
 
@@ -245,7 +252,7 @@ def feature_matrix_long(spark, sf_dir):
 def feature_vectors(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
-    t = _all_tuples(spark, sf_dir)
+    t = _stored_tuples(spark, sf_dir)
     d = features.feature_dictionary(t)
     size = d.count()
     v = features.patient_vectors(features.feature_matrix_long(t, d), size)
@@ -359,8 +366,8 @@ def feature_sink_roundtrip(spark, sf_dir):
 def feature_moments(spark, sf_dir):
     from .learn import feature_moments as moments
 
-    t = _all_tuples(spark, sf_dir)
-    long = features.feature_matrix_long(t, features.feature_dictionary(t))
+    t = _stored_tuples(spark, sf_dir)
+    long = reliable_checkpoint(features.feature_matrix_long(t, features.feature_dictionary(t)))
     n_rows = long.select("patient_id").distinct().count()
     m = moments(long, n_rows)
     # single precision: the two engines sum in different orders

@@ -62,13 +62,15 @@ def _name_by_hash(h: Column, table, other) -> Column:
     return F.when(h % 2 == 0, F.upper(expr)).otherwise(expr)
 
 
+def _wall_clock(ts: Column) -> Column:
+    # a TIMESTAMP_NTZ renders as 'yyyy-MM-dd HH:mm:ss' (no zone conversion)
+    return F.regexp_replace(ts.cast("string"), " ", "T")
+
+
 def _iso_text(ts: Column, h: Column) -> Column:
-    utc = F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
-    plus2 = F.concat(
-        F.date_format(ts + F.make_dt_interval(F.lit(0), F.lit(2)), "yyyy-MM-dd'T'HH:mm:ss"),
-        F.lit("+02"),
-    )
-    return F.when(h % 3 == 0, plus2).otherwise(utc)
+    shifted = F.when(h % 3 == 0, ts + F.make_dt_interval(F.lit(0), F.lit(2))).otherwise(ts)
+    zone = F.when(h % 3 == 0, F.lit("+02")).otherwise(F.lit("Z"))
+    return F.concat(_wall_clock(shifted), zone)
 
 
 def _number_text(h: Column) -> Column:
@@ -103,9 +105,7 @@ def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.col("o_orderkey").cast("string").alias("Encounter_ID"),
         F.col("o_custkey").cast("string").alias("Member_ID"),
-        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias(
-            "Encounter_DateTime"
-        ),
+        F.concat(_wall_clock(F.col("o_orderdate")), F.lit("Z")).alias("Encounter_DateTime"),
     )
 
 
