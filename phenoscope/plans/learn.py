@@ -195,3 +195,25 @@ def kmeans_step(df: DataFrame, centres, features_col: str = "features") -> DataF
     return assigned.groupBy("cluster").agg(
         F.array(*[F.avg(arr[j]) for j in range(dim)]).alias("centre")
     )
+
+
+def standardise(vectors: DataFrame, input_col: str = "features") -> tuple[object, DataFrame]:
+    """M4 on its own: the fitted scaler and ``(patient_id, scaled)``."""
+    model = StandardScaler(inputCol=input_col, outputCol="scaled", withMean=True,
+                           withStd=True).fit(vectors)
+    return model, model.transform(vectors).select("patient_id", "scaled")
+
+
+def standardised_covariance(scaled: DataFrame, width: int, col: str = "scaled"):
+    """The d × d covariance PCA decomposes, i.e. the covariance of the
+    standardised features (their correlation; 0 for constant columns).
+
+    Computed by ``pyspark.ml.stat.Correlation`` (a distributed Gramian); only
+    the d × d result, bounded by the vocabulary, reaches the driver.
+    """
+    import numpy as np
+    from pyspark.ml.stat import Correlation
+
+    corr = Correlation.corr(scaled, col).first()[0].toArray()
+    corr = np.nan_to_num(corr, nan=0.0)  # a constant column has no correlation
+    return corr.reshape(width, width)

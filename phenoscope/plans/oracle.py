@@ -289,4 +289,32 @@ SELECT CAST(sum(total) AS BIGINT) AS n, round(sum(best) / sum(total), 6) AS puri
   SELECT cluster, max(n) AS best, sum(n) AS total FROM (
     SELECT a.cluster, e.label, count(*) AS n FROM a JOIN e ON a.vec_id = e.vec_id
     GROUP BY 1, 2) GROUP BY cluster)""",
+    "standardised_values": _q(""", np AS (SELECT count(DISTINCT patient_id) AS n FROM mlong),
+st AS (
+  SELECT d.idx, m.mean, m.sd FROM dict d JOIN (
+    SELECT idx, sum(value) / (SELECT n FROM np) AS mean,
+           sqrt((sum(value * value) - sum(value) * sum(value) / (SELECT n FROM np))
+                / ((SELECT n FROM np) - 1)) AS sd
+    FROM mlong GROUP BY idx) m ON m.idx = d.idx
+),
+pts AS (SELECT DISTINCT patient_id FROM mlong)
+SELECT p.patient_id, CAST(st.idx AS INTEGER) AS idx,
+       round(CASE WHEN st.sd = 0 THEN 0.0
+                  ELSE (coalesce(l.value, 0.0) - st.mean) / st.sd END, 6) AS value
+FROM pts p CROSS JOIN st
+LEFT JOIN mlong l ON l.patient_id = p.patient_id AND l.idx = st.idx"""),
+    "covariance_entries": _q(""", np AS (SELECT count(DISTINCT patient_id) AS n FROM mlong),
+mm AS (SELECT idx, sum(value) / (SELECT n FROM np) AS mean,
+              (sum(value * value) - sum(value) * sum(value) / (SELECT n FROM np))
+              / ((SELECT n FROM np) - 1) AS var
+       FROM mlong GROUP BY idx),
+sp AS (SELECT a.idx AS i, b.idx AS j, sum(a.value * b.value) AS s
+       FROM mlong a JOIN mlong b ON a.patient_id = b.patient_id GROUP BY a.idx, b.idx),
+grid AS (SELECT x.idx AS i, y.idx AS j FROM dict x CROSS JOIN dict y)
+SELECT CAST(g.i AS INTEGER) AS i, CAST(g.j AS INTEGER) AS j,
+       round(CASE WHEN a.var = 0 OR b.var = 0 THEN 0.0
+                  ELSE (coalesce(sp.s, 0.0) - (SELECT n FROM np) * a.mean * b.mean)
+                       / ((SELECT n FROM np) - 1) / sqrt(a.var * b.var) END, 6) AS value
+FROM grid g JOIN mm a ON a.idx = g.i JOIN mm b ON b.idx = g.j
+LEFT JOIN sp ON sp.i = g.i AND sp.j = g.j"""),
 }

@@ -472,3 +472,28 @@ def experiment_report(spark, sf_dir):
     ev = load_events(spark, sf_dir)
     labels = cohort.phenotype_labels(ev.dx, ev.med, ev.lab)
     return report(ev.dx, ev.med, ev.lab, labels)
+
+
+# --- standardisation and the PCA covariance (M4, A12) -----------------------
+
+@query
+def standardised_values(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    from .learn import patient_matrix, standardise
+
+    vectors, _ = patient_matrix(_all_tuples(spark, sf_dir))
+    _, scaled = standardise(vectors)
+    return scaled.select("patient_id", F.posexplode(vector_to_array("scaled")).alias(
+        "idx", "value")).select("patient_id", "idx", _r("value").alias("value"))
+
+
+@query
+def covariance_entries(spark, sf_dir):
+    from .learn import patient_matrix, standardise, standardised_covariance
+
+    vectors, width = patient_matrix(_all_tuples(spark, sf_dir))
+    _, scaled = standardise(vectors)
+    cov = standardised_covariance(scaled, width)
+    rows = [(i, j, float(round(cov[i][j], ROUND))) for i in range(width) for j in range(width)]
+    return spark.createDataFrame(rows, "i int, j int, value double")
