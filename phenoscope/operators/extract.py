@@ -69,14 +69,15 @@ def extract_diagnoses(encounters: DataFrame, encounter_dx: DataFrame,
     Both sides are large at scale, so this is left to the planner (sort-merge,
     or broadcast when AQE sees a small side; AQE splits skewed encounter ids).
     """
-    enc = encounters.select("Encounter_ID", "Member_ID", "Encounter_DateTime")
-    dx = encounter_dx.select("Encounter_ID", "code")
-    joined = enc.join(dx, "Encounter_ID", "inner")
-    out = joined.select(
+    # each side is cleaned before the join: an encounter's instant is parsed
+    # once (not once per code) and the join moves an 8-byte timestamp
+    enc = encounters.select(
+        "Encounter_ID",
         F.col("Member_ID").alias("patient_id"),
         parse_instant("Encounter_DateTime", pattern, on_error).alias("ts"),
-        lower_name("code", on_error, "code").alias("code"),
     )
+    dx = encounter_dx.select("Encounter_ID", lower_name("code", on_error, "code").alias("code"))
+    out = enc.join(dx, "Encounter_ID", "inner").select("patient_id", "ts", "code")
     return _drop_nulls(out, on_error, ("patient_id", "ts", "code"))
 
 

@@ -424,6 +424,34 @@ def online_kmeans_update(spark, sf_dir):
     return spark.createDataFrame(rows, "cluster int, dim int, value double, weight double")
 
 
+@query
+def online_kmeans_stream(spark, sf_dir):
+    """M10 as Structured Streaming: the embeddings file is read as a stream and
+    every micro-batch updates the model through ``foreachBatch``; the state is
+    versioned by batch id in the shared checkpoint folder.  One file gives one
+    micro-batch, so the result equals the batch update."""
+    from ..session import scratch_path
+    from ..streaming.online_kmeans import OnlineKMeans
+
+    e = _embeddings(spark, sf_dir)
+    centres = _fixed_centres(e)
+    schema = spark.read.parquet(f"{sf_dir}/embeddings.parquet").schema
+    # a file stream watches a folder; the glob selects the one table file in it
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .parquet(f"{sf_dir}/embedding[s].parquet"))
+    stream = stream.select(F.col("embedding").cast("array<double>").alias("features"))
+    m = OnlineKMeans(3, decay=1.0, time_unit="batches",
+                     state_dir=scratch_path(spark, "online-kmeans-state"))
+    m.set_centres(centres, [0.5] * 3)
+    q = m.run_stream(stream, scratch_path(spark, "online-kmeans-stream"))
+    q.awaitTermination()
+    rows = [
+        (k, j, float(round(m.state.centres[k][j], ROUND)), float(m.state.weights[k]))
+        for k in range(3) for j in range(centres.shape[1])
+    ]
+    return spark.createDataFrame(rows, "cluster int, dim int, value double, weight double")
+
+
 @query
 def embedding_purity(spark, sf_dir):
     from ..streaming.online_kmeans import nearest_centre as assign
