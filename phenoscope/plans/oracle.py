@@ -282,13 +282,13 @@ FROM ss"""),
 SELECT agg.cluster, CAST(agg.i - 1 AS INTEGER) AS dim,
        round(c.cx[agg.i] * (1.0 - agg.n / (0.5 + agg.n))
              + agg.s * ((agg.n / (0.5 + agg.n)) / agg.n), 6) AS value,
-       0.5 + agg.n AS weight
+       CAST(0.5 + agg.n AS DOUBLE) AS weight
 FROM agg JOIN c ON agg.cluster = c.cluster""",
     "online_kmeans_stream": _EMB + """
 SELECT agg.cluster, CAST(agg.i - 1 AS INTEGER) AS dim,
        round(c.cx[agg.i] * (1.0 - agg.n / (0.5 + agg.n))
              + agg.s * ((agg.n / (0.5 + agg.n)) / agg.n), 6) AS value,
-       0.5 + agg.n AS weight
+       CAST(0.5 + agg.n AS DOUBLE) AS weight
 FROM agg JOIN c ON agg.cluster = c.cluster""",
     "embedding_purity": _EMB + """
 SELECT CAST(sum(total) AS BIGINT) AS n, round(sum(best) / sum(total), 6) AS purity FROM (
