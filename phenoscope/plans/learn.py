@@ -217,3 +217,20 @@ def standardised_covariance(scaled: DataFrame, width: int, col: str = "scaled"):
     corr = Correlation.corr(scaled, col).first()[0].toArray()
     corr = np.nan_to_num(corr, nan=0.0)  # a constant column has no correlation
     return corr.reshape(width, width)
+
+
+# The run report's wording, per arm and per algorithm.
+ARM_TITLES = {"all": "All feature", "filtered": "Filtered feature"}
+ALGORITHM_TITLES = {"kmeans": "kMeans", "gmm": "GMM", "streaming_kmeans": "StreamingKmeans"}
+
+
+def report_lines(report: DataFrame) -> list[str]:
+    """The six printed purities (five decimals) from the 6-row report."""
+    order = {(a, g): i for i, (a, g) in enumerate(
+        (a, g) for a in ARM_TITLES for g in ALGORITHM_TITLES)}
+    rows = sorted(report.collect(), key=lambda r: order[(r.arm, r.algorithm)])
+    return [
+        f"[{ARM_TITLES[r.arm]}] purity of {ALGORITHM_TITLES[r.algorithm]} is: "
+        + ("null" if r.purity is None else f"{r.purity:.5f}")
+        for r in rows
+    ]

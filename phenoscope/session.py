@@ -43,6 +43,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20,
+                           minimum: int = 8) -> int:
+    """Initial shuffle partition count for a job reading ``input_bytes``.
+
+    AQE coalesces small partitions afterwards, so the initial count only has
+    to be high enough that no partition outgrows executor memory: about one
+    partition per ``target_bytes`` of input (100 TB → ~400k at 256 MB).
+    """
+    return max(minimum, -(-int(input_bytes) // int(target_bytes)))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
