@@ -43,15 +43,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     return spark
 
 
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20,
-                           minimum: int = 8) -> int:
-    """Initial shuffle partition count for a job reading ``input_bytes``.
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 << 20,
+                           minimum: int = 8, maximum: int = 100_000) -> int:
+    """Initial shuffle partition count for a stage writing ``shuffle_bytes``.
 
     AQE coalesces small partitions afterwards, so the initial count only has
-    to be high enough that no partition outgrows executor memory: about one
-    partition per ``target_bytes`` of input (100 TB → ~400k at 256 MB).
+    to be high enough that no reduce partition outgrows executor memory: about
+    one partition per ``target_bytes`` of shuffled data.  Map-side combining
+    makes the shuffle of the cohort and feature aggregates far smaller than the
+    scanned input; the cap keeps map-output bookkeeping bounded.
     """
-    return max(minimum, -(-int(input_bytes) // int(target_bytes)))
+    return min(maximum, max(minimum, -(-int(shuffle_bytes) // int(target_bytes))))
 
 
 def checkpoint_root(spark: SparkSession) -> str:

@@ -39,4 +39,5 @@ def test_report_lines(spark):
 
 def test_shuffle_partitions_for():
     assert shuffle_partitions_for(0) == 8
-    assert shuffle_partitions_for(100 * 2**40) == 409600
+    assert shuffle_partitions_for(2**40) == 4096
+    assert shuffle_partitions_for(100 * 2**40) == 100_000
