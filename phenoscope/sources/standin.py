@@ -64,7 +64,7 @@ def _name_by_hash(h: Column, table, other) -> Column:
 
 def _wall_clock(ts: Column) -> Column:
     # a TIMESTAMP_NTZ renders as 'yyyy-MM-dd HH:mm:ss' (no zone conversion)
-    return F.regexp_replace(ts.cast("string"), " ", "T")
+    return F.translate(ts.cast("string"), " ", "T")
 
 
 def _iso_text(ts: Column, h: Column) -> Column:
