@@ -197,15 +197,34 @@ class OnlineKMeans:
         (spark.createDataFrame(rows, self._STATE_SCHEMA).coalesce(1).write.mode("overwrite")
          .parquet(f"{self.state_dir}/version={s.batch_id}"))
 
+    def _committed_versions(self, spark: SparkSession) -> list[int]:
+        """Batch ids whose state write finished (``_SUCCESS`` is written last),
+        listed through the Hadoop file system of ``state_dir``."""
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.state_dir)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        out = []
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if name.startswith("version=") and fs.exists(
+                    jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name.split("=", 1)[1]))
+        return sorted(out)
+
     def _load_latest(self, spark: SparkSession) -> None:
-        try:
-            df = spark.read.parquet(self.state_dir)
-        except Exception:  # no state written yet
+        versions = self._committed_versions(spark)
+        if not versions:
             return
-        latest = df.agg(F.max("version")).first()[0]
-        if latest is None or (self.state is not None and latest <= self.state.batch_id):
+        latest = versions[-1]
+        if self.state is not None and latest <= self.state.batch_id:
             return
-        rows = sorted(df.where(F.col("version") == latest).collect(), key=lambda r: r.cluster)
+        rows = sorted(
+            spark.read.schema(self._STATE_SCHEMA).parquet(f"{self.state_dir}/version={latest}")
+            .collect(),
+            key=lambda r: r.cluster,
+        )
         self.state = OnlineKMeansState(
             np.array([r.centre for r in rows], dtype=float),
             np.array([r.weight for r in rows], dtype=float),

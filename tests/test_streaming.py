@@ -49,3 +49,16 @@ def test_stream_of_files_equals_batch_updates(spark):
     q.awaitTermination(120)
     assert online.state.batch_id == 1
     np.testing.assert_allclose(online.state.centres, batch.state.centres, rtol=1e-12)
+
+
+def test_unfinished_state_write_is_ignored(spark):
+    state_dir = tempfile.mkdtemp()
+    df = _frame(spark, 0)
+    m = OnlineKMeans(3, state_dir=state_dir).set_centres(CENTRES, [0.5] * 3)
+    m.foreach_batch(df, 0)
+    # a crash while writing batch 1's state leaves a folder without _SUCCESS
+    os.makedirs(os.path.join(state_dir, "version=1"))
+    restarted = OnlineKMeans(3, state_dir=state_dir).set_centres(CENTRES, [0.5] * 3)
+    restarted.foreach_batch(_frame(spark, 1), 1)  # batch 1 is applied, not skipped
+    assert restarted.state.batch_id == 1
+    assert not np.array_equal(restarted.state.centres, m.state.centres)
