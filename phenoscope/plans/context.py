@@ -43,3 +43,16 @@ def _build_events(spark: SparkSession, sf_dir: str, on_error: str) -> Events:
         lab=extract_labs(raw["lab_results_INPUT"], on_error=on_error),
         raw=raw,
     )
+
+
+def materialize_events(ev: Events) -> Events:
+    """Write the typed, cleaned events once to the shared checkpoint folder.
+
+    For a run that reads them several times (labels, then two feature arms),
+    the raw extracts are parsed once instead of once per reader, and the
+    reuse reads compact columnar rows instead of text.
+    """
+    from ..session import reliable_checkpoint
+
+    return Events(dx=reliable_checkpoint(ev.dx), med=reliable_checkpoint(ev.med),
+                  lab=reliable_checkpoint(ev.lab), raw=ev.raw)

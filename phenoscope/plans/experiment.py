@@ -24,7 +24,7 @@ from ..operators.extract import extract_diagnoses, extract_labs, extract_medicat
 from ..sources.criteria import candidate_terms
 from ..sources.csv import RAW_COLUMNS, read_csv_table
 from ..sources.terms import read_term_set
-from .context import Events
+from .context import Events, materialize_events
 from .learn import ClusteringConfig, ClusteringExperiment, patient_matrix, report_lines
 
 TERM_FILES = {"med": "med_filter.txt", "lab": "lab_filter.txt", "dx": "icd9_filter.txt"}
@@ -60,7 +60,7 @@ def run(spark: SparkSession, data_dir: str, profile: str = "reference",
     """Labels ``(patient_id, label)`` and the report ``(arm, algorithm, n, purity)``."""
     from ..session import reliable_checkpoint
 
-    ev = load_raw_events(spark, data_dir, on_error)
+    ev = materialize_events(load_raw_events(spark, data_dir, on_error))
     labels = reliable_checkpoint(cohort.phenotype_labels(ev.dx, ev.med, ev.lab, profile))
     cands = load_candidates(spark, data_dir)
     arms = {

@@ -17,7 +17,7 @@ from ..operators import cohort, features, metrics
 from ..operators.extract import with_epoch_ms
 from ..sources.criteria import candidate_terms, criteria_frame, lab_rules_frame
 from ..session import reliable_checkpoint
-from .context import load_events
+from .context import load_events, materialize_events
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -497,7 +497,7 @@ def online_kmeans_assign(spark, sf_dir):
 def experiment_report(spark, sf_dir):
     from .learn import experiment_report as report
 
-    ev = load_events(spark, sf_dir)
+    ev = materialize_events(load_events(spark, sf_dir))
     labels = cohort.phenotype_labels(ev.dx, ev.med, ev.lab)
     return report(ev.dx, ev.med, ev.lab, labels)
 
