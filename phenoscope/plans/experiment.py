@@ -25,7 +25,13 @@ from ..sources.criteria import candidate_terms
 from ..sources.csv import RAW_COLUMNS, read_csv_table
 from ..sources.terms import read_term_set
 from .context import Events, materialize_events
-from .learn import ClusteringConfig, ClusteringExperiment, patient_matrix, report_lines
+from .learn import (
+    ClusteringConfig,
+    ClusteringExperiment,
+    patient_matrix,
+    report_lines,
+    run_concurrently,
+)
 
 TERM_FILES = {"med": "med_filter.txt", "lab": "lab_filter.txt", "dx": "icd9_filter.txt"}
 
@@ -69,12 +75,15 @@ def run(spark: SparkSession, data_dir: str, profile: str = "reference",
                                         med_candidates=cands["med"],
                                         lab_candidates=cands["lab"]),
     }
-    report = None
-    for arm, tuples in arms.items():
+    def arm_report(arm, tuples):
         vectors, width = patient_matrix(tuples)
         exp = ClusteringExperiment(cfg).fit(vectors, width, ordered=True)
-        r = exp.purity_report(labels).selectExpr(f"'{arm}' AS arm", "*")
-        report = r if report is None else report.unionByName(r)
+        return exp.purity_report(labels).selectExpr(f"'{arm}' AS arm", "*")
+
+    parts = run_concurrently([lambda a=a, t=t: arm_report(a, t) for a, t in arms.items()])
+    report = parts[0]
+    for r in parts[1:]:
+        report = report.unionByName(r)
     return labels, report
 
 

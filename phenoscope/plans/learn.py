@@ -31,6 +31,19 @@ from ..streaming.online_kmeans import OnlineKMeans
 ALGORITHMS = ("kmeans", "gmm", "streaming_kmeans")
 
 
+def run_concurrently(tasks):
+    """Run independent driver-side callables that each submit Spark jobs, in
+    threads, so small iterative jobs share the cluster instead of queueing.
+    Results come back in order; the first error is raised."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    if len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = [pool.submit(t) for t in tasks]
+        return [f.result() for f in futures]
+
+
 @dataclass(frozen=True)
 class ClusteringConfig:
     """Defaults are the original experiment's settings."""
@@ -103,23 +116,26 @@ class ClusteringExperiment:
         projected = self.projection.transform(ordered).select("patient_id", "pca")
         self.projected = reliable_checkpoint(projected)
         dim = max(1, min(cfg.n_components, width))
-        if "kmeans" in algorithms:
-            self.models["kmeans"] = KMeans(
+        fitters = {
+            "kmeans": lambda: KMeans(
                 k=cfg.k, maxIter=cfg.max_iter, initMode=cfg.init_mode,
                 initSteps=cfg.init_steps, seed=cfg.seed, featuresCol="pca",
                 predictionCol="cluster",
-            ).fit(self.projected)
-        if "gmm" in algorithms:
-            self.models["gmm"] = GaussianMixture(
+            ).fit(self.projected),
+            "gmm": lambda: GaussianMixture(
                 k=cfg.k, maxIter=cfg.max_iter, seed=cfg.seed, featuresCol="pca",
                 predictionCol="cluster", probabilityCol="probability",
-            ).fit(self.projected)
-        if "streaming_kmeans" in algorithms:
-            self.models["streaming_kmeans"] = (
+            ).fit(self.projected),
+            "streaming_kmeans": lambda: (
                 OnlineKMeans(cfg.k, cfg.online_decay, cfg.online_time_unit, features_col="pca")
                 .set_random_centres(dim, cfg.online_weight, cfg.seed)
                 .update(self.projected)
-            )
+            ),
+        }
+        wanted = [a for a in ALGORITHMS if a in algorithms]
+        # independent fits over the same stored matrix: submitted as concurrent
+        # Spark jobs (each seeded, so results do not depend on the overlap)
+        self.models = dict(zip(wanted, run_concurrently([fitters[a] for a in wanted])))
         return self
 
     def assignments(self, algorithm: str) -> DataFrame:
@@ -175,12 +191,16 @@ def experiment_report(dx: DataFrame, med: DataFrame, lab: DataFrame, labels: Dat
         ),
     }
     labels = reliable_checkpoint(labels)  # read by six purity joins
-    report = None
-    for arm, tuples in arms.items():
+
+    def arm_report(arm, tuples):
         vectors, width = patient_matrix(tuples)
         exp = ClusteringExperiment(cfg).fit(vectors, width, ordered=True)
-        r = exp.purity_report(labels).select(F.lit(arm).alias("arm"), "*")
-        report = r if report is None else report.unionByName(r)
+        return exp.purity_report(labels).select(F.lit(arm).alias("arm"), "*")
+
+    parts = run_concurrently([lambda a=a, t=t: arm_report(a, t) for a, t in arms.items()])
+    report = parts[0]
+    for r in parts[1:]:
+        report = report.unionByName(r)
     return report
 
 
