@@ -14,6 +14,7 @@ patients is unbounded.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -30,6 +31,16 @@ from ..streaming.online_kmeans import OnlineKMeans
 
 ALGORITHMS = ("kmeans", "gmm", "streaming_kmeans")
 
+# The PCA fit (an SVD) and each Gaussian-mixture iteration (decompositions of
+# the k covariance matrices) run LAPACK on the driver; its pure-Java fallback
+# keeps static state, so two such calls must never overlap in one driver.
+_DRIVER_LAPACK = threading.Lock()
+
+
+def _locked(fn, *args):
+    with _DRIVER_LAPACK:
+        return fn(*args)
+
 
 def run_concurrently(tasks):
     """Run independent driver-side callables that each submit Spark jobs, in
@@ -112,7 +123,8 @@ class ClusteringExperiment:
         if not ordered:
             vectors = vectors.repartition("patient_id").sortWithinPartitions("patient_id")
         ordered = vectors
-        self.projection = projection_pipeline(width, cfg).fit(ordered)
+        with _DRIVER_LAPACK:
+            self.projection = projection_pipeline(width, cfg).fit(ordered)
         projected = self.projection.transform(ordered).select("patient_id", "pca")
         self.projected = reliable_checkpoint(projected)
         dim = max(1, min(cfg.n_components, width))
@@ -122,10 +134,10 @@ class ClusteringExperiment:
                 initSteps=cfg.init_steps, seed=cfg.seed, featuresCol="pca",
                 predictionCol="cluster",
             ).fit(self.projected),
-            "gmm": lambda: GaussianMixture(
+            "gmm": lambda: _locked(GaussianMixture(
                 k=cfg.k, maxIter=cfg.max_iter, seed=cfg.seed, featuresCol="pca",
                 predictionCol="cluster", probabilityCol="probability",
-            ).fit(self.projected),
+            ).fit, self.projected),
             "streaming_kmeans": lambda: (
                 OnlineKMeans(cfg.k, cfg.online_decay, cfg.online_time_unit, features_col="pca")
                 .set_random_centres(dim, cfg.online_weight, cfg.seed)
