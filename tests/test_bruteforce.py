@@ -115,3 +115,29 @@ def test_purity_matches_brute_force(spark, seed):
     for c, k in pairs:
         per[c][k] += 1
     assert got == pytest.approx(sum(max(v.values()) for v in per.values()) / len(pairs))
+
+
+def test_hot_patient_holds_a_third_of_all_events(spark):
+    dx, med, lab = _random_events(9, 200)
+    rng = np.random.RandomState(10)
+    n = (len(dx) + len(med) + len(lab)) // 2  # the hot patient ends with ~1/3 of all rows
+    for i in range(n):
+        kind = i % 3
+        if kind == 0:
+            dx.append(("hot", BASE, DX_POOL[rng.randint(len(DX_POOL))]))
+        elif kind == 1:
+            med.append(("hot", BASE + timedelta(hours=int(rng.randint(0, 6))),
+                        MED_POOL[rng.randint(len(MED_POOL))]))
+        else:
+            lab.append(("hot", BASE, LAB_POOL[rng.randint(len(LAB_POOL))], 100.0 + i % 7))
+    dxf = spark.createDataFrame(dx, "patient_id string, ts timestamp, code string").repartition(8)
+    medf = spark.createDataFrame(med, "patient_id string, ts timestamp, medicine string")
+    labf = spark.createDataFrame(lab, "patient_id string, ts timestamp, test_name string, "
+                                      "value double").repartition(8)
+    got = {r.patient_id: r.label
+           for r in cohort.phenotype_labels(dxf, medf, labf, "reference").collect()}
+    assert got == _brute_labels(dx, med, lab, "reference")
+    tuples = {(r.patient_id, r.feature): r.value
+              for r in feat.feature_tuples(dxf, medf, labf).where("patient_id = 'hot'").collect()}
+    assert tuples[("hot", DX_POOL[0])] == float(sum(1 for r in dx if r[0] == "hot"
+                                                    and r[2] == DX_POOL[0]))
