@@ -28,6 +28,7 @@ from .context import Events, materialize_events
 from .learn import (
     ClusteringConfig,
     ClusteringExperiment,
+    empty_report,
     patient_matrix,
     report_lines,
     run_concurrently,
@@ -77,6 +78,8 @@ def run(spark: SparkSession, data_dir: str, profile: str = "reference",
     }
     def arm_report(arm, tuples):
         vectors, width = patient_matrix(tuples)
+        if width == 0:
+            return empty_report(spark, arm)
         exp = ClusteringExperiment(cfg).fit(vectors, width, ordered=True)
         return exp.purity_report(labels).selectExpr(f"'{arm}' AS arm", "*")
 

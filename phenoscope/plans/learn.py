@@ -122,10 +122,9 @@ class ClusteringExperiment:
         cfg = self.cfg
         if not ordered:
             vectors = vectors.repartition("patient_id").sortWithinPartitions("patient_id")
-        ordered = vectors
         with _DRIVER_LAPACK:
-            self.projection = projection_pipeline(width, cfg).fit(ordered)
-        projected = self.projection.transform(ordered).select("patient_id", "pca")
+            self.projection = projection_pipeline(width, cfg).fit(vectors)
+        projected = self.projection.transform(vectors).select("patient_id", "pca")
         self.projected = reliable_checkpoint(projected)
         dim = max(1, min(cfg.n_components, width))
         fitters = {
@@ -188,6 +187,12 @@ def patient_matrix(tuples: DataFrame) -> tuple[DataFrame, int]:
     return reliable_checkpoint(vectors.sortWithinPartitions("patient_id")), width
 
 
+def empty_report(spark, arm: str) -> DataFrame:
+    """An arm without any feature: nothing to cluster, ``n = 0``, NULL purity."""
+    return spark.createDataFrame([(arm, a, 0, None) for a in ALGORITHMS],
+                                 "arm string, algorithm string, n long, purity double")
+
+
 def experiment_report(dx: DataFrame, med: DataFrame, lab: DataFrame, labels: DataFrame,
                       cfg: ClusteringConfig = ClusteringConfig()) -> DataFrame:
     """M14 + S8: both arms (all features, candidate features) × three
@@ -206,6 +211,8 @@ def experiment_report(dx: DataFrame, med: DataFrame, lab: DataFrame, labels: Dat
 
     def arm_report(arm, tuples):
         vectors, width = patient_matrix(tuples)
+        if width == 0:
+            return empty_report(labels.sparkSession, arm)
         exp = ClusteringExperiment(cfg).fit(vectors, width, ordered=True)
         return exp.purity_report(labels).select(F.lit(arm).alias("arm"), "*")
 

@@ -107,3 +107,15 @@ def test_lloyd_step_means(spark):
     df = spark.createDataFrame([(0, [0.0]), (1, [2.0]), (2, [10.0])], "id int, features array<double>")
     got = {r.cluster: r.centre for r in kmeans_step(df, np.array([[1.0], [9.0]])).collect()}
     assert got == {0: [1.0], 1: [10.0]}
+
+
+def test_arm_without_features_reports_null_purity(spark, events):
+    from phenoscope.plans.learn import experiment_report
+
+    dx, med, lab = events(dx=[("p1", "2010-01-01T00:00:00", "x1")],
+                          med=[("p2", "2010-01-01T00:00:00", "aspirin")])
+    labels = spark.createDataFrame([("p1", 3), ("p2", 3)], "patient_id string, label int")
+    rows = {(r.arm, r.algorithm): r for r in experiment_report(dx, med, lab, labels).collect()}
+    # no event matches a candidate term: the filtered arm is empty
+    assert all(rows[("filtered", a)].n == 0 and rows[("filtered", a)].purity is None
+               for a in ("kmeans", "gmm", "streaming_kmeans"))
