@@ -1,3 +1,3 @@
-from .plans.experiment import main
+from phenoscope.plans.experiment import main
 
 main()

@@ -23,6 +23,7 @@ from ..operators import features as feat
 from ..operators.extract import extract_diagnoses, extract_labs, extract_medications
 from ..sources.criteria import candidate_terms
 from ..sources.csv import RAW_COLUMNS, read_csv_table
+from ..session import path_exists
 from ..sources.terms import read_term_set
 from .context import Events, materialize_events
 from .learn import (
@@ -57,7 +58,8 @@ def load_candidates(spark: SparkSession, data_dir: str) -> dict:
     out = {}
     for kind, name in TERM_FILES.items():
         path = os.path.join(data_dir, name)
-        out[kind] = read_term_set(spark, path) if os.path.exists(path) else candidate_terms(kind)
+        out[kind] = read_term_set(spark, path) if path_exists(spark, path) else \
+            candidate_terms(kind)
     return out
 
 

@@ -102,3 +102,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system (local, HDFS, object store),
+    checked through Hadoop's FileSystem API as Spark's own readers do."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
