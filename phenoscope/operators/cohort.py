@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import abnormal_lab, contains_text, in_code_set, in_set_or_prefix
+from ..session import broadcast_if_small
 from ..sources.criteria import Profile, get_profile
 from .setops import bag_union, difference, intersection
 
@@ -172,9 +173,9 @@ def glucose_tested(lab: DataFrame) -> DataFrame:
 
 def abnormal_lab_patients(lab: DataFrame, rules: DataFrame) -> DataFrame:
     """C8 through the P12 rule table: ``lab ⋈ rules`` on the test name, then the
-    rule's comparison.  The rule table has a handful of fixed rows, so it is
-    broadcast (size proven by construction)."""
-    j = lab.join(F.broadcast(rules), "test_name", "inner")
+    rule's comparison.  The default rule table has seven fixed rows; a table
+    passed in is broadcast only after its size is checked."""
+    j = lab.join(broadcast_if_small(rules), "test_name", "inner")
     hit = (
         ((F.col("op") == ">=") & (F.col("value") >= F.col("threshold")))
         | ((F.col("op") == ">") & (F.col("value") > F.col("threshold")))
@@ -200,7 +201,7 @@ def code_set_members(dx: DataFrame, med: DataFrame, criteria: DataFrame) -> Data
     keys, the whole name (for ``exact`` terms) and its leading characters for
     each prefix length present in the criteria (for ``prefix`` terms; the
     only one today is ``250``), so no non-equi join is needed.  The dimension
-    is fixed and small, so it is broadcast; the final distinct is a partial
+    is small, so it is broadcast after a size check; the final distinct is a partial
     aggregate per task before its shuffle.
     """
     # prefix lengths of a fixed code-set profile: a handful of values at most
@@ -220,7 +221,7 @@ def code_set_members(dx: DataFrame, med: DataFrame, criteria: DataFrame) -> Data
     keyed = events.select("patient_id", "source", F.explode(F.array(*keys)).alias("k")).select(
         "patient_id", "source", F.col("k.kind").alias("match_kind"), F.col("k.key").alias("term")
     )
-    crit = F.broadcast(criteria.select("set_name", "source", "match_kind", "term"))
+    crit = broadcast_if_small(criteria.select("set_name", "source", "match_kind", "term"))
     return keyed.join(crit, ["source", "match_kind", "term"], "inner").select(
         "set_name", "patient_id"
     ).distinct()

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features as feat
 from ..operators.metrics import assignments_with_labels, purity
-from ..session import reliable_checkpoint
+from ..session import broadcast_if_small, reliable_checkpoint
 from ..sources.criteria import candidate_terms
 from ..streaming.online_kmeans import OnlineKMeans
 
@@ -74,12 +74,13 @@ def feature_moments(long: DataFrame, n_rows: int) -> DataFrame:
     """A11 in long form: per feature index, mean and sample std over ``n_rows``
     patients **including the implicit zeros** of sparse rows, without
     densifying.  Two passes (mean, then squared deviations) for stability;
-    the per-feature means are bounded by the vocabulary and broadcast."""
+    the per-feature means are bounded by the vocabulary and broadcast after a
+    size check."""
     n = float(n_rows)
     means = long.groupBy("idx").agg(
         (F.sum("value") / F.lit(n)).alias("mean"), F.count(F.lit(1)).alias("nnz")
     )
-    dev = long.join(F.broadcast(means), "idx").groupBy("idx", "mean", "nnz").agg(
+    dev = long.join(broadcast_if_small(means), "idx").groupBy("idx", "mean", "nnz").agg(
         F.sum((F.col("value") - F.col("mean")) * (F.col("value") - F.col("mean"))).alias("ss")
     )
     var = (F.col("ss") + (F.lit(n) - F.col("nnz")) * F.col("mean") * F.col("mean")) / F.lit(
