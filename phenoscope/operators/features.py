@@ -64,11 +64,32 @@ def lab_features(lab: DataFrame, candidates: Candidates = None) -> DataFrame:
 def feature_tuples(dx: DataFrame, med: DataFrame, lab: DataFrame,
                    dx_candidates: Candidates = None, med_candidates: Candidates = None,
                    lab_candidates: Candidates = None) -> DataFrame:
-    """M1 / M2: union of the three feature tuple tables."""
-    return bag_union(
-        diagnostic_features(dx, dx_candidates),
-        lab_features(lab, lab_candidates),
-        medication_features(med, med_candidates),
+    """M1 / M2: union of the three feature tuple tables.
+
+    Computed as one aggregation: the (filtered) events of the three kinds are
+    unioned as ``(patient_id, feature, kind, value)`` and grouped once by
+    ``(patient_id, feature, kind)``: counts for diagnoses and medications, the
+    mean for labs.  One exchange instead of three, same shuffled bytes; a name
+    used by two kinds stays two rows, as with separate aggregations.
+    """
+    no_value = F.lit(None).cast("double")
+    events = bag_union(
+        _restrict(dx, "code", dx_candidates).select(
+            "patient_id", F.col("code").alias("feature"), F.lit("dx").alias("kind"),
+            no_value.alias("value")),
+        _restrict(lab, "test_name", lab_candidates).select(
+            "patient_id", F.col("test_name").alias("feature"), F.lit("lab").alias("kind"),
+            F.col("value")),
+        _restrict(med, "medicine", med_candidates).select(
+            "patient_id", F.col("medicine").alias("feature"), F.lit("med").alias("kind"),
+            no_value.alias("value")),
+    )
+    agg = events.groupBy("patient_id", "feature", "kind").agg(
+        F.count(F.lit(1)).cast("double").alias("_n"), F.avg("value").alias("_mean")
+    )
+    return agg.select(
+        "patient_id", "feature",
+        F.when(F.col("kind") == "lab", F.col("_mean")).otherwise(F.col("_n")).alias("value"),
     )
 
 
