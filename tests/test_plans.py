@@ -61,3 +61,10 @@ def test_no_cartesian_or_nested_loop_join(spark, name):
     plan, _ = _plan(spark, name)
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_feature_tuples_are_one_aggregation(spark):
+    plan, _ = _plan(spark, "feature_tuples")
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert len(shuffles) == 1
+    assert all(k in shuffles[0] for k in ("patient_id", "feature", "kind"))
