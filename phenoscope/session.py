@@ -33,9 +33,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
-        # checkpoint files are removed once nothing references them any more,
-        # so repeated runs do not fill the shared folder
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if shuffle_partitions is not None:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
