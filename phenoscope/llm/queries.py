@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from .decontam import OP3_SQL, op3_benchmark_decontamination
 from .language import op2_language_id
+from .lines import OP4_SQL, op4_line_dedup
 from .simhash import op5_simhash_near_dedup
 
 QUERIES = {
     "op2_language_id": op2_language_id,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_line_dedup": op4_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op3_benchmark_decontamination": OP3_SQL,
+    "op4_line_dedup": OP4_SQL,
+}
