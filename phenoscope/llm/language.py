@@ -275,13 +275,14 @@ SPAN = T.ArrayType(T.StructType([T.StructField("lang", T.StringType()),
                                  T.StructField("end", T.LongType())]))
 
 
-def identify_language(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` (share of the letters under the
-    predicted language; for a text of one span its probability) and ``lang_spans``."""
-    kept = without(docs, "lang_pred", "score", "lang_spans")
+def identify_language(docs: DataFrame, model: LanguageModel, text: str = "text",
+                      names: tuple[str, str, str] = ("lang_pred", "score", "lang_spans")) -> DataFrame:
+    """``docs`` with the predicted language, its score (share of the letters under it;
+    for a text of one span its probability) and the spans, under ``names``."""
+    kept = without(docs, *names)
     schema = T.StructType(kept.schema.fields + [
-        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-        T.StructField("lang_spans", SPAN)])
+        T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType()),
+        T.StructField(names[2], SPAN)])
     span = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,7 +295,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, text: str = "text")
                     [*part.columns, pa.array([x[0] for x in found], pa.string()),
                      pa.array([x[1] for x in found], pa.float64()),
                      pa.array([x[2] for x in found], span)],
-                    [*part.schema.names, "lang_pred", "score", "lang_spans"])
+                    [*part.schema.names, *names])
 
     return kept.mapInArrow(label, schema)
 

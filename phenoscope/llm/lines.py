@@ -80,10 +80,11 @@ def _first_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["h1", "h2", "first_text"])
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with repeated chunks cut out of the text, and the columns
-    ``n_lines`` (before) and ``n_removed`` (lines)."""
-    kept = without(docs, "n_lines", "n_removed")
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """``docs`` with repeated chunks cut out of the text, and under ``names`` how
+    many lines there were and how many are gone."""
+    kept = without(docs, *names)
     keyed = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("row"),
                         F.col(text).alias("text"))
     id_type = keyed.schema["id"].dataType.simpleString()
@@ -107,8 +108,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             .select(F.col("id").alias("_phx_id"), F.col("row").alias("_phx_row"), "_phx_cuts"))
     whole = kept.join(cuts, same(F.col(doc_id), F.col("_phx_id"))
                       & (F.xxhash64(text) == F.col("_phx_row")), "left").drop("_phx_id", "_phx_row")
-    schema = kept.schema.add("n_lines", "long").add("n_removed", "long")
-    names = kept.columns
+    schema = kept.schema.add(names[0], "long").add(names[1], "long")
+    inputs = kept.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,9 +123,10 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 new.append("\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else t)
                 counts.append(len(lines))
                 removed.append(len(gone))
-            columns = {n: batch.column(batch.schema.get_field_index(n)) for n in names}
+            columns = {n: batch.column(batch.schema.get_field_index(n)) for n in inputs}
             columns[text] = pa.array(new, pa.string())
-            columns |= {"n_lines": pa.array(counts, pa.int64()), "n_removed": pa.array(removed, pa.int64())}
+            columns[names[0]] = pa.array(counts, pa.int64())
+            columns[names[1]] = pa.array(removed, pa.int64())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return whole.mapInArrow(cut, schema)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontam import OP3_SQL, op3_benchmark_decontamination
 from .language import op2_language_id
 from .lines import OP4_SQL, op4_line_dedup
+from .mixing import OP8_SQL, op8_source_mixing
 from .simhash import op5_simhash_near_dedup
 
 QUERIES = {
@@ -12,9 +13,11 @@ QUERIES = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op8_source_mixing": op8_source_mixing,
 }
 
 ORACLE = {
     "op3_benchmark_decontamination": OP3_SQL,
     "op4_line_dedup": OP4_SQL,
+    "op8_source_mixing": OP8_SQL,
 }
