@@ -7,12 +7,14 @@ from .language import op2_language_id
 from .lines import OP4_SQL, op4_line_dedup
 from .mixing import OP8_SQL, op8_source_mixing
 from .simhash import op5_simhash_near_dedup
+from .suffix import op6_suffix_dedup
 
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op8_source_mixing": op8_source_mixing,
 }
 
