@@ -8,6 +8,7 @@ from .lines import OP4_SQL, op4_line_dedup
 from .mixing import OP8_SQL, op8_source_mixing
 from .simhash import op5_simhash_near_dedup
 from .suffix import op6_suffix_dedup
+from .syncmers import op10_document_fingerprints
 
 QUERIES = {
     "op2_language_id": op2_language_id,
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op8_source_mixing": op8_source_mixing,
+    "op10_document_fingerprints": op10_document_fingerprints,
 }
 
 ORACLE = {
