@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontam import OP3_SQL, op3_benchmark_decontamination
+from .html_text import op1_html_extraction
 from .language import op2_language_id
 from .lines import OP4_SQL, op4_line_dedup
 from .mixing import OP8_SQL, op8_source_mixing
@@ -11,6 +12,7 @@ from .suffix import op6_suffix_dedup
 from .syncmers import op10_document_fingerprints
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_language_id": op2_language_id,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_line_dedup": op4_line_dedup,
