@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat import OP7_SQL, op7_chat_formatting
 from .decontam import OP3_SQL, op3_benchmark_decontamination
 from .html_text import op1_html_extraction
 from .language import op2_language_id
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_chat_formatting": op7_chat_formatting,
     "op8_source_mixing": op8_source_mixing,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
@@ -25,5 +27,6 @@ QUERIES = {
 ORACLE = {
     "op3_benchmark_decontamination": OP3_SQL,
     "op4_line_dedup": OP4_SQL,
+    "op7_chat_formatting": OP7_SQL,
     "op8_source_mixing": OP8_SQL,
 }
