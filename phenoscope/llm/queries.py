@@ -8,6 +8,7 @@ from .html_text import op1_html_extraction
 from .language import op2_language_id
 from .lines import OP4_SQL, op4_line_dedup
 from .mixing import OP8_SQL, op8_source_mixing
+from .pii import op9_personal_data
 from .simhash import op5_simhash_near_dedup
 from .suffix import op6_suffix_dedup
 from .syncmers import op10_document_fingerprints
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_source_mixing": op8_source_mixing,
+    "op9_personal_data": op9_personal_data,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 
