@@ -197,26 +197,21 @@ def code_set_members(dx: DataFrame, med: DataFrame, criteria: DataFrame) -> Data
     """S5 + P9 + P10: distinct ``(set_name, patient_id)`` for every code set a
     patient's events match, through the criteria dimension.
 
-    One scan of the events and one equi-join: each event carries its lookup
-    keys, the whole name (for ``exact`` terms) and its leading characters for
-    each prefix length present in the criteria (for ``prefix`` terms; the
-    only one today is ``250``), so no non-equi join is needed.  The dimension
-    is small, so it is broadcast after a size check; the final distinct is a partial
-    aggregate per task before its shuffle.
+    One scan of the events and one equi-join: each event name carries its lookup
+    keys, the whole name (for ``exact`` terms) and its leading characters up to
+    the longest prefix term, so no non-equi join is needed.  Names repeat, so
+    ``(patient, name)`` is made distinct first (a partial aggregate per task); the
+    dimension is small and broadcast after a size check.
     """
-    # prefix lengths of a fixed code-set profile: a handful of values at most
-    lengths = sorted(
-        r[0] for r in criteria.where(F.col("match_kind") == "prefix")
-        .select(F.length("term")).distinct().collect()
-    )
+    longest = criteria.where(F.col("match_kind") == "prefix").agg(F.max(F.length("term"))).first()[0] or 0
     events = bag_union(
         dx.select("patient_id", F.lit("dx").alias("source"), F.col("code").alias("name")),
         med.select("patient_id", F.lit("med").alias("source"), F.col("medicine").alias("name")),
-    )
+    ).distinct()
     keys = [F.struct(F.lit("exact").alias("kind"), F.col("name").alias("key"))]
     keys += [
         F.struct(F.lit("prefix").alias("kind"), F.substring("name", 1, n).alias("key"))
-        for n in lengths
+        for n in range(1, longest + 1)
     ]
     keyed = events.select("patient_id", "source", F.explode(F.array(*keys)).alias("k")).select(
         "patient_id", "source", F.col("k.kind").alias("match_kind"), F.col("k.key").alias("term")

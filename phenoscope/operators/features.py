@@ -12,11 +12,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import broadcast_if_small, reliable_checkpoint
+from ..session import broadcast_if_small, reliable_checkpoint, scratch_path
 from .setops import bag_union
 
 Candidates = Iterable[str] | DataFrame | None
@@ -63,8 +64,9 @@ def lab_features(lab: DataFrame, candidates: Candidates = None) -> DataFrame:
 
 def feature_tuples(dx: DataFrame, med: DataFrame, lab: DataFrame,
                    dx_candidates: Candidates = None, med_candidates: Candidates = None,
-                   lab_candidates: Candidates = None) -> DataFrame:
-    """M1 / M2: union of the three feature tuple tables.
+                   lab_candidates: Candidates = None, with_kind: bool = False) -> DataFrame:
+    """M1 / M2: union of the three feature tuple tables (``with_kind``: and whether
+    a tuple comes from ``dx``, ``med`` or ``lab``).
 
     Computed as one aggregation: the (filtered) events of the three kinds are
     unioned as ``(patient_id, feature, kind, value)`` and grouped once by
@@ -88,11 +90,19 @@ def feature_tuples(dx: DataFrame, med: DataFrame, lab: DataFrame,
         F.count(F.lit(1)).cast("double").alias("_n"), F.avg("value").alias("_mean")
     )
     return agg.select(
-        "patient_id", "feature",
+        "patient_id", "feature", *(["kind"] if with_kind else []),
         F.when(F.col("kind") == "lab", F.col("_mean")).otherwise(F.col("_n")).alias("value"),
     )
 
 
+def candidate_tuples(tuples: DataFrame, candidates: dict[str, Candidates]) -> DataFrame:
+    """M2 from M1: the tuples (with their ``kind``) whose name is a candidate of its
+    kind.  Candidates restrict grouping keys, so the aggregates need not be redone."""
+    parts = [_restrict(tuples.where(F.col("kind") == kind), "feature", terms)
+             for kind, terms in candidates.items()]
+    return bag_union(*parts)
+
+
 def dense_index(df: DataFrame, column: str, out: str = "idx") -> DataFrame:
     """A10 helper: distinct values of ``column`` with dense 0-based ids in
     ascending order, computed without a single-partition window.
@@ -149,29 +159,30 @@ def patient_entries(long: DataFrame) -> DataFrame:
     )
 
 
-@F.udf(returnType=VectorUDT(), useArrow=True)
-def _sparse_vector(size, idx, values):
-    # per patient, small: the index list is already sorted and unique
-    return Vectors.sparse(int(size), list(idx), list(values))
-
-
 def patient_vectors(long: DataFrame, size: int) -> DataFrame:
-    """M3: ``(patient_id, features)`` with sparse ``VectorUDT`` features.
+    """M3: ``(patient_id, features)`` with sparse ``VectorUDT`` features, one
+    partition sorted by patient id.
 
-    Grouping and sorting run in Spark; the only Python is building each
-    patient's vector object from its (already sorted) index/value arrays.
+    Grouping and sorting run in Spark, and no Python is involved: a sparse vector's
+    columns (type 0, size, indices, values) are written as a plain struct to the
+    shared folder and read back as vectors.  Every fitting pass reads that table.
     """
     idx = F.col("entries.idx")
     # The same feature name from two event types gives a patient one index
-    # twice; fail in Spark (a filter runs before the Python step) instead of
-    # building an invalid vector
+    # twice; fail in Spark instead of building an invalid vector
     e = patient_entries(long).where(
         F.when(F.size(F.array_distinct(idx)) != F.size(idx),
                F.raise_error(F.lit("duplicate feature index for a patient")))
         .otherwise(F.lit(True))
     )
-    vec = _sparse_vector(F.lit(size), idx, F.col("entries.value"))
-    return e.select("patient_id", vec.alias("features"))
+    vector = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(size).cast("int").alias("size"),
+                      idx.cast("array<int>").alias("indices"),
+                      F.col("entries.value").cast("array<double>").alias("values"))
+    path = scratch_path(long.sparkSession, "vectors")
+    e.select("patient_id", vector.alias("features")).sortWithinPartitions("patient_id").write.parquet(path)
+    id_field = e.schema["patient_id"]
+    schema = T.StructType([id_field, T.StructField("features", VectorUDT())])
+    return e.sparkSession.read.schema(schema).parquet(path)
 
 
 def dense_patient_vectors(long: DataFrame, size: int) -> DataFrame:

@@ -22,16 +22,19 @@ def difference(left: DataFrame, right: DataFrame, keys: Sequence[str] | None = N
     join, duplicates of ``left`` survive); ``False`` is EXCEPT DISTINCT.
     """
     keys = list(keys or left.columns)
-    out = left.join(right.select(*keys), keys, "left_anti")
+    # distinct first: a key that holds most rows of ``right`` crosses the shuffle
+    # once per task
+    out = left.join(right.select(*keys).distinct(), keys, "left_anti")
     return out if keep_duplicates else out.distinct()
 
 
 def intersection(left: DataFrame, right: DataFrame,
                  keys: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows of ``left`` whose key appears in ``right``
-    (left-semi join + distinct, the plan Spark uses for INTERSECT)."""
+    (left-semi join of both sides' distinct rows, so hot keys collapse before
+    the shuffle)."""
     keys = list(keys or left.columns)
-    return left.join(right.select(*keys), keys, "left_semi").distinct()
+    return left.distinct().join(right.select(*keys).distinct(), keys, "left_semi")
 
 
 def distinct(df: DataFrame) -> DataFrame:

@@ -19,22 +19,7 @@ class Events:
     raw: dict[str, DataFrame]
 
 
-# Lazily built plans, reused across queries of one session: building a plan
-# costs thousands of driver round trips, and the frames hold no data.
-_PLANS: dict = {}
-
-
 def load_events(spark: SparkSession, sf_dir: str, on_error: str = "fail") -> Events:
-    key = (id(spark), sf_dir, on_error)
-    hit = _PLANS.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    ev = _build_events(spark, sf_dir, on_error)
-    _PLANS[key] = (spark, ev)
-    return ev
-
-
-def _build_events(spark: SparkSession, sf_dir: str, on_error: str) -> Events:
     raw = raw_tables(spark, sf_dir)
     return Events(
         dx=extract_diagnoses(raw["encounter_INPUT"], raw["encounter_dx_INPUT"],
@@ -44,15 +29,3 @@ def _build_events(spark: SparkSession, sf_dir: str, on_error: str) -> Events:
         raw=raw,
     )
 
-
-def materialize_events(ev: Events) -> Events:
-    """Write the typed, cleaned events once to the shared checkpoint folder.
-
-    For a run that reads them several times (labels, then two feature arms),
-    the raw extracts are parsed once instead of once per reader, and the
-    reuse reads compact columnar rows instead of text.
-    """
-    from ..session import reliable_checkpoint
-
-    return Events(dx=reliable_checkpoint(ev.dx), med=reliable_checkpoint(ev.med),
-                  lab=reliable_checkpoint(ev.lab), raw=ev.raw)

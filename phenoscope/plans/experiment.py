@@ -19,21 +19,13 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cohort
-from ..operators import features as feat
 from ..operators.extract import extract_diagnoses, extract_labs, extract_medications
-from ..session import path_exists
+from ..session import path_exists, reliable_checkpoint
 from ..sources.criteria import candidate_terms
 from ..sources.csv import RAW_COLUMNS, read_csv_table
 from ..sources.terms import read_term_set
-from .context import Events, materialize_events
-from .learn import (
-    ClusteringConfig,
-    ClusteringExperiment,
-    empty_report,
-    patient_matrix,
-    report_lines,
-    run_concurrently,
-)
+from .context import Events
+from .learn import ClusteringConfig, experiment_report, report_lines
 
 TERM_FILES = {"med": "med_filter.txt", "lab": "lab_filter.txt", "dx": "icd9_filter.txt"}
 
@@ -67,30 +59,10 @@ def run(spark: SparkSession, data_dir: str, profile: str = "reference",
         on_error: str = "fail", cfg: ClusteringConfig = ClusteringConfig()
         ) -> tuple[DataFrame, DataFrame]:
     """Labels ``(patient_id, label)`` and the report ``(arm, algorithm, n, purity)``."""
-    from ..session import reliable_checkpoint
-
-    ev = materialize_events(load_raw_events(spark, data_dir, on_error))
+    ev = load_raw_events(spark, data_dir, on_error)
     labels = reliable_checkpoint(cohort.phenotype_labels(ev.dx, ev.med, ev.lab, profile))
     cands = load_candidates(spark, data_dir)
-    arms = {
-        "all": feat.feature_tuples(ev.dx, ev.med, ev.lab),
-        "filtered": feat.feature_tuples(ev.dx, ev.med, ev.lab, dx_candidates=cands["dx"],
-                                        med_candidates=cands["med"],
-                                        lab_candidates=cands["lab"]),
-    }
-
-    def arm_report(arm, tuples):
-        vectors, width = patient_matrix(tuples)
-        if width == 0:
-            return empty_report(spark, arm)
-        exp = ClusteringExperiment(cfg).fit(vectors, width, ordered=True)
-        return exp.purity_report(labels).selectExpr(f"'{arm}' AS arm", "*")
-
-    parts = run_concurrently([lambda a=a, t=t: arm_report(a, t) for a, t in arms.items()])
-    report = parts[0]
-    for r in parts[1:]:
-        report = report.unionByName(r)
-    return labels, report
+    return labels, experiment_report(ev.dx, ev.med, ev.lab, labels, cfg, cands)
 
 
 def main(argv=None) -> None:

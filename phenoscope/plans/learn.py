@@ -6,10 +6,10 @@ tree aggregation); our own code is the data preparation around it and the
 online k-means update.  The driver holds only fitted parameters: the scaler's
 d means and stds, the d × k principal components, k centres / Gaussians.
 
-Scale limits, stated openly: standardising with the mean densifies every
-vector (as the original does), and PCA forms a d × d covariance on the driver,
-so ``d`` (the feature vocabulary) must stay in the thousands; the number of
-patients is unbounded.
+Vectors stay sparse: the projection scales without centring (a covariance does
+not change under it) and subtracts the constant offset afterwards.  One limit,
+stated openly: ``pyspark.ml``'s PCA forms a d × d covariance on the driver, so ``d``
+(the feature vocabulary) must stay in the thousands; patients are unbounded.
 """
 
 from __future__ import annotations
@@ -17,14 +17,18 @@ from __future__ import annotations
 import threading
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features as feat
 from ..operators.metrics import assignments_with_labels, purity
+from ..operators.setops import bag_union
 from ..session import broadcast_if_small, reliable_checkpoint
 from ..sources.criteria import candidate_terms
 from ..streaming.online_kmeans import OnlineKMeans
@@ -42,16 +46,17 @@ def _locked(fn, *args):
         return fn(*args)
 
 
-def run_concurrently(tasks):
+def run_concurrently(spark: SparkSession, tasks):
     """Run independent driver-side callables that each submit Spark jobs, in
-    threads, so small iterative jobs share the cluster instead of queueing.
-    Results come back in order; the first error is raised."""
+    threads that inherit the caller's job group, pool and tags, so small iterative
+    jobs share the cluster.  Results come in order; the first error is raised."""
     from concurrent.futures import ThreadPoolExecutor
 
     if len(tasks) <= 1:
         return [t() for t in tasks]
     with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-        futures = [pool.submit(t) for t in tasks]
+        inherit = inheritable_thread_target(spark)
+        futures = [pool.submit(inherit(t)) for t in tasks]
         return [f.result() for f in futures]
 
 
@@ -72,32 +77,70 @@ class ClusteringConfig:
 
 def feature_moments(long: DataFrame, n_rows: int) -> DataFrame:
     """A11 in long form: per feature index, mean and sample std over ``n_rows``
-    patients **including the implicit zeros** of sparse rows, without
-    densifying.  Two passes (mean, then squared deviations) for stability;
-    the per-feature means are bounded by the vocabulary and broadcast after a
-    size check."""
+    patients **including the implicit zeros** of sparse rows, without densifying.
+
+    One pass: mean and variance of the stored values, merged in closed form with
+    the ``n - nnz`` zeros (no cancellation, no join, pre-aggregated per task)."""
+    n = F.lit(float(n_rows))
+    stored = long.groupBy("idx").agg(F.count("value").cast("double").alias("nnz"),
+                                     F.avg("value").alias("m"), F.var_pop("value").alias("v"))
+    nnz, m, v = F.col("nnz"), F.col("m"), F.col("v")
+    squares = nnz * v + m * m * nnz * (n - nnz) / n
+    return stored.select("idx", (m * nnz / n).alias("mean"), F.sqrt(squares / (n - 1.0)).alias("std"))
+
+
+def covariance_long(long: DataFrame, n_rows: int, width: int) -> DataFrame:
+    """``(i, j, value)``, the covariance of the standardised features that PCA
+    decomposes (their correlation; 0 for constant features).
+
+    Products of a patient's stored entries are summed on the executors; the
+    patient's list is bounded by the vocabulary.  The result has width² rows by
+    definition and never passes the driver."""
     n = float(n_rows)
-    means = long.groupBy("idx").agg(
-        (F.sum("value") / F.lit(n)).alias("mean"), F.count(F.lit(1)).alias("nnz")
-    )
-    dev = long.join(broadcast_if_small(means), "idx").groupBy("idx", "mean", "nnz").agg(
-        F.sum((F.col("value") - F.col("mean")) * (F.col("value") - F.col("mean"))).alias("ss")
-    )
-    var = (F.col("ss") + (F.lit(n) - F.col("nnz")) * F.col("mean") * F.col("mean")) / F.lit(
-        n - 1.0
-    )
-    return dev.select("idx", "mean", F.sqrt(var).alias("std"))
-
-
-def projection_pipeline(width: int, cfg: ClusteringConfig = ClusteringConfig(),
-                        input_col: str = "features") -> Pipeline:
-    """M4 + M5: standardise (mean and std; constant columns → 0) and project
-    onto ``min(n_components, width)`` principal components."""
-    k = max(1, min(cfg.n_components, width))
-    return Pipeline(stages=[
-        StandardScaler(inputCol=input_col, outputCol="scaled", withMean=True, withStd=True),
-        PCA(k=k, inputCol="scaled", outputCol="pca"),
-    ])
+    moments = feature_moments(long, n_rows)
+    lists = feat.patient_entries(long)
+    x = lists.select(F.explode("entries").alias("x"), "entries")
+    products = (x.select(F.col("x.idx").alias("i"), F.col("x.value").alias("a"), F.explode("entries").alias("y"))
+                .groupBy("i", F.col("y.idx").alias("j")).agg(F.sum(F.col("a") * F.col("y.value")).alias("s")))
+    mi = moments.select(F.col("idx").alias("i"), F.col("mean").alias("mean_i"), F.col("std").alias("std_i"))
+    mj = moments.select(F.col("idx").alias("j"), F.col("mean").alias("mean_j"), F.col("std").alias("std_j"))
+    grid = mi.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))).alias("j"))
+    joined = grid.join(broadcast_if_small(mj), "j").join(products, ["i", "j"], "left")
+    value = (F.coalesce("s", F.lit(0.0)) - n * F.col("mean_i") * F.col("mean_j")) / (n - 1.0)
+    scale = F.col("std_i") * F.col("std_j")
+    return joined.select(F.col("i").cast("int").alias("i"), F.col("j").cast("int").alias("j"),
+                         F.when(scale == 0, 0.0).otherwise(value / scale).alias("value"))
+
+
+class Projection:
+    """M4 + M5: standardise and project onto ``min(n_components, width)`` principal
+    components.
+
+    The scaler divides only, so vectors stay sparse; PCA is the same with or without
+    centring.  ``transform`` subtracts the projected mean (k numbers), so results
+    are those of centred, standardised features; constant features count 0."""
+
+    def __init__(self, width: int, cfg: ClusteringConfig = ClusteringConfig(),
+                 input_col: str = "features"):
+        k = max(1, min(cfg.n_components, width))
+        self.input_col = input_col
+        self._scaler = StandardScaler(inputCol=input_col, outputCol="_scaled", withMean=False, withStd=True)
+        self._pca = PCA(k=k, inputCol="_scaled", outputCol="_pca")
+
+    def fit(self, vectors: DataFrame) -> Projection:
+        self.scaler = self._scaler.fit(vectors)
+        self.pca = self._pca.fit(self.scaler.transform(vectors))
+        mean, std = (x.toArray() for x in (self.scaler.mean, self.scaler.std))
+        scaled = np.divide(mean, std, out=np.zeros_like(mean), where=std > 0)
+        self.components = self.pca.pc.toArray()
+        self.offset = scaled @ self.components
+        return self
+
+    def transform(self, vectors: DataFrame) -> DataFrame:
+        out = self.pca.transform(self.scaler.transform(vectors))
+        offset = F.array(*[F.lit(float(x)) for x in self.offset])
+        centred = F.zip_with(vector_to_array("_pca"), offset, lambda a, b: a - b)
+        return out.withColumn("pca", array_to_vector(centred)).drop("_scaled", "_pca")
 
 
 class ClusteringExperiment:
@@ -112,7 +155,7 @@ class ClusteringExperiment:
 
     def __init__(self, cfg: ClusteringConfig = ClusteringConfig()):
         self.cfg = cfg
-        self.projection: PipelineModel | None = None
+        self.projection: Projection | None = None
         self.projected: DataFrame | None = None
         self.models: dict = {}
 
@@ -124,7 +167,7 @@ class ClusteringExperiment:
         if not ordered:
             vectors = vectors.repartition("patient_id").sortWithinPartitions("patient_id")
         with _DRIVER_LAPACK:
-            self.projection = projection_pipeline(width, cfg).fit(vectors)
+            self.projection = Projection(width, cfg).fit(vectors)
         projected = self.projection.transform(vectors).select("patient_id", "pca")
         self.projected = reliable_checkpoint(projected)
         dim = max(1, min(cfg.n_components, width))
@@ -147,7 +190,7 @@ class ClusteringExperiment:
         wanted = [a for a in ALGORITHMS if a in algorithms]
         # independent fits over the same stored matrix: submitted as concurrent
         # Spark jobs (each seeded, so results do not depend on the overlap)
-        self.models = dict(zip(wanted, run_concurrently([fitters[a] for a in wanted])))
+        self.models = dict(zip(wanted, run_concurrently(vectors.sparkSession, [fitters[a] for a in wanted])))
         return self
 
     def assignments(self, algorithm: str) -> DataFrame:
@@ -175,17 +218,12 @@ class ClusteringExperiment:
 def patient_matrix(tuples: DataFrame) -> tuple[DataFrame, int]:
     """Feature tuples → ``(patient_id, features)`` sparse vectors and their width.
 
-    The aggregated tuples and the finished sparse vectors (sorted by patient
-    id inside the hash partitions of their grouping) are each written once to
-    the checkpoint folder: the dictionary, the join and every fitting pass read
-    them instead of re-deriving them from the events.  Vectors are stored
-    sparse; the scaler densifies them on the fly (JVM-side) when it centres.
+    The tuples should be stored (they are read for the dictionary and the join);
+    the vectors are written once, sorted by patient id inside their partitions.
     """
-    tuples = reliable_checkpoint(tuples)
     dictionary = feat.feature_dictionary(tuples)
     width = dictionary.count()
-    vectors = feat.patient_vectors(feat.feature_matrix_long(tuples, dictionary), width)
-    return reliable_checkpoint(vectors.sortWithinPartitions("patient_id")), width
+    return feat.patient_vectors(feat.feature_matrix_long(tuples, dictionary), width), width
 
 
 def empty_report(spark, arm: str) -> DataFrame:
@@ -195,33 +233,28 @@ def empty_report(spark, arm: str) -> DataFrame:
 
 
 def experiment_report(dx: DataFrame, med: DataFrame, lab: DataFrame, labels: DataFrame,
-                      cfg: ClusteringConfig = ClusteringConfig()) -> DataFrame:
+                      cfg: ClusteringConfig = ClusteringConfig(), candidates: dict | None = None) -> DataFrame:
     """M14 + S8: both arms (all features, candidate features) × three
     algorithms → ``(arm, algorithm, n, purity)``.  ``n`` differs between arms:
-    patients without any candidate feature drop out of the second."""
-    arms = {
-        "all": feat.feature_tuples(dx, med, lab),
-        "filtered": feat.feature_tuples(
-            dx, med, lab,
-            dx_candidates=candidate_terms("dx"),
-            med_candidates=candidate_terms("med"),
-            lab_candidates=candidate_terms("lab"),
-        ),
-    }
+    patients without any candidate feature drop out of the second.
+
+    Events are aggregated once; the candidate arm is a filter on the stored tuples."""
+    if candidates is None:
+        candidates = {kind: candidate_terms(kind) for kind in ("dx", "med", "lab")}
     labels = reliable_checkpoint(labels)  # read by six purity joins
+    tuples = reliable_checkpoint(feat.feature_tuples(dx, med, lab, with_kind=True))
+    arms = {"all": tuples, "filtered": feat.candidate_tuples(tuples, candidates)}
 
-    def arm_report(arm, tuples):
-        vectors, width = patient_matrix(tuples)
+    def arm_report(arm, own):
+        vectors, width = patient_matrix(own.drop("kind"))
         if width == 0:
             return empty_report(labels.sparkSession, arm)
         exp = ClusteringExperiment(cfg).fit(vectors, width, ordered=True)
         return exp.purity_report(labels).select(F.lit(arm).alias("arm"), "*")
 
-    parts = run_concurrently([lambda a=a, t=t: arm_report(a, t) for a, t in arms.items()])
-    report = parts[0]
-    for r in parts[1:]:
-        report = report.unionByName(r)
-    return report
+    parts = run_concurrently(labels.sparkSession,
+                             [lambda a=a, t=t: arm_report(a, t) for a, t in arms.items()])
+    return bag_union(*parts)
 
 
 def kmeans_step(df: DataFrame, centres, features_col: str = "features") -> DataFrame:
@@ -230,11 +263,9 @@ def kmeans_step(df: DataFrame, centres, features_col: str = "features") -> DataF
     from ..streaming.online_kmeans import as_array, nearest_centre
 
     assigned = nearest_centre(df, centres, features_col, "cluster")
-    arr = as_array(assigned, features_col)
-    dim = len(centres[0])
+    vector = array_to_vector(as_array(assigned, features_col))
     return assigned.groupBy("cluster").agg(
-        F.array(*[F.avg(arr[j]) for j in range(dim)]).alias("centre")
-    )
+        vector_to_array(Summarizer.mean(vector)).alias("centre"))
 
 
 def standardise(vectors: DataFrame, input_col: str = "features") -> tuple[object, DataFrame]:
@@ -244,19 +275,21 @@ def standardise(vectors: DataFrame, input_col: str = "features") -> tuple[object
     return model, model.transform(vectors).select("patient_id", "scaled")
 
 
-def standardised_covariance(scaled: DataFrame, width: int, col: str = "scaled"):
-    """The d × d covariance PCA decomposes, i.e. the covariance of the
-    standardised features (their correlation; 0 for constant columns).
-
-    Computed by ``pyspark.ml.stat.Correlation`` (a distributed Gramian); only
-    the d × d result, bounded by the vocabulary, reaches the driver.
-    """
-    import numpy as np
-    from pyspark.ml.stat import Correlation
-
-    corr = Correlation.corr(scaled, col).first()[0].toArray()
-    corr = np.nan_to_num(corr, nan=0.0)  # a constant column has no correlation
-    return corr.reshape(width, width)
+def long_projection(long: DataFrame, projection: Projection) -> DataFrame:
+    """The same projection from the long form, ``(patient_id, component, value)``: the
+    stored entries times their feature's row of components, less the offset.  The
+    fitted parameters (vocabulary × k) are broadcast after a size check."""
+    spark = long.sparkSession
+    std = projection.scaler.std.toArray()
+    weights = np.divide(projection.components, std[:, None], out=np.zeros_like(projection.components),
+                        where=std[:, None] > 0)
+    rows = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(weights)],
+                                 "idx long, w array<double>")
+    offset = F.array(*[F.lit(float(x)) for x in projection.offset])
+    k = len(projection.offset)
+    sums = long.join(broadcast_if_small(rows), "idx").groupBy("patient_id").agg(
+        F.array(*[F.sum(F.col("value") * F.col("w")[j]) for j in range(k)]).alias("s"))
+    return sums.select("patient_id", F.zip_with("s", offset, lambda a, b: a - b).alias("pca"))
 
 
 # The run report's wording, per arm and per algorithm.
@@ -269,7 +302,9 @@ def report_lines(report: DataFrame) -> list[str]:
     order = {(a, g): i for i, (a, g) in enumerate(
         (a, g) for a in ARM_TITLES for g in ALGORITHM_TITLES)}
     rows = sorted(report.collect(), key=lambda r: order[(r.arm, r.algorithm)])
-    return [
+    counts = {r.arm: r.n for r in rows}
+    lines = [f"[{ARM_TITLES[a]}] patients: {n}" for a, n in counts.items()]
+    return lines + [
         f"[{ARM_TITLES[r.arm]}] purity of {ALGORITHM_TITLES[r.algorithm]} is: "
         + ("null" if r.purity is None else f"{r.purity:.5f}")
         for r in rows

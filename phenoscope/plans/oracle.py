@@ -2,9 +2,9 @@
 
 The oracle rebuilds the event tables from ``orders`` and ``lineitem`` straight
 from the stand-in rules (instants from the source timestamps, numbers from the
-integer cents; no text round trip), and computes the cohort the set-based way
-the original code does it (difference, intersection, union), so it checks the
-single-aggregate flag table independently.
+integer cents; no text round trip), and decides the cohort by rule: for each
+patient, whether an event of a kind exists, so it checks the single-aggregate
+flag table independently.
 """
 
 from __future__ import annotations
@@ -43,7 +43,10 @@ dx AS (
   WHERE li.l_returnflag = 'R'
 ),
 med AS (
-  SELECT CAST(o.o_custkey AS VARCHAR) AS patient_id, epoch_ms(li.l_shipdate) AS ts_ms,
+  SELECT CAST(o.o_custkey AS VARCHAR) AS patient_id,
+         epoch_ms(CASE WHEN li.h < {standin.MED_TIED_BELOW}
+                       THEN date_trunc('year', li.l_shipdate)::TIMESTAMP
+                       ELSE li.l_shipdate::TIMESTAMP END) AS ts_ms,
          lower({_case('li.h', standin.MED_BY_HASH, standin.MED_OTHER)}) AS medicine
   FROM li JOIN orders o ON li.l_orderkey = o.o_orderkey
   WHERE li.l_returnflag = 'A'
@@ -69,63 +72,42 @@ def _abnormal_expr(name: str = "test_name", value: str = "value") -> str:
 
 def _cohort_cte(p: Profile, suffix: str = "") -> str:
     s = suffix
-    abnormal_exclusion = (
-        f"AND patient_id NOT IN (SELECT patient_id FROM abnormal{s})"
-        if p.exclude_abnormal_from_controls else ""
-    )
-    prefix_or = " OR ".join(
-        f"substr(code, 1, {len(x)}) = '{x}'" for x in p.dm_related_prefixes
-    )
+
+    def has(table: str, condition: str) -> str:
+        return f"EXISTS (SELECT 1 FROM {table} e WHERE e.patient_id = s.patient_id AND ({condition}))"
+
+    def first(terms) -> str:
+        return (f"(SELECT min(e.ts_ms) FROM med e WHERE e.patient_id = s.patient_id "
+                f"AND e.medicine IN ({_lit_list(terms)}))")
+
+    related = " OR ".join([f"e.code IN ({_lit_list(p.dm_related_dx)})"]
+                          + [f"starts_with(e.code, '{x}')" for x in p.dm_related_prefixes])
+    clean = "AND NOT abnormal" if p.exclude_abnormal_from_controls else ""
     return f"""
 spine{s} AS (
   SELECT patient_id FROM dx UNION SELECT patient_id FROM med UNION SELECT patient_id FROM lab
 ),
-t1dx{s} AS (SELECT DISTINCT patient_id FROM dx WHERE code IN ({_lit_list(p.t1dm_dx)})),
-t2dx{s} AS (SELECT DISTINCT patient_id FROM dx WHERE code IN ({_lit_list(p.t2dm_dx)})),
-t1med{s} AS (SELECT DISTINCT patient_id FROM med WHERE medicine IN ({_lit_list(p.t1dm_med)})),
-t2med{s} AS (SELECT DISTINCT patient_id FROM med WHERE medicine IN ({_lit_list(p.t2dm_med)})),
-base{s} AS (
-  SELECT patient_id FROM spine{s}
-  WHERE patient_id NOT IN (SELECT patient_id FROM t1dx{s})
-  INTERSECT SELECT patient_id FROM t2dx{s}
-),
-case1{s} AS (SELECT patient_id FROM base{s} EXCEPT SELECT patient_id FROM t1med{s}),
-case2{s} AS (
-  (SELECT patient_id FROM base{s} INTERSECT SELECT patient_id FROM t1med{s})
-  EXCEPT SELECT patient_id FROM t2med{s}
+facts{s} AS (
+  SELECT s.patient_id,
+         {has('dx', f"e.code IN ({_lit_list(p.t1dm_dx)})")} AS t1_dx,
+         {has('dx', f"e.code IN ({_lit_list(p.t2dm_dx)})")} AS t2_dx,
+         {has('dx', related)} AS related,
+         {has('lab', "contains(e.test_name, 'glucose')")} AS glucose,
+         {has('lab', _abnormal_expr('e.test_name', 'e.value'))} AS abnormal,
+         {first(p.t1dm_med)} AS first_t1,
+         {first(p.t2dm_med)} AS first_t2
+  FROM spine{s} s
 ),
-d1{s} AS (SELECT patient_id, min(ts_ms) AS m FROM med
-         WHERE medicine IN ({_lit_list(p.t1dm_med)}) GROUP BY patient_id),
-d2{s} AS (SELECT patient_id, min(ts_ms) AS m FROM med
-         WHERE medicine IN ({_lit_list(p.t2dm_med)}) GROUP BY patient_id),
-case3{s} AS (
-  SELECT b.patient_id FROM base{s} b
-  JOIN d1{s} ON d1{s}.patient_id = b.patient_id JOIN d2{s} ON d2{s}.patient_id = b.patient_id
-  WHERE d1{s}.m >= d2{s}.m
-),
-cases{s} AS (
-  SELECT patient_id FROM case1{s} UNION SELECT patient_id FROM case2{s}
-  UNION SELECT patient_id FROM case3{s}
-),
-glu{s} AS (SELECT DISTINCT patient_id FROM lab WHERE contains(test_name, 'glucose')),
-abnormal{s} AS (SELECT DISTINCT patient_id FROM lab WHERE {_abnormal_expr()}),
-dmrel{s} AS (
-  SELECT DISTINCT patient_id FROM dx
-  WHERE code IN ({_lit_list(p.dm_related_dx)}) OR {prefix_or}
-),
-controls{s} AS (
-  SELECT patient_id FROM spine{s}
-  WHERE patient_id IN (SELECT patient_id FROM glu{s})
-    AND patient_id NOT IN (SELECT patient_id FROM dmrel{s})
-    AND patient_id NOT IN (SELECT patient_id FROM cases{s})
-    {abnormal_exclusion}
+rules{s} AS (
+  SELECT *, t2_dx AND NOT t1_dx AND first_t1 IS NULL AS path_1,
+         t2_dx AND NOT t1_dx AND first_t1 IS NOT NULL AND first_t2 IS NULL AS path_2,
+         t2_dx AND NOT t1_dx AND coalesce(first_t1 >= first_t2, false) AS path_3
+  FROM facts{s}
 ),
 labels{s} AS (
-  SELECT patient_id,
-         CASE WHEN patient_id IN (SELECT patient_id FROM cases{s}) THEN 1
-              WHEN patient_id IN (SELECT patient_id FROM controls{s}) THEN 2
-              ELSE 3 END AS label
-  FROM spine{s}
+  SELECT *, CASE WHEN path_1 OR path_2 OR path_3 THEN 1
+                 WHEN glucose AND NOT related {clean} THEN 2 ELSE 3 END AS label
+  FROM rules{s}
 )"""
 
 
@@ -197,6 +179,29 @@ agg AS (
 )
 """
 
+def _lloyd(steps: int) -> str:
+    """The steps of k-means unrolled: assignment, then means, from the fixed centres."""
+    parts = [_EMB.split("d AS (")[0].rstrip().rstrip(","), """
+u AS (SELECT vec_id, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM e)""",
+             "c0 AS (SELECT * FROM c)"]
+    for k in range(steps):
+        parts.append(f"""
+a{k} AS (
+  SELECT vec_id, cluster FROM (
+    SELECT e.vec_id, c.cluster, row_number() OVER (PARTITION BY e.vec_id ORDER BY
+             list_reduce(list_transform(range(1, len(e.x) + 1),
+                                        lambda i: (e.x[i] - c.cx[i]) * (e.x[i] - c.cx[i])),
+                         lambda a, b: a + b, 0.0), c.cluster) AS rn
+    FROM e, c{k} c) WHERE rn = 1)""")
+        parts.append(f"""
+c{k + 1} AS (SELECT cluster, list(v ORDER BY i) AS cx FROM (
+  SELECT a.cluster, u.i, avg(u.v) AS v FROM a{k} a JOIN u USING (vec_id) GROUP BY a.cluster, u.i)
+  GROUP BY cluster)""")
+    return ",".join(parts) + f"""
+SELECT cluster, CAST(generate_subscripts(cx, 1) - 1 AS INTEGER) AS dim, round(unnest(cx), 6) AS value
+FROM c{steps}"""
+
+
 ORACLE: dict[str, str] = {
     "lab_extract": _q("SELECT patient_id, ts_ms, test_name, value FROM lab"),
     "med_extract": _q("SELECT patient_id, ts_ms, medicine FROM med"),
@@ -204,25 +209,26 @@ ORACLE: dict[str, str] = {
     "patient_spine": _q("SELECT patient_id FROM spine"),
     "code_set_members": _code_set_members(REFERENCE),
     "code_set_members_published": _code_set_members(PUBLISHED),
+    "code_set_members_file": _code_set_members(PUBLISHED),
     "dx_prefix_members": _q("SELECT DISTINCT patient_id FROM dx WHERE substr(code, 1, 3) = '250'"),
-    "abnormal_labs": _q("SELECT patient_id FROM abnormal"),
+    "abnormal_labs": _q("SELECT patient_id FROM facts WHERE abnormal"),
     "first_drug_dates": _q(
-        "SELECT d1.patient_id, d1.m AS first_t1_ms, d2.m AS first_t2_ms "
-        "FROM d1 JOIN d2 ON d1.patient_id = d2.patient_id"
+        "SELECT patient_id, first_t1 AS first_t1_ms, first_t2 AS first_t2_ms "
+        "FROM facts WHERE first_t1 IS NOT NULL AND first_t2 IS NOT NULL"
     ),
     "patients_without_t1dx": _q(
-        "SELECT patient_id FROM spine WHERE patient_id NOT IN (SELECT patient_id FROM t1dx)"
+        "SELECT patient_id FROM facts WHERE NOT t1_dx"
     ),
     "patients_with_both_drugs": _q(
-        "SELECT patient_id FROM t1med INTERSECT SELECT patient_id FROM t2med"
+        "SELECT patient_id FROM facts WHERE first_t1 IS NOT NULL AND first_t2 IS NOT NULL"
     ),
-    "case_path_1": _q("SELECT patient_id FROM case1"),
-    "case_path_2": _q("SELECT patient_id FROM case2"),
-    "case_path_3": _q("SELECT patient_id FROM case3"),
-    "cases": _q("SELECT patient_id FROM cases"),
-    "glucose_tested": _q("SELECT patient_id FROM glu"),
-    "controls": _q("SELECT patient_id FROM controls"),
-    "controls_published": _q("SELECT patient_id FROM controls_pub"),
+    "case_path_1": _q("SELECT patient_id FROM rules WHERE path_1"),
+    "case_path_2": _q("SELECT patient_id FROM rules WHERE path_2"),
+    "case_path_3": _q("SELECT patient_id FROM rules WHERE path_3"),
+    "cases": _q("SELECT patient_id FROM labels WHERE label = 1"),
+    "glucose_tested": _q("SELECT patient_id FROM facts WHERE glucose"),
+    "controls": _q("SELECT patient_id FROM labels WHERE label = 2"),
+    "controls_published": _q("SELECT patient_id FROM labels_pub WHERE label = 2"),
     "others": _q("SELECT patient_id FROM labels WHERE label = 3"),
     "phenotype_labels": _q("SELECT patient_id, label FROM labels"),
     "phenotype_labels_published": _q("SELECT patient_id, label FROM labels_pub"),
@@ -232,6 +238,9 @@ ORACLE: dict[str, str] = {
     "lab_means": _q("SELECT patient_id, feature, round(value, 6) AS value FROM labf"),
     "dx_counts_filtered": _q("SELECT patient_id, feature, round(value, 6) AS value FROM dxf_c"),
     "med_counts_filtered": _q("SELECT patient_id, feature, round(value, 6) AS value FROM medf_c"),
+    "med_counts_filtered_terms": _q(
+        "SELECT patient_id, feature, round(value, 6) AS value FROM medf_c"
+    ),
     "lab_means_filtered": _q("SELECT patient_id, feature, round(value, 6) AS value FROM labf_c"),
     "feature_tuples": _q("SELECT patient_id, feature, round(value, 6) AS value FROM tuples"),
     "feature_tuples_filtered": _q(
@@ -259,6 +268,7 @@ SELECT CAST(sum(total) AS BIGINT) AS n, round(sum(best) / sum(total), 6) AS puri
     FROM customer c JOIN labels l ON CAST(c.c_custkey AS VARCHAR) = l.patient_id
     GROUP BY 1, 2) GROUP BY cluster)"""),
     "csv_lab_roundtrip": _q("SELECT patient_id, ts_ms, test_name, value FROM lab"),
+    "csv_med_roundtrip": _q("SELECT patient_id, ts_ms, medicine FROM med"),
     "csv_dx_roundtrip": _q("SELECT patient_id, ts_ms, code FROM dx"),
     "term_set": _q("SELECT DISTINCT medicine AS term FROM med"),
     "label_sink_roundtrip": _q("SELECT patient_id, label FROM labels"),
@@ -270,9 +280,9 @@ mm AS (SELECT idx, sum(value) / (SELECT n FROM np) AS mean, count(*) AS nnz
        FROM mlong GROUP BY idx),
 ss AS (SELECT m.idx, m.mean, m.nnz, sum((l.value - m.mean) * (l.value - m.mean)) AS ss
        FROM mlong l JOIN mm m ON l.idx = m.idx GROUP BY m.idx, m.mean, m.nnz)
-SELECT idx, CAST(mean AS FLOAT) AS mean,
-       CAST(sqrt((ss + ((SELECT n FROM np) - nnz) * mean * mean) / ((SELECT n FROM np) - 1.0))
-            AS FLOAT) AS std
+SELECT idx, round(mean, 6) AS mean,
+       round(sqrt((ss + ((SELECT n FROM np) - nnz) * mean * mean) / ((SELECT n FROM np) - 1.0)), 6)
+           AS std
 FROM ss"""),
     "nearest_centre": _EMB + "SELECT vec_id, cluster FROM a",
     "kmeans_one_step": _EMB + (
@@ -323,4 +333,29 @@ SELECT CAST(g.i AS INTEGER) AS i, CAST(g.j AS INTEGER) AS j,
                        / ((SELECT n FROM np) - 1) / sqrt(a.var * b.var) END, 6) AS value
 FROM grid g JOIN mm a ON a.idx = g.i JOIN mm b ON b.idx = g.j
 LEFT JOIN sp ON sp.i = g.i AND sp.j = g.j"""),
+    "kmeans_lloyd_steps": _lloyd(3),
+    "pca_certificate": _q(
+        "SELECT (SELECT count(DISTINCT patient_id) FROM tuples) AS n, "
+        "least(10, (SELECT count(*) FROM dict))::INTEGER AS k, true AS orthonormal, "
+        "true AS uncorrelated, true AS centred, true AS falling"
+    ),
+    "kmeans_certificate": _q(
+        "SELECT count(DISTINCT patient_id) AS n, true AS nearest, true AS step_gains, true AS settled FROM tuples"
+    ),
+    "online_kmeans_certificate": _q(
+        "SELECT count(DISTINCT patient_id) AS n, true AS nearest, true AS step_gains FROM tuples"
+    ),
+    "gmm_certificate": _q(
+        "SELECT count(DISTINCT patient_id) AS n, true AS sums_to_one, true AS likeliest, "
+        "true AS weights_sum_to_one FROM tuples"
+    ),
+    "experiment_certificate": _q("""
+SELECT arm, algorithm, n, true AS purity_in_bounds
+FROM (SELECT 'all' AS arm, count(DISTINCT patient_id) AS n FROM tuples
+      UNION ALL SELECT 'filtered', count(DISTINCT patient_id) FROM tuples_c),
+     (VALUES ('kmeans'), ('gmm'), ('streaming_kmeans')) v(algorithm)"""),
+    "score_new_patients": _q(
+        "SELECT DISTINCT patient_id, CAST(patient_id AS BIGINT) % 2 = 0 AS fitted, "
+        "true AS as_in_long_form FROM tuples"
+    ),
 }

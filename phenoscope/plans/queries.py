@@ -1,7 +1,7 @@
 """Registered queries: one per operator group of the inventory.
 
-Each takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole
-tables.  Column names match the DuckDB oracle in ``oracle.py``; instants are
+Each takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables
+(fits, and frames that several steps read, run when the query is built).  Column names match the DuckDB oracle in ``oracle.py``; instants are
 returned as epoch milliseconds and averaged doubles are rounded to 6 places
 (summation order differs between engines).
 """
@@ -17,7 +17,7 @@ from ..operators import cohort, features, metrics
 from ..operators.extract import with_epoch_ms
 from ..sources.criteria import candidate_terms, criteria_frame, lab_rules_frame
 from ..session import reliable_checkpoint
-from .context import load_events, materialize_events
+from .context import load_events
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -70,6 +70,19 @@ def code_set_members_published(spark, sf_dir):
     return cohort.code_set_members(ev.dx, ev.med, criteria_frame(spark, "published"))
 
 
+@query
+def code_set_members_file(spark, sf_dir):
+    """S5 from files: the published sets written as criteria files (code, description)
+    and read back."""
+    from ..session import scratch_path
+    from ..sources.criteria import read_criteria, write_criteria
+
+    root = scratch_path(spark, "criteria")
+    write_criteria(spark, "published", root)
+    ev = load_events(spark, sf_dir)
+    return cohort.code_set_members(ev.dx, ev.med, read_criteria(spark, root))
+
+
 @query
 def dx_prefix_members(spark, sf_dir):
     return cohort.dx_prefix_patients(load_events(spark, sf_dir).dx, "250")
@@ -200,6 +213,19 @@ def med_counts_filtered(spark, sf_dir):
     return _tuples_out(features.medication_features(med, candidate_terms("med")))
 
 
+@query
+def med_counts_filtered_terms(spark, sf_dir):
+    """P13 with a term frame: the candidates come from a term file."""
+    from ..session import scratch_path
+    from ..sources.criteria import candidate_frame
+    from ..sources.terms import read_term_set, write_term_set
+
+    path = scratch_path(spark, "med-filter")
+    write_term_set(candidate_frame(spark, "med"), "term", path)
+    med = load_events(spark, sf_dir).med
+    return _tuples_out(features.medication_features(med, read_term_set(spark, path)))
+
+
 @query
 def lab_means_filtered(spark, sf_dir):
     lab = load_events(spark, sf_dir).lab
@@ -250,18 +276,16 @@ def feature_matrix_long(spark, sf_dir):
 
 @query
 def feature_vectors(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
+    from .learn import patient_matrix
 
-    t = _stored_tuples(spark, sf_dir)
-    d = features.feature_dictionary(t)
-    size = d.count()
-    v = features.patient_vectors(features.feature_matrix_long(t, d), size)
-    arr = vector_to_array("features")
+    v, size = patient_matrix(_stored_tuples(spark, sf_dir))
+    # the stored struct of a sparse vector, without making it dense
+    values = F.unwrap_udt("features")["values"]
     return v.select(
         "patient_id",
         F.lit(size).cast("long").alias("size"),
-        F.size(F.filter(arr, lambda x: x != 0.0)).cast("long").alias("nnz"),
-        _r(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)).alias("total"),
+        F.size(F.filter(values, lambda x: x != 0.0)).cast("long").alias("nnz"),
+        _r(F.aggregate(values, F.lit(0.0), lambda a, x: a + x)).alias("total"),
     )
 
 
@@ -297,7 +321,8 @@ def purity_vs_phenotype(spark, sf_dir):
 
 def _staged_csv(spark, sf_dir, stems):
     """Write raw extracts as headed CSV under the shared scratch folder and read
-    them back as views named after their paths."""
+    them back as views named after their paths.  The files have a further column
+    and another column order, as real extracts do."""
     from ..session import scratch_path
     from ..sources.csv import RAW_COLUMNS, read_csv_table, write_csv_table
 
@@ -306,7 +331,8 @@ def _staged_csv(spark, sf_dir, stems):
     out = {}
     for stem in stems:
         path = f"{root}/{stem}.csv"
-        write_csv_table(raw[stem], path)
+        backward = [F.col(c) for c in reversed(RAW_COLUMNS[stem])]
+        write_csv_table(raw[stem].select(*backward[:1], F.lit("x, y").alias("Remark"), *backward[1:]), path)
         out[stem] = read_csv_table(spark, path, columns=RAW_COLUMNS[stem])
     return out
 
@@ -319,6 +345,14 @@ def csv_lab_roundtrip(spark, sf_dir):
     return with_epoch_ms(extract_labs(spark.table("lab_results_INPUT")))
 
 
+@query
+def csv_med_roundtrip(spark, sf_dir):
+    from ..operators.extract import extract_medications
+
+    _staged_csv(spark, sf_dir, ["medication_orders_INPUT"])
+    return with_epoch_ms(extract_medications(spark.table("medication_orders_INPUT")))
+
+
 @query
 def csv_dx_roundtrip(spark, sf_dir):
     from ..operators.extract import extract_diagnoses
@@ -370,9 +404,7 @@ def feature_moments(spark, sf_dir):
     long = reliable_checkpoint(features.feature_matrix_long(t, features.feature_dictionary(t)))
     n_rows = long.select("patient_id").distinct().count()
     m = moments(long, n_rows)
-    # single precision: the two engines sum in different orders
-    return m.select("idx", F.col("mean").cast("float").alias("mean"),
-                    F.col("std").cast("float").alias("std"))
+    return m.select("idx", _r("mean").alias("mean"), _r("std").alias("std"))
 
 
 # --- clustering on embeddings with fixed centres (M8 step, M10, M11) --------
@@ -428,8 +460,9 @@ def online_kmeans_update(spark, sf_dir):
 def online_kmeans_stream(spark, sf_dir):
     """M10 as Structured Streaming: the embeddings file is read as a stream and
     every micro-batch updates the model through ``foreachBatch``; the state is
-    versioned by batch id in the shared checkpoint folder.  One file gives one
-    micro-batch, so the result equals the batch update."""
+    versioned by batch id in the shared checkpoint folder.  ``availableNow`` takes
+    all files as one micro-batch, however many there are, so the result equals
+    the batch update."""
     from ..session import scratch_path
     from ..streaming.online_kmeans import OnlineKMeans
 
@@ -437,7 +470,7 @@ def online_kmeans_stream(spark, sf_dir):
     centres = _fixed_centres(e)
     schema = spark.read.parquet(f"{sf_dir}/embeddings.parquet").schema
     # a file stream watches a folder; the glob selects the one table file in it
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    stream = (spark.readStream.schema(schema)
               .parquet(f"{sf_dir}/embedding[s].parquet"))
     stream = stream.select(F.col("embedding").cast("array<double>").alias("features"))
     m = OnlineKMeans(3, decay=1.0, time_unit="batches",
@@ -466,7 +499,7 @@ def embedding_purity(spark, sf_dir):
 def _experiment(spark, sf_dir, algorithms):
     from .learn import ClusteringExperiment, patient_matrix
 
-    vectors, width = patient_matrix(_all_tuples(spark, sf_dir))
+    vectors, width = patient_matrix(_stored_tuples(spark, sf_dir))
     return ClusteringExperiment().fit(vectors, width, algorithms)
 
 
@@ -497,7 +530,7 @@ def online_kmeans_assign(spark, sf_dir):
 def experiment_report(spark, sf_dir):
     from .learn import experiment_report as report
 
-    ev = materialize_events(load_events(spark, sf_dir))
+    ev = load_events(spark, sf_dir)
     labels = cohort.phenotype_labels(ev.dx, ev.med, ev.lab)
     return report(ev.dx, ev.med, ev.lab, labels)
 
@@ -510,7 +543,7 @@ def standardised_values(spark, sf_dir):
 
     from .learn import patient_matrix, standardise
 
-    vectors, _ = patient_matrix(_all_tuples(spark, sf_dir))
+    vectors, _ = patient_matrix(_stored_tuples(spark, sf_dir))
     _, scaled = standardise(vectors)
     return scaled.select("patient_id", F.posexplode(vector_to_array("scaled")).alias(
         "idx", "value")).select("patient_id", "idx", _r("value").alias("value"))
@@ -518,10 +551,137 @@ def standardised_values(spark, sf_dir):
 
 @query
 def covariance_entries(spark, sf_dir):
-    from .learn import patient_matrix, standardise, standardised_covariance
+    from .learn import covariance_long
 
-    vectors, width = patient_matrix(_all_tuples(spark, sf_dir))
-    _, scaled = standardise(vectors)
-    cov = standardised_covariance(scaled, width)
-    rows = [(i, j, float(round(cov[i][j], ROUND))) for i in range(width) for j in range(width)]
-    return spark.createDataFrame(rows, "i int, j int, value double")
+    t = _stored_tuples(spark, sf_dir)
+    d = features.feature_dictionary(t)
+    long = reliable_checkpoint(features.feature_matrix_long(t, d))
+    cov = covariance_long(long, long.select("patient_id").distinct().count(), d.count())
+    return cov.select("i", "j", _r("value").alias("value"))
+
+
+# --- certificates of the fitted models (M4-M9, M13, M14, S8) ----------------
+# A fit has no SQL twin, so these return what must hold of it over all rows: exact
+# counts, and whether each property of the model holds.
+
+@query
+def kmeans_lloyd_steps(spark, sf_dir):
+    """M8: three Lloyd steps from fixed centres."""
+    from .learn import kmeans_step
+
+    e = _embeddings(spark, sf_dir)
+    centres = _fixed_centres(e)
+    for _ in range(3):
+        step = kmeans_step(e, centres)
+        centres = [r.centre for r in sorted(step.collect(), key=lambda r: r.cluster)]
+    rows = [(k, j, float(round(x, ROUND))) for k, c in enumerate(centres) for j, x in enumerate(c)]
+    return spark.createDataFrame(rows, "cluster int, dim int, value double")
+
+
+@query
+def pca_certificate(spark, sf_dir):
+    """M5, M6: orthonormal components, uncorrelated projections of falling variance."""
+    import numpy as np
+    from pyspark.ml.stat import Correlation, Summarizer
+
+    exp = _experiment(spark, sf_dir, ())
+    v = exp.projection.components
+    k = v.shape[1]
+    corr = Correlation.corr(exp.projected, "pca").first()[0].toArray()
+    row = exp.projected.agg(Summarizer.metrics("count", "mean", "variance").summary(F.col("pca")).alias("s")).first().s
+    var = row.variance.toArray()
+    return spark.createDataFrame([(
+        int(row["count"]), k, bool(np.abs(v.T @ v - np.eye(k)).max() < 1e-8),
+        bool(np.abs(corr - np.eye(k)).max() < 1e-6), bool(np.abs(row.mean.toArray()).max() < 1e-6),
+        bool((np.diff(var) <= 1e-9 * var[0]).all()))],
+        "n long, k int, orthonormal boolean, uncorrelated boolean, centred boolean, falling boolean")
+
+
+def _nearest_certificate(exp, algorithm, centres):
+    """``n`` rows, each with the nearest centre, and whether a Lloyd step gains little."""
+    from ..streaming.online_kmeans import as_array, squared_distances
+    from ..streaming.online_kmeans import nearest_centre as assign
+    from .learn import kmeans_step
+
+    rows = assign(exp.projected, centres, "pca", "nearest").join(exp.assignments(algorithm), "patient_id")
+
+    def cost(c):
+        return exp.projected.agg(F.sum(F.array_min(squared_distances(as_array(exp.projected, "pca"), c)))).first()[0]
+
+    moved = {r.cluster: r.centre for r in kmeans_step(exp.projected, centres, "pca").collect()}
+    before, after = cost(centres), cost([moved.get(k, list(c)) for k, c in enumerate(centres)])
+    return rows.agg(F.count("*").alias("n"), F.bool_and(F.col("nearest") == F.col("cluster")).alias("nearest"),
+                    F.lit(bool(after <= before * (1 + 1e-9))).alias("step_gains"),
+                    F.lit(bool(before - after <= 0.01 * before)).alias("settled"))
+
+
+@query
+def kmeans_certificate(spark, sf_dir):
+    """M8: every patient is with the nearest centre, and another Lloyd step changes
+    the cost by one percent at most."""
+    exp = _experiment(spark, sf_dir, ("kmeans",))
+    return _nearest_certificate(exp, "kmeans", [c.tolist() for c in exp.models["kmeans"].clusterCenters()])
+
+
+@query
+def online_kmeans_certificate(spark, sf_dir):
+    """Every patient is with the nearest centre of the updated model."""
+    exp = _experiment(spark, sf_dir, ("streaming_kmeans",))
+    centres = exp.models["streaming_kmeans"].state.centres.tolist()
+    return _nearest_certificate(exp, "streaming_kmeans", centres).select("n", "nearest", "step_gains")
+
+
+@query
+def gmm_certificate(spark, sf_dir):
+    """M9: probabilities sum to 1, the label is the likeliest component, weights sum to 1."""
+    from pyspark.ml.functions import vector_to_array
+
+    exp = _experiment(spark, sf_dir, ("gmm",))
+    model = exp.models["gmm"]
+    p = vector_to_array("probability")
+    rows = model.transform(exp.projected).select("cluster", p.alias("p"))
+    total = F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
+    return rows.agg(
+        F.count("*").alias("n"), F.bool_and(F.abs(total - 1.0) < 1e-9).alias("sums_to_one"),
+        F.bool_and(F.get("p", F.col("cluster")) == F.array_max("p")).alias("likeliest"),
+        F.lit(bool(abs(sum(model.weights) - 1.0) < 1e-9)).alias("weights_sum_to_one"))
+
+
+@query
+def experiment_certificate(spark, sf_dir):
+    """Patients of each arm exactly, and each purity between the share of
+    the arm's largest class and 1."""
+    from .learn import experiment_report as report
+
+    ev = load_events(spark, sf_dir)
+    labels = reliable_checkpoint(cohort.phenotype_labels(ev.dx, ev.med, ev.lab))
+    parts = []
+    for arm, filtered in (("all", False), ("filtered", True)):
+        own = _all_tuples(spark, sf_dir, filtered).select("patient_id").distinct().join(labels, "patient_id")
+        sizes = own.groupBy("label").agg(F.count("*").alias("c"))
+        parts.append(sizes.agg((F.max("c") / F.sum("c")).alias("share")).withColumn("arm", F.lit(arm)))
+    found = report(ev.dx, ev.med, ev.lab, labels).join(parts[0].unionByName(parts[1]), "arm")
+    ok = (F.col("purity") >= F.col("share") - 1e-9) & (F.col("purity") <= 1.0)
+    return found.select("arm", "algorithm", "n", ok.alias("purity_in_bounds"))
+
+
+@query
+def score_new_patients(spark, sf_dir):
+    """M7: scaler and components fitted on the patients with an even id, every patient
+    projected; checked per patient against the projection from the long form."""
+    from pyspark.ml.functions import vector_to_array
+
+    from .learn import ClusteringExperiment, long_projection
+
+    t = _stored_tuples(spark, sf_dir)
+    d = features.feature_dictionary(t)
+    long = reliable_checkpoint(features.feature_matrix_long(t, d))
+    width = d.count()
+    vectors = features.patient_vectors(long, width)
+    fitted = F.col("patient_id").cast("long") % 2 == 0
+    exp = ClusteringExperiment().fit(vectors.where(fitted), width, ())
+    scored = exp.score(vectors).select("patient_id", vector_to_array("pca").alias("a"))
+    expected = long_projection(long, exp.projection).withColumnRenamed("pca", "b")
+    worst = F.array_max(F.zip_with("a", "b", lambda x, y: F.abs(x - y)))
+    return scored.join(expected, "patient_id").select(
+        "patient_id", fitted.alias("fitted"), (worst < 1e-6).alias("as_in_long_form"))

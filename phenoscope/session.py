@@ -4,7 +4,6 @@ size-checked broadcast."""
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,24 +43,23 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
 
 
 def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 << 20,
-                           minimum: int = 8, maximum: int = 100_000) -> int:
+                           minimum: int = 8) -> int:
     """Initial shuffle partition count for a stage writing ``shuffle_bytes``.
 
     AQE coalesces small partitions afterwards, so the initial count only has
     to be high enough that no reduce partition outgrows executor memory: about
     one partition per ``target_bytes`` of shuffled data.  Map-side combining
     makes the shuffle of the cohort and feature aggregates far smaller than the
-    scanned input; the cap keeps map-output bookkeeping bounded.
+    scanned input.
     """
-    return min(maximum, max(minimum, -(-int(shuffle_bytes) // int(target_bytes))))
+    return max(minimum, -(-int(shuffle_bytes) // int(target_bytes)))
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only a local-mode session without one
-    (tests) gets a private temporary folder; a cluster without one is an error,
-    because a machine-local folder is not visible to other executors.
+    The cluster's setting always wins.  Where it is unset, a folder under the
+    warehouse folder serves, which all executors share as well.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,9 +69,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        configured = tempfile.mkdtemp(prefix="phenoscope-ckpt-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_phenoscope_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -211,6 +212,42 @@ def criteria_frame(spark: SparkSession, profile: str | Profile = "reference") ->
     return spark.createDataFrame(criteria_rows(profile), CRITERIA_SCHEMA)
 
 
+# file of each code set in a criteria folder, and whether it holds diagnoses or drugs
+CRITERIA_FILES = {"t1dm_dx": "dx", "t2dm_dx": "dx", "t1dm_med": "med", "t2dm_med": "med",
+                  "dm_related_dx": "dx"}
+
+
+def read_criteria(spark: SparkSession, folder: str, column: int = 0) -> DataFrame:
+    """S5 from files ``folder/<set_name>.csv``: a header, a code column (the first by
+    default) and any further columns, e.g. a description with quoted commas.
+
+    A code ending in ``*`` is a prefix (``250.*`` means every code from ``250`` on).
+    Codes are lower-cased like event names; blanks are kept; empty codes are skipped.
+    """
+    out = None
+    for set_name, source in CRITERIA_FILES.items():
+        df = (spark.read.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+              .option("ignoreTrailingWhiteSpace", "false").csv(f"{folder}/{set_name}.csv"))
+        code = F.lower(F.col(f"`{df.columns[column]}`"))
+        prefix = code.endswith("*")
+        rows = df.where(code.isNotNull() & (code != "")).select(
+            F.lit(set_name).alias("set_name"), F.lit(source).alias("source"),
+            F.when(prefix, "prefix").otherwise("exact").alias("match_kind"),
+            F.when(prefix, F.regexp_replace(code, "[.]?[*]$", "")).otherwise(code).alias("term"))
+        out = rows if out is None else out.unionByName(rows)
+    return out.distinct()
+
+
+def write_criteria(spark: SparkSession, profile: str | Profile, folder: str) -> None:
+    """Write a profile as criteria files (see ``read_criteria``)."""
+    for set_name in CRITERIA_FILES:
+        rows = [(t + (".*" if kind == "prefix" else ""), f"{set_name}, {kind}")
+                for name, _, kind, t in criteria_rows(profile) if name == set_name]
+        (spark.createDataFrame(rows, "code string, description string").write.mode("overwrite")
+         .option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+         .option("ignoreTrailingWhiteSpace", "false").csv(f"{folder}/{set_name}.csv"))
+
+
 def lab_rules_frame(spark: SparkSession) -> DataFrame:
     """P12 rule table ``(test_name, op, threshold)``; seven fixed rows."""
     return spark.createDataFrame(

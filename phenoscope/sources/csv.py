@@ -6,7 +6,6 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 # Fixed value: the view name is the last run of word characters, ``.csv`` dropped.
 _TABLE_NAME = re.compile(r"(\w+)(\.csv)?$")
@@ -33,28 +32,36 @@ def read_csv_table(spark: SparkSession, path: str, table_name: str | None = None
     """S1 + S2: read a headed CSV extract as all-string columns and register it
     as a temp view (named after the path when ``table_name`` is omitted).
 
-    With ``columns`` the schema is fixed (no header-driven guessing); otherwise
-    the header names the columns, still all strings.
+    The header names the columns; ``columns`` selects some of them by name, so
+    further columns and any order are fine, and a missing one is an error.
 
-    Malformed rows are judged on the whole row: CSV column pruning would let a
-    one-column read or a ``count()`` keep rows that a full read drops, so the
-    parser sees every field.  (The switch is a session setting, read when the
-    scan executes; it only costs tokenizing columns that a query drops.)
+    Malformed rows are judged on the whole row: with CSV column pruning a
+    one-column read or a ``count()`` would keep rows that a full read drops, so
+    this reader turns pruning off for itself (blanks are kept, too).
     """
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    reader = (
+    df = (
         spark.read.option("header", "true")
         .option("mode", mode)
         .option("delimiter", delimiter)
         .option("inferSchema", "false")
+        .option("columnPruning", "false")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+        .csv(path)
     )
     if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    df = reader.csv(path)
+        missing = [c for c in columns if c not in df.columns]
+        if missing:
+            raise ValueError(f"{path}: no column {', '.join(missing)} in {', '.join(df.columns)}")
+        df = df.select(*columns)
     df.createOrReplaceTempView(table_name or infer_table_name(path))
     return df
 
 
 def write_csv_table(df: DataFrame, path: str, delimiter: str = ",") -> None:
-    """Write a frame as a headed CSV extract (used to stage raw extracts)."""
-    df.write.mode("overwrite").option("header", "true").option("delimiter", delimiter).csv(path)
+    """Write a frame as a headed CSV extract (used to stage raw extracts).
+
+    Blanks are kept, and an empty text (quoted) differs from a null (nothing)."""
+    (df.write.mode("overwrite").option("header", "true").option("delimiter", delimiter)
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+     .option("emptyValue", '""').option("nullValue", "").csv(path))

@@ -10,6 +10,9 @@ with integer arithmetic that DuckDB reproduces exactly:
   ``A`` medication order, ``N`` lab result) and its name by the hash
   ``h = (l_orderkey*31 + l_partkey*17 + l_linenumber*7) % 1000``;
 * names are upper-cased when ``h`` is even (loading lower-cases them);
+* names with outer blanks and their plain forms both occur (``glucatrol ``);
+* medication orders with ``h < 140`` are dated to the start of their year, so the
+  first orders of two drug classes tie;
 * instants are ISO text with zone ``Z``, or shifted two hours with ``+02``
   when ``h % 3 = 0`` (the same instant);
 * lab numbers are cents ``c = l_quantity*400 + h % 100`` (times 1000 when
@@ -32,13 +35,15 @@ RAW_TABLE_NAMES = ("encounter_INPUT", "encounter_dx_INPUT", "medication_orders_I
 # fall through to the generic name given after each table.
 DX_BY_HASH = (
     (3, "250.01"), (6, "250.13"), (18, "250.00"), (26, "250.02"), (30, "790.29"),
-    (33, "250.10"), (36, "V77.1"), (38, "648.00"),
+    (33, "250.10"), (36, "V77.1"), (38, "648.00"), (44, "code2"),
 )
 DX_OTHER = ("d", 40)  # 'd' || h % 40
 MED_BY_HASH = (
     (20, "insulin nph"), (40, "lantus"), (65, "metformin"), (90, "glipizide"),
-    (95, "insulin glargine"),
+    (95, "insulin glargine"), (110, " insulin glargine"), (125, "glucatrol "), (140, "glucatrol"),
 )
+# orders below this hash are dated to the start of their year, so first orders tie
+MED_TIED_BELOW = 140
 MED_OTHER = ("m", 25)
 LAB_BY_HASH = (
     (20, "glucose"), (35, "fasting glucose"), (50, "glucose, serum"), (70, "hba1c"),
@@ -120,9 +125,11 @@ def raw_encounter_dx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_medication_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = line_hash()
+    date = F.col("l_shipdate").cast("timestamp_ntz")
+    year = F.date_trunc("year", date).cast("timestamp_ntz")
     return _lines_with_patient(spark, sf_dir, "A").select(
         F.col("o_custkey").cast("string").alias("Member_ID"),
-        _iso_text(F.col("l_shipdate"), h).alias("Order_Date"),
+        _iso_text(F.when(h < MED_TIED_BELOW, year).otherwise(date), h).alias("Order_Date"),
         _name_by_hash(h, MED_BY_HASH, MED_OTHER).alias("Drug_Name"),
     )
 

@@ -23,8 +23,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,25 +59,22 @@ def nearest_centre(df: DataFrame, centres: np.ndarray, features_col: str = "feat
                    out: str = "cluster") -> DataFrame:
     """Add the index of the nearest centre (lowest index on ties)."""
     d = squared_distances(as_array(df, features_col), np.asarray(centres, dtype=float))
-    return df.withColumn(out, (F.array_position(d, F.array_min(d)) - 1).cast("int"))
+    # the least (distance, index): the distances are evaluated once
+    nearest = F.array_min(F.transform(d, lambda x, i: F.struct(x.alias("d"), i.alias("i"))))
+    return df.withColumn(out, nearest["i"].cast("int"))
 
 
 def cluster_stats(assigned: DataFrame, features_col: str, dim: int,
                   cluster_col: str = "cluster") -> dict[int, tuple[int, np.ndarray]]:
     """Per-cluster point count and coordinate sum: one grouped aggregate, k rows
     collected."""
-    arr = as_array(assigned, features_col)
+    vector = array_to_vector(as_array(assigned, features_col))
     rows = (
-        assigned.select(F.col(cluster_col).alias("_c"), arr.alias("_x"))
-        .groupBy("_c")
-        .agg(F.count(F.lit(1)).alias("_n"),
-             *[F.sum(F.col("_x")[j]).alias(f"s{j}") for j in range(dim)])
-        .collect()
+        assigned.select(F.col(cluster_col).alias("_c"), vector.alias("_x"))
+        .groupBy("_c").agg(Summarizer.metrics("sum", "count").summary(F.col("_x")).alias("_s"))
+        .select("_c", "_s.sum", "_s.count").collect()
     )
-    return {
-        int(r["_c"]): (int(r["_n"]), np.array([r[f"s{j}"] for j in range(dim)], dtype=float))
-        for r in rows
-    }
+    return {int(r["_c"]): (int(r["count"]), r["sum"].toArray()) for r in rows}
 
 
 def apply_update(centres: np.ndarray, weights: np.ndarray,
@@ -133,6 +131,7 @@ class OnlineKMeans:
         self.k, self.decay, self.time_unit = k, decay, time_unit
         self.features_col, self.state_dir = features_col, state_dir
         self.state: OnlineKMeansState | None = None
+        self.stream: str | None = None
 
     # -- initial state ------------------------------------------------------
     def set_centres(self, centres, weights) -> OnlineKMeans:
@@ -174,7 +173,11 @@ class OnlineKMeans:
             self._save(batch_df.sparkSession)
 
     def run_stream(self, stream_df: DataFrame, checkpoint_location: str, trigger=None):
-        """Start the update stream; ``trigger`` defaults to ``availableNow``."""
+        """Start the update stream; ``trigger`` defaults to ``availableNow``.
+
+        The state belongs to the stream of ``checkpoint_location``: batch numbers
+        say what was applied only within one stream, so another stream fails on it."""
+        self.stream = checkpoint_location.rstrip("/")
         writer = (
             stream_df.writeStream.foreachBatch(self.foreach_batch)
             .option("checkpointLocation", checkpoint_location)
@@ -188,11 +191,12 @@ class OnlineKMeans:
         T.StructField("weight", T.DoubleType()),
         T.StructField("centre", T.ArrayType(T.DoubleType())),
         T.StructField("batch_id", T.LongType()),
+        T.StructField("stream", T.StringType()),
     ])
 
     def _save(self, spark: SparkSession) -> None:
         s = self._require_state()
-        rows = [(k, float(s.weights[k]), [float(x) for x in s.centres[k]], int(s.batch_id))
+        rows = [(k, float(s.weights[k]), [float(x) for x in s.centres[k]], int(s.batch_id), self.stream)
                 for k in range(self.k)]
         (spark.createDataFrame(rows, self._STATE_SCHEMA).coalesce(1).write.mode("overwrite")
          .parquet(f"{self.state_dir}/version={s.batch_id}"))
@@ -225,6 +229,8 @@ class OnlineKMeans:
             .collect(),
             key=lambda r: r.cluster,
         )
+        if rows[0].stream != self.stream:
+            raise ValueError(f"{self.state_dir} holds the state of stream {rows[0].stream}, not of {self.stream}")
         self.state = OnlineKMeansState(
             np.array([r.centre for r in rows], dtype=float),
             np.array([r.weight for r in rows], dtype=float),

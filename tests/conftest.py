@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from datetime import datetime, timezone
 
 import pytest
@@ -11,7 +12,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from phenoscope.session import build_session
 
-    s = build_session("local[*]", shuffle_partitions=8)
+    s = build_session("local[*]", shuffle_partitions=8,
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="phenoscope-ckpt-"),
+                             "spark.ui.showConsoleProgress": "false"})
     yield s
     s.stop()
 

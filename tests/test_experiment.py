@@ -25,4 +25,5 @@ def test_run_from_files(spark):
     assert len(rows) == 6
     assert all(r.n > 0 and 0 < r.purity <= 1 for r in rows)
     lines = experiment.report_lines(report)
-    assert lines[0].startswith("[All feature] purity of kMeans is: ")
+    assert lines[0].startswith("[All feature] patients: ")
+    assert lines[2].startswith("[All feature] purity of kMeans is: ")

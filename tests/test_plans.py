@@ -4,16 +4,18 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from phenoscope.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 # fitted-model queries run Spark ML jobs while they are built
 FITTED = {"pca_projection", "kmeans_assign", "gmm_assign", "online_kmeans_assign",
-          "experiment_report", "standardised_values", "covariance_entries"}
+          "experiment_report", "standardised_values", "covariance_entries", "pca_certificate",
+          "kmeans_certificate", "online_kmeans_certificate", "gmm_certificate", "experiment_certificate",
+          "score_new_patients"}
 
 
 def _plan(spark, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     return df._jdf.queryExecution().executedPlan().toString(), df
 
 
@@ -56,7 +58,7 @@ def test_code_sets_are_broadcast_not_nested_loops(spark):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - FITTED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - FITTED))
 def test_no_cartesian_or_nested_loop_join(spark, name):
     plan, _ = _plan(spark, name)
     assert "CartesianProduct" not in plan
@@ -68,3 +70,19 @@ def test_feature_tuples_are_one_aggregation(spark):
     shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert len(shuffles) == 1
     assert all(k in shuffles[0] for k in ("patient_id", "feature", "kind"))
+
+
+@pytest.mark.parametrize("name", ["patients_without_t1dx", "patients_with_both_drugs"])
+def test_set_operations_collapse_hot_keys_before_the_shuffle(spark, name):
+    plan, _ = _plan(spark, name)
+    lines = [x.strip(" +-:*()0123456789") for x in plan.splitlines()]
+    for i, line in enumerate(lines):
+        if line.startswith("Exchange hashpartitioning"):
+            assert "HashAggregate" in lines[i + 1], plan
+
+
+@pytest.mark.parametrize("name", sorted({"feature_vectors", "covariance_entries", "score_new_patients",
+                                         "online_kmeans_assign", "nearest_centre", "kmeans_one_step"}))
+def test_no_python_on_the_executors(spark, name):
+    plan, _ = _plan(spark, name)
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

@@ -7,11 +7,13 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from phenoscope.plans.oracle import ORACLE
+from phenoscope.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-# fitted models: checked by invariants (row counts, ids), not by SQL
+# fitted models: their certificates have SQL
 ROWS_ONLY = {"pca_projection", "kmeans_assign", "gmm_assign", "online_kmeans_assign",
              "experiment_report"}
 
@@ -31,7 +33,8 @@ def _norm(rows):
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
 # Spark type → DuckDB type, for the schema half of the driver's comparison
@@ -39,11 +42,11 @@ SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double"
              "float": "FLOAT", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - ROWS_ONLY))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     cols = sorted(df.columns)
-    rel = con.sql(oracle_sql()[name])
+    rel = con.sql(ORACLE[name])
     assert {f.name: SQL_TYPES.get(f.dataType.simpleString()) for f in df.schema.fields} == \
         dict(zip(rel.columns, (str(t) for t in rel.types)))
     odf = rel.fetchdf()

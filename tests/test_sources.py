@@ -1,6 +1,7 @@
 """Sources, cleaning expressions and sinks."""
 
 import os
+import shutil
 import tempfile
 
 import pytest
@@ -73,6 +74,47 @@ def test_csv_malformed_rows_same_for_every_read(spark):
     assert spark.table("lab_results_INPUT").count() == 3
 
 
+def test_csv_columns_go_by_name(spark):
+    d = tempfile.mkdtemp()
+    path = os.path.join(d, "medication_orders_INPUT.csv")
+    os.mkdir(path)
+    with open(f"{path}/1.csv", "w") as f:
+        f.write("Drug_Name,Note,Member_ID,Order_Date\n Lantus ,x,p1,2010-01-01T00:00:00Z\n\"\",y,p2,2010-01-01T00:00:00Z\n")
+    before = spark.conf.get("spark.sql.csv.parser.columnPruning.enabled")
+    df = read_csv_table(spark, path, columns=["Member_ID", "Drug_Name"])
+    assert sorted(tuple(r) for r in df.collect()) == [("p1", " Lantus "), ("p2", "")]
+    assert spark.conf.get("spark.sql.csv.parser.columnPruning.enabled") == before
+    with open(f"{path}/2.csv", "w") as f:  # files that come later are seen by the next read
+        f.write("Drug_Name,Note,Member_ID,Order_Date\nx,x,p3,2010-01-01T00:00:00Z\n")
+    assert read_csv_table(spark, path, columns=["Member_ID"]).count() == 3
+    with pytest.raises(ValueError, match="Numeric_Result"):
+        read_csv_table(spark, path, columns=["Member_ID", "Numeric_Result"])
+
+
+def test_appended_files_are_seen_in_one_session(spark):
+    from phenoscope.plans.queries import QUERIES
+
+    sf, d = "/root/testdata/sf0.001", tempfile.mkdtemp()
+    shutil.copy(f"{sf}/orders.parquet", d)
+    spark.read.parquet(f"{sf}/lineitem.parquet").where("l_orderkey % 2 = 0").write.parquet(f"{d}/lineitem.parquet")
+    first = QUERIES["med_extract"](spark, d).count()
+    spark.read.parquet(f"{sf}/lineitem.parquet").where("l_orderkey % 2 = 1").write.mode("append").parquet(
+        f"{d}/lineitem.parquet")
+    assert 0 < first < QUERIES["med_extract"](spark, d).count() == QUERIES["med_extract"](spark, sf).count()
+
+
+def test_criteria_files(spark):
+    from phenoscope.sources.criteria import CRITERIA_FILES, read_criteria
+
+    d = tempfile.mkdtemp()
+    for name in CRITERIA_FILES:
+        with open(f"{d}/{name}.csv", "w") as f:
+            f.write("code,description\n250.*,\"any, of it\"\nV77.1,x\nV77.1,again\n\" Lantus\",y\n,empty\n")
+    got = sorted(tuple(r) for r in read_criteria(spark, d).where("set_name = 't1dm_med'").collect())
+    assert got == [("t1dm_med", "med", "exact", " lantus"), ("t1dm_med", "med", "exact", "v77.1"),
+                   ("t1dm_med", "med", "prefix", "250")]
+
+
 def test_infer_table_name():
     assert infer_table_name("data/x_INPUT.csv") == "x_INPUT"
     assert infer_table_name("a/b.txt") == "txt"
@@ -92,11 +134,16 @@ def test_term_set_lines(spark):
 def test_sinks_round_trip(spark, fmt):
     labels = spark.createDataFrame([("p1", 1), ("p2", 3)], "patient_id string, label int")
     tuples = spark.createDataFrame([("p1", "glucose, serum", 33.3333333333333),
-                                    ("p2", "250.00", 2.0)],
+                                    ("p2", "250.00", 2.0), ("p2", " a ", 1.0), ("p2", "a", 1.0),
+                                    ("p3", "", 1.0), ("p3", None, 1.0), ("p3", '""', 1.0), ("p3", 'q"x\\', 1.0)],
                                    "patient_id string, feature string, value double")
     d = tempfile.mkdtemp()
     write_labels(labels, f"{d}/labels", fmt)
     write_features(tuples, f"{d}/features", fmt)
     assert sorted(read_labels(spark, f"{d}/labels", fmt).collect()) == sorted(labels.collect())
-    assert sorted(read_features(spark, f"{d}/features", fmt).collect()) == sorted(
-        tuples.collect())
+    assert sorted(read_features(spark, f"{d}/features", fmt).collect(), key=repr) == sorted(
+        tuples.collect(), key=repr)
+    if fmt == "tsv":
+        for bad in ("a\tb", "a\nb", "\\N"):
+            with pytest.raises(Exception):
+                write_features(spark.createDataFrame([("p", bad, 1.0)], tuples.schema), f"{d}/bad", fmt)

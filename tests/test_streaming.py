@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import numpy as np
+import pytest
 from pyspark.ml.linalg import Vectors
 
 from phenoscope.streaming.online_kmeans import OnlineKMeans
@@ -62,3 +63,30 @@ def test_unfinished_state_write_is_ignored(spark):
     restarted.foreach_batch(_frame(spark, 1), 1)  # batch 1 is applied, not skipped
     assert restarted.state.batch_id == 1
     assert not np.array_equal(restarted.state.centres, m.state.centres)
+
+
+def test_state_of_another_stream_is_refused(spark):
+    src, state_dir = tempfile.mkdtemp(), tempfile.mkdtemp()
+    _frame(spark, 0).coalesce(1).write.mode("overwrite").parquet(src)
+    schema = spark.read.parquet(src).schema
+
+    def run():
+        online = OnlineKMeans(3, state_dir=state_dir).set_centres(CENTRES, [0.5] * 3)
+        online.run_stream(spark.readStream.schema(schema).parquet(src), tempfile.mkdtemp()).awaitTermination(120)
+
+    run()
+    with pytest.raises(Exception, match="holds the state of stream"):
+        run()  # a new checkpoint is a new stream: its batch 0 must not pass for applied
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_registered_stream_does_not_depend_on_file_layout(spark, files):
+    from phenoscope.plans.queries import QUERIES
+
+    sf, d = "/root/testdata/sf0.001", tempfile.mkdtemp()
+    table = spark.read.parquet(f"{sf}/embeddings.parquet")
+    table.repartition(files).write.parquet(f"{d}/embeddings.parquet")
+    got, batch = (sorted(map(tuple, QUERIES[q](spark, d).collect()))
+                  for q in ("online_kmeans_stream", "online_kmeans_update"))
+    assert [g[:2] for g in got] == [b[:2] for b in batch]
+    np.testing.assert_allclose([g[2:] for g in got], [b[2:] for b in batch], atol=2e-6)
