@@ -202,6 +202,36 @@ SELECT cluster, CAST(generate_subscripts(cx, 1) - 1 AS INTEGER) AS dim, round(un
 FROM c{steps}"""
 
 
+def _online_batches(batches: int) -> str:
+    """The online update unrolled over batches by ``vec_id % batches``, in that order."""
+    parts = [_EMB.split("d AS (")[0].rstrip().rstrip(","), """
+u AS (SELECT vec_id, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM e)""",
+             "c0 AS (SELECT cluster, cx, 0.5::DOUBLE AS w FROM c)"]
+    for k in range(batches):
+        parts.append(f"""
+a{k} AS (
+  SELECT vec_id, cluster FROM (
+    SELECT e.vec_id, c.cluster, row_number() OVER (PARTITION BY e.vec_id ORDER BY
+             list_reduce(list_transform(range(1, len(e.x) + 1),
+                                        lambda i: (e.x[i] - c.cx[i]) * (e.x[i] - c.cx[i])),
+                         lambda a, b: a + b, 0.0), c.cluster) AS rn
+    FROM e, c{k} c WHERE e.vec_id % {batches} = {k}) WHERE rn = 1)""")
+        parts.append(f"""
+s{k} AS (SELECT cluster, max(n) AS n, list(s ORDER BY i) AS sx FROM (
+  SELECT a.cluster, u.i, sum(u.v) AS s, count(*) AS n FROM a{k} a JOIN u USING (vec_id)
+  GROUP BY a.cluster, u.i) GROUP BY cluster)""")
+        parts.append(f"""
+c{k + 1} AS (
+  SELECT c.cluster, CASE WHEN n IS NULL THEN cx ELSE list_transform(range(1, len(cx) + 1),
+           lambda i: cx[i] * (1.0 - n / (w + n)) + sx[i] * ((n / (w + n)) / n)) END AS cx,
+         w + coalesce(n, 0) AS w
+  FROM c{k} c LEFT JOIN s{k} s USING (cluster))""")
+    return ",".join(parts) + f"""
+SELECT cluster, CAST(generate_subscripts(cx, 1) - 1 AS INTEGER) AS dim, round(unnest(cx), 6) AS value,
+       w AS weight
+FROM c{batches}"""
+
+
 ORACLE: dict[str, str] = {
     "lab_extract": _q("SELECT patient_id, ts_ms, test_name, value FROM lab"),
     "med_extract": _q("SELECT patient_id, ts_ms, medicine FROM med"),
@@ -334,6 +364,7 @@ SELECT CAST(g.i AS INTEGER) AS i, CAST(g.j AS INTEGER) AS j,
 FROM grid g JOIN mm a ON a.idx = g.i JOIN mm b ON b.idx = g.j
 LEFT JOIN sp ON sp.i = g.i AND sp.j = g.j"""),
     "kmeans_lloyd_steps": _lloyd(3),
+    "online_kmeans_two_batches": _online_batches(2),
     "pca_certificate": _q(
         "SELECT (SELECT count(DISTINCT patient_id) FROM tuples) AS n, "
         "least(10, (SELECT count(*) FROM dict))::INTEGER AS k, true AS orthonormal, "

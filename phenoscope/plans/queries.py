@@ -485,6 +485,27 @@ def online_kmeans_stream(spark, sf_dir):
     return spark.createDataFrame(rows, "cluster int, dim int, value double, weight double")
 
 
+@query
+def online_kmeans_two_batches(spark, sf_dir):
+    """M10 over two micro-batches: the vectors with an even id arrive, the stream runs
+    and ends, the others arrive, and a second run resumes from its checkpoint and state."""
+    from ..session import scratch_path
+    from ..streaming.online_kmeans import OnlineKMeans
+
+    e = _embeddings(spark, sf_dir)
+    centres = _fixed_centres(e)
+    source, state, checkpoint = (scratch_path(spark, f"online-kmeans-{n}") for n in ("source", "state", "runs"))
+    for part in range(2):
+        e.where(F.col("vec_id") % 2 == part).write.mode("append").parquet(source)
+        m = OnlineKMeans(3, decay=1.0, time_unit="batches", state_dir=state).set_centres(centres, [0.5] * 3)
+        m.run_stream(spark.readStream.schema(e.schema).parquet(source), checkpoint).awaitTermination()
+    rows = [
+        (k, j, float(round(m.state.centres[k][j], ROUND)), float(m.state.weights[k]))
+        for k in range(3) for j in range(centres.shape[1])
+    ]
+    return spark.createDataFrame(rows, "cluster int, dim int, value double, weight double")
+
+
 @query
 def embedding_purity(spark, sf_dir):
     from ..streaming.online_kmeans import nearest_centre as assign

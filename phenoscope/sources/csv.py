@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 # Fixed value: the view name is the last run of word characters, ``.csv`` dropped.
 _TABLE_NAME = re.compile(r"(\w+)(\.csv)?$")
 
+# What an empty field is read as on its way to null; no extract holds it, so a quoted
+# empty text stays one.
+_NO_TEXT = "\u0000"
+
 # Every raw extract column is text; nothing is inferred.
 RAW_COLUMNS = {
     "lab_results_INPUT": ("Member_ID", "Date_Collected", "Result_Name", "Numeric_Result"),
@@ -37,7 +41,8 @@ def read_csv_table(spark: SparkSession, path: str, table_name: str | None = None
 
     Malformed rows are judged on the whole row: with CSV column pruning a
     one-column read or a ``count()`` would keep rows that a full read drops, so
-    this reader turns pruning off for itself (blanks are kept, too).
+    this reader turns pruning off for itself.  Blanks are kept; an empty field is
+    null, a quoted empty one is the empty text.
     """
     df = (
         spark.read.option("header", "true")
@@ -45,6 +50,7 @@ def read_csv_table(spark: SparkSession, path: str, table_name: str | None = None
         .option("delimiter", delimiter)
         .option("inferSchema", "false")
         .option("columnPruning", "false")
+        .option("nullValue", _NO_TEXT)
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
         .csv(path)
