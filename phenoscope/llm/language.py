@@ -186,7 +186,9 @@ class LanguageModel:
             return out
         shift = 32 - (len(self.weights).bit_length() - 1)
         rows, owners, firsts, lasts, scripts = [], [], [], [], []
-        parts = [(i, at, p) for i, t in enumerate(texts) if t for at, p in _pieces(t)]
+        # marks without a letter make no word
+        parts = [(i, at, p) for i, t in enumerate(texts) if t and any(map(str.isalpha, t))
+                 for at, p in _pieces(t)]
         for a, b in text_slices([len(p) for _, _, p in parts]):
             own = np.array([i for i, _, _ in parts[a:b]])
             base = np.array([at for _, at, _ in parts[a:b]])

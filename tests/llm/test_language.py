@@ -49,7 +49,7 @@ def test_spans_scripts_and_edge_cases(spark):
     assert model.langs == ["de", "en", "ru"]
     text = "the lazy dog and the brown fox 123 быстрая лиса прыгает"
     docs = spark.createDataFrame(
-        [(1, text, 1), (2, None, 1), (3, "", 1), (4, "12 !! 3", 1), (5, "den faulen hund", 1),
+        [(1, text, 1), (2, None, 1), (3, "", 1), (4, "12 !! 3 \u0301", 1), (5, "den faulen hund", 1),
          (5, "den faulen hund", 1), (6, "x" * 3_000_000, 1)], "doc_id long, text string, score int")
     rows = L.identify_language(docs, model).orderBy("doc_id").collect()
     assert rows[0].__fields__ == ["doc_id", "text", "lang_pred", "score", "lang_spans"]
