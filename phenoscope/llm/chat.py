@@ -67,32 +67,31 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def branches(messages: DataFrame) -> DataFrame:
-    """``messages(node, parent, score)`` → ``(node, root, depth, branch)`` and the jumps
-    ``(node, level, up)`` to the ancestor 2**level above."""
+def branches(messages: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """``messages(node, parent, score)`` → ``(node, root, depth, branch)``, the jumps
+    ``(node, level, up)`` to the ancestor 2**level above, and the highest level."""
     nodes = messages.select("node", "parent", "score")
     known = nodes.select(F.col("node").alias("p"))
     now = written(nodes.join(known, nodes["parent"] == known["p"], "left").select(
         "node", F.col("p").alias("up"), F.col("score").alias("branch"),
         F.when(F.col("p").isNull(), F.col("node")).alias("root"),
         F.when(F.col("p").isNull(), 0).otherwise(1).cast("long").alias("depth")), "jumps")
-    jumps, level = now.where("up is not null").select("node", F.lit(0).alias("level"), "up"), 0
-    left, bound = now.where("up is not null").count(), now.count()
+    done, active = now.where("up is null"), now.where("up is not null")
+    jumps, level = active.select("node", F.lit(0).alias("level"), "up"), 0
+    left, bound = active.count(), now.count()
     # the chain above a node has fewer messages than there are; beyond that it is a cycle
     while left and (1 << level) <= bound:
-        above = now.select(F.col("node").alias("a"), F.col("up").alias("up2"), F.col("branch").alias("b2"),
-                           F.col("root").alias("r2"), F.col("depth").alias("d2"))
-        joined = now.join(above, now["up"] == above["a"], "left")
-        now = written(joined.select(
-            "node", F.col("up2").alias("up"),
-            F.when(F.col("a").isNull(), F.col("branch")).otherwise(F.col("branch") + F.col("b2")).alias("branch"),
-            F.coalesce("root", "r2").alias("root"),
-            F.when(F.col("a").isNull(), F.col("depth")).otherwise(F.col("depth") + F.col("d2")).alias("depth")),
-            "jumps")
+        above = done.unionByName(active).select(
+            F.col("node").alias("a"), F.col("up").alias("up2"), F.col("branch").alias("b2"),
+            F.col("root").alias("r2"), F.col("depth").alias("d2"))
+        now = written(active.join(above, active["up"] == above["a"]).select(
+            "node", F.col("up2").alias("up"), (F.col("branch") + F.col("b2")).alias("branch"),
+            F.col("r2").alias("root"), (F.col("depth") + F.col("d2")).alias("depth")), "jumps")
+        done, active = done.unionByName(now.where("up is null")), now.where("up is not null")
         level += 1
-        jumps = jumps.unionByName(now.where("up is not null").select("node", F.lit(level).alias("level"), "up"))
-        left = now.where("up is not null").count()
-    return now.where("up is null and root is not null").select("node", "root", "depth", "branch"), jumps, level
+        jumps = jumps.unionByName(active.select("node", F.lit(level).alias("level"), "up"))
+        left = active.count()
+    return done.select("node", "root", "depth", "branch"), jumps, level
 
 
 def conversations(messages: DataFrame, top: int | None = 1) -> DataFrame:
