@@ -10,8 +10,10 @@ A byte goes if a string of ``length`` bytes covers it that also starts earlier
    Runs are shuffled by that hash (hash, place; no text).  Runs of equal content count as
    one from the first batch on, so a text with millions of copies arrives once per
    batch; all but the first run of a content are repeats as a whole.
-2. The distinct runs of a hash that occurs more than once (or meets itself within
-   a run) fetch their text and are dealt by hash into buckets of ``BUCKET_BYTES``.
+2. Where the runs of a hash differ in content (or a run meets its own hash again),
+   the distinct ones fetch their text and are dealt by hash into buckets of
+   ``BUCKET_BYTES``; where one hash has too many, a second hash of the windows
+   deals them out.  Any other run shares its windows with exact copies only.
 3. A bucket sorts its suffixes to the threshold's depth, takes the transform, and
    derives the common prefixes in increasing order: the interval of the empty
    string is extended backward by every character, level by level; an interval whose
@@ -31,26 +33,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import broadcast_if_small
 from .common import read_table, same, strings, without, written
 
 LENGTH = 100
 GRAM = 32
 #: Text that a bucket sorts at a time, and bytes of a text that are hashed at a time.
-BUCKET_BYTES = 3 << 20
+BUCKET_BYTES = 3 << 19
 PIECE = 2 << 20
+#: Runs are shuffled with start and windows in one number, and these flags in another.
+N_BITS = PIECE.bit_length()
+NONE, AGAIN, KNOWN = 1, 2, 4
+#: Where the different runs of one hash have more bytes, a second hash deals them out.
+HOT_BYTES = 4 * BUCKET_BYTES
 
 
-def window_runs(data: bytes, length: int = LENGTH):
+def window_runs(data: bytes, length: int = LENGTH, seed: int = 0):
     """Runs ``(start, windows, smallest hash, whether the hash meets itself)``."""
     b, gram = np.frombuffer(data, np.uint8), min(GRAM, 1 << (length.bit_length() - 2))
     wide = length - gram + 1
-    h = (b.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    h = (b.astype(np.uint64) + np.uint64(1 + 256 * seed)) * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
     step = 1
     while step < gram:
@@ -76,7 +83,7 @@ def window_runs(data: bytes, length: int = LENGTH):
 
 
 def _runs(length: int):
-    names = ["m", "c", "none", "id", "row", "a", "n", "again", "known"]
+    names = ["m", "c", "id", "row", "an", "flags"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,9 +112,9 @@ def _runs(length: int):
             same_place = np.concatenate(([False], (place[:, 1:] == place[:, :-1]).all(axis=0)))
             known &= ~same_place  # a repeated row
             keep = known | ~same_place
+            flags = none[doc] * NONE + again * AGAIN + known * KNOWN
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[keep]) for x in (m, c, none[doc], ids[doc], row[doc], a, n, again, known)],
-                names)
+                [pa.array(x[keep]) for x in (m, c, ids[doc], row[doc], a << N_BITS | n, flags)], names)
 
     return find
 
@@ -140,21 +147,24 @@ def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs in the order of their hash → repeats as a whole (``whole``) and the first
     run of each content that may share a window with another."""
     for x in _groups(batches, "m"):
+        x["none"] = x["flags"] & NONE
+        x["a"], x["n"] = x["an"] >> N_BITS, x["an"] & ((1 << N_BITS) - 1)
         order = np.lexsort((x["a"], x["row"], x["id"], x["none"], x["c"], x["m"]))
         x = {k: v[order] for k, v in x.items()}
         new_m = np.concatenate(([True], x["m"][1:] != x["m"][:-1]))
         new_c = new_m | np.concatenate(([True], x["c"][1:] != x["c"][:-1]))
         head = np.flatnonzero(new_m)
         group = np.cumsum(new_m) - 1
-        several = np.add.reduceat(np.ones(len(group), int), head) > 1
-        several |= np.logical_or.reduceat(x["again"], head)
+        several = np.add.reduceat(new_c.astype(int), head) > 1
+        several |= np.bitwise_or.reduceat(x["flags"] & AGAIN, head) > 0
         keep = several[group] if len(group) else new_c
         place = np.stack([x[k] for k in ("none", "id", "row", "a")])
         first_of_c = np.maximum.accumulate(np.where(new_c, np.arange(len(new_c)), 0))
         whole = ~new_c & ~(place == place[:, first_of_c]).all(axis=0)
         keep &= new_c | whole
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x[k][keep]) for k in ("m", "none", "id", "row", "a", "n")] + [pa.array(whole[keep])],
+            [pa.array(x["m"][keep]), pa.array(x["none"][keep] > 0),
+             *[pa.array(x[k][keep]) for k in ("id", "row", "a", "n")], pa.array(whole[keep])],
             ["m", "none", "id", "row", "a", "n", "whole"])
 
 
@@ -164,8 +174,16 @@ def _fetch(length: int):
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, i, row, wanted in zip(*(strings(batch, k) for k in ("data", "id", "row", "wanted"))):
-                rows = [(w["m"], i is None, i or 0, row, w["a"], data[w["a"]:w["a"] + w["n"] + length - 1])
-                        for w in wanted]
+                rows = []
+                for w in wanted:
+                    a, content = w["a"], data[w["a"]:w["a"] + w["n"] + length - 1]
+                    if not w["hot"]:
+                        rows.append((w["m"], i is None, i or 0, row, a, content))
+                        continue
+                    start, n, second, _ = window_runs(content, length, seed=1)
+                    rows += [((w["m"] * 31 ^ x) % (1 << 63), i is None, i or 0, row, a + s,
+                              content[s:s + k + length - 1])
+                             for s, k, x in zip(start.tolist(), n.tolist(), second.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.bool_(), *[pa.int64()] * 3,
                                                                  pa.binary()))], names)
@@ -175,26 +193,42 @@ def _fetch(length: int):
 
 def bounded_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in the order of their first ``depth`` symbols; each 0 is a separator
-    of its own; equal ones are in any order."""
+    of its own; equal ones are in the order of their places.
+
+    Prefix doubling: two ranks and the place share one 64-bit number as long as the
+    text has up to 2**21 symbols, so each round is a plain sort of numbers."""
     n = len(symbols)
     ends = np.flatnonzero(symbols == 0)
-    left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)  # symbols before the separator
-    key, have = np.zeros(n, np.uint64), 7
+    sizes = np.diff(np.append(-1, ends))
+    left = np.repeat(ends, sizes) - np.arange(n)  # symbols before the separator
+    present = np.zeros(int(symbols.max()) + 1, np.int64)
+    present[symbols] = 1
+    dense = (np.cumsum(present) - present[0])[symbols] * (symbols > 0)  # 0 stays 0
+    place_bits, symbol_bits = n.bit_length(), int(dense.max()).bit_length()
+    have = max(1, min(depth, (63 - place_bits) // max(1, symbol_bits)))
+    key = np.zeros(n, np.int64)
     for j in range(have):
-        part = np.zeros(n, np.uint64)
-        part[:n - j] = symbols[j:]
-        part[left <= j] = 0
-        key = (key << np.uint64(9)) | part
+        key <<= symbol_bits
+        key[:n - j] |= np.where(left[:n - j] > j, dense[j:], 0)
+    place = np.arange(n)
+    order = np.sort(key << place_bits | place) & ((1 << place_bits) - 1)
+    ordered = key[order]
     while True:
-        order = np.argsort(key)
-        ordered = key[order]
-        new = np.concatenate(([True], (ordered[1:] != ordered[:-1]) | (left[order][1:] < have)))
-        rank = np.empty(n, np.uint64)
+        new = np.ones(n, bool)
+        new[1:] = (ordered[1:] != ordered[:-1]) | (left[order[1:]] < have)
+        rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(new) - 1
         if have >= depth or new.all():
             return order
         step = min(have, depth - have)
-        key = (rank << np.uint64(32)) | rank[np.minimum(np.arange(n) + step, n - 1)]
+        key = rank << 32
+        key[:n - step] |= rank[step:]
+        if 3 * place_bits <= 63:
+            packed = (rank << place_bits | (key & 0xFFFFFFFF)) << place_bits | place
+            order = np.sort(packed) & ((1 << place_bits) - 1)
+        else:
+            order = np.argsort(key, kind="stable")
+        ordered = key[order]
         have += step
 
 
@@ -203,8 +237,9 @@ def borders_below(symbols: np.ndarray, order: np.ndarray, depth: int) -> np.ndar
     than ``depth``: interval expansion on the transform, shortest first."""
     n = len(symbols)
     before = symbols[order - 1]  # the transform; the last symbol is a separator
-    step = np.empty(n, np.int64)  # from a suffix's row to that of the suffix one symbol longer
-    step[np.argsort(before, kind="stable")] = np.arange(n)
+    step = np.empty(n, np.int32)  # from a suffix's row to that of the suffix one symbol longer
+    step[np.argsort(before, kind="stable")] = np.arange(n, dtype=np.int32)
+    step[before == 0] = -1
     first = np.sort(symbols)  # the first symbols of the rows
     separators = int(np.searchsorted(first, 1))
     border = np.zeros(n + 1, bool)
@@ -212,25 +247,33 @@ def borders_below(symbols: np.ndarray, order: np.ndarray, depth: int) -> np.ndar
     # the empty string's interval, extended by each symbol; separators are all different
     cut = np.concatenate((np.arange(separators), separators + np.flatnonzero(
         np.concatenate(([True], first[separators + 1:] != first[separators:-1])))
-        if separators < n else [], [n])).astype(np.int64)
+        if separators < n else [], [n])).astype(np.int32)
     left, right = cut[:-1], cut[1:]
     border[right] = True
-    tag = np.empty(n, np.int64)
+    tag = np.empty(n, np.int32)
     for _ in range(1, depth):
         sizes = right - left
-        own = np.repeat(np.arange(len(left)), sizes)
-        rows = np.arange(len(own)) - np.repeat(np.cumsum(sizes) - sizes - left, sizes)
-        text = before[rows] > 0
-        rows, own = rows[text], own[text]
-        if not len(rows):
-            break
-        to = step[rows]
-        tag[to] = own
-        to = np.sort(to)
-        start = np.concatenate(([True], (to[1:] != to[:-1] + 1) | (tag[to[1:]] != tag[to[:-1]])
-                                | (first[to[1:]] != first[to[:-1]])))
-        left = to[start]
-        right = np.append(to[np.flatnonzero(start)[1:] - 1], to[-1]) + 1
+        alone = sizes == 1  # most intervals, once texts differ
+        to, wide = step[left[alone]], ~alone
+        to, own = to[to >= 0], None
+        if wide.any():
+            left, sizes = left[wide], sizes[wide]
+            own = np.repeat(np.arange(len(left), dtype=np.int32), sizes)
+            rows = np.arange(len(own), dtype=np.int32) + np.repeat(
+                left - (np.cumsum(sizes, dtype=np.int32) - sizes), sizes)
+            many = step[rows]
+            text = many >= 0
+            many, own = many[text], own[text]
+            tag[many] = own
+            many.sort()
+            start = np.ones(len(many), bool)
+            start[1:] = ((many[1:] != many[:-1] + 1) | (tag[many[1:]] != tag[many[:-1]])
+                         | (first[many[1:]] != first[many[:-1]]))
+            at = np.flatnonzero(start)
+            left = np.concatenate((to, many[at]))
+            right = np.concatenate((to + 1, many[np.append(at[1:], len(many)) - 1] + 1))
+        else:
+            left, right = to, to + 1
         new = ~border[right]
         left, right = left[new], right[new]
         border[right] = True
@@ -290,10 +333,9 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs(id, row, data)`` → ``(none, id, row, spans)``: of the documents that have
     repeated windows, the runs ``(a, n)`` of their starts."""
     runs = (docs.where(F.octet_length("data") >= length).mapInArrow(
-        _runs(length), "m long, c long, none boolean, id long, row long, a long, n long, "
-                       "again boolean, known boolean"))
+        _runs(length), "m long, c long, id long, row long, an long, flags long"))
     # known repeats go past the comparison, spread over all partitions
-    key = F.when(F.col("known"), F.xxhash64("row", "a")).otherwise(F.col("m"))
+    key = F.when(F.col("flags").bitwiseAND(KNOWN) > 0, F.xxhash64("row", "an")).otherwise(F.col("m"))
     sorted_runs = (runs.withColumn("m", key).repartition("m")
                    .sortWithinPartitions("m"))
     fields = "m long, none boolean, id long, row long, a long, n long, whole boolean"
@@ -301,7 +343,11 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     apart = sifted.where("not whole")
     total = apart.agg(F.sum(F.col("n") + length)).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
-    wanted = apart.groupBy("none", "id", "row").agg(F.collect_list(F.struct("m", "a", "n")).alias("wanted"))
+    # a hash that very many different runs share (a common phrase) must not fill a bucket
+    hot = (apart.groupBy("m").agg(F.sum(F.col("n") + length).alias("bytes")).where(F.col("bytes") > HOT_BYTES)
+           .select("m", F.lit(True).alias("hot")))
+    apart = apart.join(broadcast_if_small(hot), "m", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    wanted = apart.groupBy("none", "id", "row").agg(F.collect_list(F.struct("m", "a", "n", "hot")).alias("wanted"))
     found = (_with_rows(docs, wanted, "inner").select("id", "row", "data", "wanted")
              .mapInArrow(_fetch(length), "m long, none boolean, id long, row long, a long, content binary")
              .withColumn("bucket", F.pmod("m", F.lit(buckets)))
@@ -315,13 +361,16 @@ def _pass_known(sift):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def fresh():
             for batch in batches:
-                known = batch.column(batch.schema.get_field_index("known"))
-                gone = batch.filter(known)
-                if len(gone):
+                column = {k: batch.column(batch.schema.get_field_index(k)) for k in batch.schema.names}
+                flags, an = column["flags"].to_numpy(), column["an"].to_numpy()
+                known = (flags & KNOWN) > 0
+                if known.any():
                     passed.append(pa.RecordBatch.from_arrays(
-                        [gone.column(gone.schema.get_field_index(k)) for k in ("m", "none", "id", "row", "a", "n")]
-                        + [pa.array([True] * len(gone))], ["m", "none", "id", "row", "a", "n", "whole"]))
-                yield batch.filter(pa.compute.invert(known))
+                        [pa.array(x[known]) for x in (column["m"].to_numpy(), (flags & NONE) > 0,
+                                                      column["id"].to_numpy(), column["row"].to_numpy(),
+                                                      an >> N_BITS, an & ((1 << N_BITS) - 1), known)],
+                        ["m", "none", "id", "row", "a", "n", "whole"]))
+                yield batch.filter(pa.array(~known))
 
         passed: list[pa.RecordBatch] = []
         for out in sift(fresh()):
