@@ -11,6 +11,13 @@ Hashes and places are shuffled before any text.  The text of first places is
 fetched once per repeated chunk; it travels to the documents that repeat it, where
 comparison and removal are one step.
 
+``dedup_passages``, which the pipeline takes, has no boundaries that a short passage
+could miss: each two neighbouring lines with text, with the empty lines between them,
+are a piece of their own, so every line of every repeated passage of two or more
+lines is found.  Pieces that continue each other in both documents are compared and
+removed as one run.  A line goes only if the same line stands at an earlier place beside
+the same neighbour; an occurrence that overlaps its first place in the same text stays.
+
 A null text stays null, an empty text is one empty line.  Rows that repeat an
 id and its text are one document and are treated alike.  A document may be left with
 an empty text.  Ids that are null come after all others.  An empty table gives an
@@ -23,6 +30,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +88,34 @@ def _first_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["h1", "h2", "first_text"])
 
 
+def _without_cuts(kept: DataFrame, cuts: DataFrame, doc_id: str, text: str, names: tuple[str, str]) -> DataFrame:
+    """``kept`` without those of its lines in ``cuts`` whose bytes are those of the first place."""
+    whole = kept.join(cuts, same(F.col(doc_id), F.col("_phx_id"))
+                      & (F.xxhash64(text) == F.col("_phx_row")), "left").drop("_phx_id", "_phx_row")
+    schema = kept.schema.add(names[0], "long").add(names[1], "long")
+    inputs = kept.columns
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            new, counts, removed = [], [], []
+            for t, todo in zip(strings(batch, text), strings(batch, "_phx_cuts")):
+                lines = [] if t is None else t.split("\n")
+                gone = set()
+                for c in todo or ():
+                    if "\n".join(lines[c["a"]:c["b"]]) == c["first_text"]:
+                        gone.update(range(c["a"], c["b"]))
+                new.append("\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else t)
+                counts.append(len(lines))
+                removed.append(len(gone))
+            columns = {n: batch.column(batch.schema.get_field_index(n)) for n in inputs}
+            columns[text] = pa.array(new, pa.string())
+            columns[names[0]] = pa.array(counts, pa.int64())
+            columns[names[1]] = pa.array(removed, pa.int64())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return whole.mapInArrow(cut, schema)
+
+
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """``docs`` with repeated chunks cut out of the text, and under ``names`` how
@@ -106,30 +142,112 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     cuts = (again.join(texts, ["h1", "h2"])
             .groupBy("id", "row").agg(F.collect_list(F.struct("a", "b", "first_text")).alias("_phx_cuts"))
             .select(F.col("id").alias("_phx_id"), F.col("row").alias("_phx_row"), "_phx_cuts"))
-    whole = kept.join(cuts, same(F.col(doc_id), F.col("_phx_id"))
-                      & (F.xxhash64(text) == F.col("_phx_row")), "left").drop("_phx_id", "_phx_row")
-    schema = kept.schema.add(names[0], "long").add(names[1], "long")
-    inputs = kept.columns
+    return _without_cuts(kept, cuts, doc_id, text, names)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            new, counts, removed = [], [], []
-            for t, todo in zip(strings(batch, text), strings(batch, "_phx_cuts")):
-                lines = [] if t is None else t.split("\n")
-                gone = set()
-                for c in todo or ():
-                    if "\n".join(lines[c["a"]:c["b"]]) == c["first_text"]:
-                        gone.update(range(c["a"], c["b"]))
-                new.append("\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else t)
-                counts.append(len(lines))
-                removed.append(len(gone))
-            columns = {n: batch.column(batch.schema.get_field_index(n)) for n in inputs}
-            columns[text] = pa.array(new, pa.string())
-            columns[names[0]] = pa.array(counts, pa.int64())
-            columns[names[1]] = pa.array(removed, pa.int64())
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return whole.mapInArrow(cut, schema)
+def line_pairs(text: str) -> Iterator[tuple[int, int, str]]:
+    """``(first line, line after the last, text)`` of each two neighbouring lines with
+    text and of the empty lines between them."""
+    lines = text.split("\n")
+    full = [i for i, line in enumerate(lines) if line.strip()]
+    for a, b in zip(full, full[1:]):
+        yield a, b + 1, "\n".join(lines[a:b + 1])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for i, text in enumerate(strings(batch, "text")):
+            for a, b, pair in line_pairs(text) if text else ():
+                h = hashlib.md5(pair.encode("utf-8", "surrogatepass")).digest()
+                rows.append((i, a, b, int.from_bytes(h[:8], "big", signed=True)))
+        if rows:
+            at, *rest = map(list, zip(*rows))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)),
+                 *[pa.array(x, pa.int64()) for x in rest]], ["id", "row", "a", "b", "h"])
+
+
+def _spans(pieces: list) -> list[tuple[int, int]]:
+    """Overlapping ``(a, b)`` joined, in order."""
+    out: list[list[int]] = []
+    for p in sorted((p["a"], p["b"]) for p in pieces):
+        if out and p[0] < out[-1][1]:
+            out[-1][1] = max(out[-1][1], p[1])
+        else:
+            out.append(list(p))
+    return [(a, b) for a, b in out]
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at, spans = [], []
+        for i, pieces in enumerate(strings(batch, "pieces")):
+            for span in _spans(pieces):
+                at.append(i)
+                spans.append(span)
+        if at:
+            shift = batch.column(batch.schema.get_field_index("shift")).take(pa.array(at))
+            a, b = (pa.array(x, pa.int64()) for x in zip(*spans))
+            taken = [batch.column(batch.schema.get_field_index(n)).take(pa.array(at))
+                     for n in ("id", "row", "first_id", "first_row")]
+            yield pa.RecordBatch.from_arrays(
+                [*taken, a, b, pc.subtract(a, shift), pc.subtract(b, shift)],
+                ["id", "row", "first_id", "first_row", "a", "b", "first_a", "first_b"])
+
+
+def _run_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at, a, b, texts = [], [], [], []
+        for i, (text, wanted) in enumerate(zip(strings(batch, "text"), strings(batch, "wanted"))):
+            lines = text.split("\n")
+            for w in wanted:
+                at.append(i)
+                a.append(w["first_a"])
+                b.append(w["first_b"])
+                texts.append("\n".join(lines[w["first_a"]:w["first_b"]]))
+        if at:
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(batch.schema.get_field_index(n)).take(pa.array(at)) for n in ("id", "row")],
+                 pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(texts, pa.string())],
+                ["first_id", "first_row", "first_a", "first_b", "first_text"])
+
+
+def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                   names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """``docs`` with every repeated passage of two or more lines cut out of the text but
+    at its first place, and under ``names`` how many lines there were and are gone."""
+    kept = without(docs, *names)
+    keyed = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("row"),
+                        F.col(text).alias("text"))
+    id_type = keyed.schema["id"].dataType.simpleString()
+    pairs = written(keyed.mapInArrow(_pairs, f"id {id_type}, row long, a long, b long, h long"), "pairs")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "row", "a", "b")
+    repeated = (pairs.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+                .where("n > 1").drop("n"))
+    in_first = same(F.col("id"), F.col("first.id")) & (F.col("row") == F.col("first.row"))
+    runs = (pairs.join(repeated, "h").where(~in_first | (F.col("a") >= F.col("first.b")))
+            .groupBy("id", "row", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row"),
+                     (F.col("a") - F.col("first.a")).alias("shift"))
+            .agg(F.collect_set(F.struct("a", "b")).alias("pieces"))
+            .mapInArrow(_runs, f"id {id_type}, row long, first_id {id_type}, first_row long, "
+                               "a long, b long, first_a long, first_b long"))
+    runs = written(runs, "runs")
+    wanted = (runs.groupBy("first_id", "first_row")
+              .agg(F.collect_set(F.struct("first_a", "first_b")).alias("wanted")))
+    # rows that repeat a first place give its text once
+    firsts = (keyed.join(wanted, same(F.col("id"), F.col("first_id")) & (F.col("row") == F.col("first_row")))
+              .select("id", "row", "text", "wanted")
+              .mapInArrow(_run_texts, f"first_id {id_type}, first_row long, first_a long, first_b long, "
+                                      "first_text string")
+              .dropDuplicates(["first_id", "first_row", "first_a", "first_b"]))
+    r, f = runs.alias("r"), firsts.alias("f")
+    found = r.join(f, same(F.col("r.first_id"), F.col("f.first_id"))
+                   & (F.col("r.first_row") == F.col("f.first_row"))
+                   & (F.col("r.first_a") == F.col("f.first_a")) & (F.col("r.first_b") == F.col("f.first_b")))
+    cuts = (found.groupBy("r.id", "r.row").agg(F.collect_list(F.struct("r.a", "r.b", "f.first_text")).alias("_phx_cuts"))
+            .select(F.col("id").alias("_phx_id"), F.col("row").alias("_phx_row"), "_phx_cuts"))
+    return _without_cuts(kept, cuts, doc_id, text, names)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

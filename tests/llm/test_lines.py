@@ -79,3 +79,64 @@ def test_repeated_rows_and_null_ids(spark):
     assert got.count((0, "p\nq\nr\nother\nt")) == 1
     null_left = next(t for d, t in got if d is None)
     assert len(null_left) < len("p\nq\nr\ns\nt")
+
+
+def _brute_passages(docs):
+    """Lines left after every pair of neighbouring lines was looked up among all earlier ones."""
+    first, out = {}, []
+    for d, text in docs:
+        lines = text.split("\n")
+        gone = set()
+        for a, b, pair in M.line_pairs(text):
+            place = first.setdefault(pair, (d, a, b))
+            if place[0] != d or a >= place[2]:
+                gone.update(range(a, b))
+        out.append((d, "\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone)))
+    return out
+
+
+def test_every_short_passage_is_found(spark):
+    rng = random.Random(11)
+    passages = [[f"passage {n} {k} {rng.random()}" for k in range(n)] for n in (2, 3, 4, 5, 6) for _ in range(30)]
+    docs = []
+    for d in range(300):
+        own = [f"own {d} {k}" for k in range(rng.randint(2, 8))]
+        at = rng.randint(0, len(own))
+        docs.append((d, "\n".join(own[:at] + passages[d % 150] + own[at:])))
+    got = {r["doc_id"]: r["text"] for r in M.dedup_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for d, text in docs:
+        left = [x for x in got[d].split("\n") if x.startswith("passage")]
+        assert left == (passages[d] if d < 150 else [])
+        assert got[d].count("own") == text.count("own")
+
+
+def test_passages_equal_brute_force(spark):
+    docs = [(d, t) for d, t in _cases() if t is not None]
+    docs += [(107, "a\n\nb\n \nc"), (108, "x\na\n\nb\ny"), (109, "\n".join(["p", "q"] * 40))]
+    df = spark.createDataFrame([*docs, (200, None)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in M.dedup_passages(df).collect())
+    assert got == [*_brute_passages(docs), (200, None, 0, 0)]
+    assert dict((g[0], g[1]) for g in got)[108] == "x\ny"
+    assert M.dedup_passages(df.limit(0)).count() == 0
+    # each line with text that stood anywhere still stands somewhere
+    left = {x for g in got if g[1] for x in g[1].split("\n")}
+    assert {x for _, t in docs for x in t.split("\n") if x.strip()} <= left
+
+
+def test_passages_with_equal_hashes_and_repeated_rows(spark, monkeypatch):
+    import pyarrow as pa
+
+    rows = [(1, "p\nq"), (1, "p\nq"), (None, "p\nq"), (2, "r\ns")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in M.dedup_passages(df).collect()) == [
+        (0, ""), (1, "p\nq"), (1, "p\nq"), (2, "r\ns")]
+    plain = M._pairs
+
+    def collide(batches):
+        for batch in plain(batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([0] * len(batch), pa.int64())],
+                                             batch.schema.names)
+
+    monkeypatch.setattr(M, "_pairs", collide)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in M.dedup_passages(df).collect()) == [
+        (0, ""), (1, "p\nq"), (1, "p\nq"), (2, "r\ns")]
