@@ -4,17 +4,20 @@ Base patterns with checks (address parts, Luhn sum, digit counts) give spans tha
 always redacted.  High-recall generators propose further, overlapping spans: whatever
 fails a base check, loose digit groups, spelled-out mail addresses, long keys,
 colon-separated addresses.  Boosted trees score every candidate by its format and its
-context.  They learn from the base checks: a candidate that overlaps a checked span is
-an example of personal data, one that fails is none.  They see neither the checks
-nor the values.  Per kind, the threshold is the lowest score from
-which on the held-out examples are right ``PRECISION`` of the time; a kind without such
-a score adds nothing.
+context.  A candidate is an example of personal data if it overlaps a checked span or if
+there is evidence for its kind: a key assigned to a name such as token, a mail address
+whose at and dot are spelled out, a number right behind a word for telephone, a whole
+address of eight (or six two-digit) groups, a card number behind its word with a right sum.
+Any other is an example of none.  The trees see no values.  Per kind, the
+threshold is the lowest score from which ``PRECISION`` of all candidates that the trees did
+not learn from are right; a kind without such a score, or with fewer than ``SUPPORT``
+candidates over it, adds nothing.
 
 Positions come from two scans of a pattern, the matches and the pieces between them, and
 prefix sums of their lengths in two levels, so a text with many matches costs no
 repeated scan.  Patterns use possessive runs that begin where a run begins: no
 backtracking grows with the length of a run.  Only candidates leave the scan; the model
-is fitted on at most about ``SAMPLE`` of them and applied to all.
+is fitted on at most about ``SAMPLE`` of them, an equal part of each kind, and applied to all.
 
 A null text counts as empty.  Rows that repeat an id and its text get equal results;
 an empty table gives an empty result; further columns are ignored.
@@ -44,6 +47,8 @@ BASE = {
 # fixed values: the loose generators, in one alternation
 _KEY = "[A-Za-z0-9_/+=-]"
 LOOSE = "|".join((
+    # before the digits, so that a key that begins with many digits stays whole
+    rf"(?<!{_KEY})(?=[0-9_/+=-]*+[A-Za-z])(?=[A-Za-z_/+=-]*+[0-9]){_KEY}{{20,}}+(?!\x20?[(\[]at[)\]])",
     r"(?<![0-9])\+?\(?[0-9](?:[\x20()./-]{0,2}+[0-9]){6,}+",
     rf"(?<!{_LOCAL}){_LOCAL}++\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?{_LABEL}++\x20?"
     r"(?:\.|\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z]{2,}+",
@@ -54,8 +59,15 @@ KINDS = ["email", "ip", "card", "phone", "secret"]
 # fixed values: words before a span that hint at its kind
 HINTS = {"mail": "mail|contact", "phone": "phone|tel|call|fax|mobil", "card": "card|visa|credit|karte|iban",
          "net": r"\bip\b|addr|host|server", "key": "token|key|secret|passw|api"}
+# fixed values: evidence right before a span, in small letters, that it is of its kind
+LABELS = {
+    "phone": r"(?:^|[^a-z])(?:tele)?(?:phone|tel|call|fax|mobile?|cell|handy)[^a-z0-9]{0,6}$",
+    "secret": r"(?:token|key|secret|passw(?:or)?d|pwd|auth|bearer|credentials?)[\"']?\s*(?:=>|[:=]|\s)\s*[\"']?$",
+    "ip": r"(?:^|[^a-z])(?:ip|ipv6|addr(?:ess)?|host|server|mac)[^a-z0-9]{0,4}$",
+    "card": r"(?:^|[^a-z])(?:card|visa|mastercard|credit|karte)(?:\s+(?:no|number|nr))?[^a-z0-9]{0,6}$",
+}
 CONTEXT = 24
-#: Rows, about, that the trees learn from, and again that set the thresholds.
+#: Rows, about, that the trees learn from.
 SAMPLE = 20_000
 PRECISION = 0.99
 SUPPORT = 50
@@ -119,7 +131,7 @@ def _checked(kind: str, value: Column) -> Column:
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per proposed span: ``id, row, kind, start, end, value, before, after``,
-    ``base`` (a checked base span) and ``known`` (overlaps one)."""
+    ``base`` (a checked base span), ``known`` (overlaps one) and ``inside`` (lies in one)."""
     df = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("row"),
                      F.coalesce(text, F.lit("")).alias("text"))
     for name, pattern in {**BASE, "loose": LOOSE}.items():
@@ -147,11 +159,34 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     df = df.select("id", "row", F.explode_outer("all").alias("c"), "sure").where("c is not null").select(
         "id", "row", "c.*", "sure")
     near = F.exists("sure", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    return df.withColumn("known", F.when(F.col("base"), True).otherwise(near)).drop("sure")
+    return df.withColumn("known", F.when(F.col("base"), True).otherwise(near)).withColumn(
+        "inside", F.col("base") | F.exists("sure", lambda s: (s["start"] <= F.col("start")) & (s["end"] >= F.col("end")))
+    ).drop("sure")
+
+
+def _labelled(kind: str) -> Column:
+    return F.lower("before").rlike(LABELS[kind])
+
+
+def evidence() -> Column:
+    """Whether a candidate is an example of personal data."""
+    v, n = F.col("value"), F.length(_digits(F.col("value")))
+    at, dot = r"\(at\)|\[at\]", r"\(dot\)|\[dot\]|\x20dot\x20"
+    rules = {
+        "email": v.rlike(at) | (v.rlike(r"\x20at\x20") & v.rlike(dot)),
+        "ip": v.rlike("^(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$|^(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2}$")
+        | (v.contains(":") & _labelled("ip")),
+        "card": F.when((n >= 12) & (n <= 19) & _labelled("card"), _luhn(_digits(v))).otherwise(False),
+        "phone": (n >= 7) & (n <= 15) & _labelled("phone"),
+        "secret": _labelled("secret"),
+    }
+    # digits in a key may pass for a card by chance
+    checked = F.col("known") & ((F.col("kind") != "secret") | F.col("inside"))
+    return F.coalesce(checked | any_of([(F.col("kind") == k) & r for k, r in rules.items()]), F.lit(False))
 
 
 def with_features(found: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Format and context of each candidate as numbers; no check and no value among them."""
+    """Format and context of each candidate as numbers; no value among them."""
     v, before, after = F.col("value"), F.lower("before"), F.col("after")
     count = lambda pattern: F.regexp_count(v, F.lit(pattern)).cast("double")
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
@@ -162,29 +197,33 @@ def with_features(found: DataFrame) -> tuple[DataFrame, list[str]]:
         "dashes": count("-"), "brackets": count("[()]"), "plus": flag(v.startswith("+")), "at": flag(v.contains("@")),
         "colons": count(":"), "joined_left": flag(before.rlike("[a-z0-9]$")), "joined_right": flag(after.rlike("^[A-Za-z0-9]")),
         "assigned": flag(before.rlike("[:=]\\s*[\"']?$")), "line_start": flag(before.rlike("(^|\n)$")),
-        "line_end": flag(after.rlike("^($|\n)")),
+        "line_end": flag(after.rlike("^($|\n)")), "spelled": flag(v.rlike(r"[(\[]at[)\]]")),
+        "dot_word": flag(v.rlike(r"[(\[\x20]dot[)\]\x20]")),
     } | {f"says_{k}": flag(before.rlike(p)) for k, p in HINTS.items()}
+    features |= {f"labelled_{k}": flag(_labelled(k)) for k in LABELS}
     named = {f"f_{k}": c for k, c in features.items()}
     return found.withColumns(named), list(named)
 
 
 def fit(found: DataFrame, sample: int = SAMPLE, precision: float = PRECISION
         ) -> tuple[GBTClassificationModel, dict[str, float]] | None:
-    """Trees and a threshold per kind, from the candidates' own checks; None if they
-    are all of one class."""
-    total = found.count()
+    """Trees and a threshold per kind, from the candidates' checks and evidence; None if
+    they are all of one class."""
+    total = dict(map(tuple, found.groupBy("kind").count().collect()))
     slots = 1 << 20
-    share = min(0.5, sample / total) if total else 0.0
-    slot = F.pmod(F.xxhash64("id", "kind", "start", "end"), F.lit(slots))
+    # an equal part of the sample for each kind, so that a rare one is learned too
+    shares = {k: int(min(0.5, sample / len(KINDS) / n) * slots) for k, n in total.items()}
+    share = functools.reduce(lambda c, k: c.when(F.col("kind") == k, shares[k]), shares, F.when(F.lit(False), 0))
+    taken = F.pmod(F.xxhash64("id", "kind", "start", "end"), F.lit(slots)) < share
     rows, names = with_features(found)
-    rows = rows.withColumn("label", F.col("known").cast("double"))
+    rows = rows.withColumn("label", evidence().cast("double"))
     learn = VectorAssembler(inputCols=names, outputCol="features").transform(
-        rows.where(slot < int(share * slots)).select("label", *names)).select("label", "features")
+        rows.where(taken).select("label", *names)).select("label", "features")
     learn = reliable_checkpoint(learn.repartition(2, "label"))  # bounded, and read by every tree
     if learn.select("label").distinct().count() < 2:
         return None
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label").fit(learn)
-    held = scored(rows.where((slot >= int(share * slots)) & (slot < int(2 * share * slots))), model, names)
+    held = scored(rows.where(~taken), model, names)
     bins = (held.groupBy("kind", F.floor(F.col("p") * 200).cast("int").alias("bin"))
             .agg(F.count("*").alias("n"), F.sum("label").alias("right")).collect())
     limits = {}
@@ -206,13 +245,14 @@ def scored(rows: DataFrame, model: GBTClassificationModel, names: list[str]) ->
 
 def select_redactions(found: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> DataFrame:
     """``id, row, kind, start, end, base``: the base spans, and of the other candidates
-    those at or over their kind's threshold that no base span touches."""
+    those at or over their kind's threshold that no base span touches, or keys that are
+    more than the base spans in them."""
     base = found.where("base").select("id", "row", "kind", "start", "end", "base")
     learned = fit(found, sample, precision)
     if not learned or not learned[1]:
         return base
     model, limits = learned
-    rows, names = with_features(found.where("not base and not known"))
+    rows, names = with_features(found.where("not inside and (not known or kind = 'secret')"))
     over = any_of([(F.col("kind") == k) & (F.col("p") >= t) for k, t in limits.items()])
     return base.unionByName(scored(rows, model, names).where(over).select(*base.columns)).distinct()
 

@@ -100,3 +100,32 @@ def test_query_against_brute_force(spark):
         assert [s for s in spans if s in _base(texts[r["doc_id"]])] == _base(texts[r["doc_id"]])
         assert len(spans) == sum(tuple(r)[1:5]) + r["n_added"]
     print("added", sum(r["n_added"] for r in got), "base", sum(sum(tuple(r)[1:5]) for r in got))
+
+
+def test_evidence_teaches_secrets_spelled_mail_and_labelled_numbers(spark):
+    def text(i):
+        key = hashlib.sha1(str(i).encode()).hexdigest()
+        return (f'words token = "{key}" and mail jane{i}(at)example(dot)com then tel: 0170 {1000000 + i * 37} end, '
+                f"order no {i * 977}-{i}-1234567, build release_{i}_of_many_parts, mac@b{i}.org, "
+                f"from fe80:0:0:1:2:3:4:{i % 10} on")
+
+    rows = [(i, text(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    added = {}
+    for r in P.find_personal_data(df).collect():
+        for s in r["spans"]:
+            if not s["base"]:
+                added.setdefault(s["kind"], []).append(rows[r["doc_id"]][1][s["start"]:s["end"]])
+    assert set(added["secret"]) == {hashlib.sha1(str(i).encode()).hexdigest() for i in range(400)}
+    assert {f"jane{i}(at)example(dot)com" for i in range(400)} <= set(added["email"])
+    assert {f"0170 {1000000 + i * 37}" for i in range(400)} <= set(added["phone"])
+    assert len(added["ip"]) == 400
+    # PRECISION allows a threshold a few others
+    wrong = [v for vs in added.values() for v in vs if "release" in v or "-1234567" in v]
+    assert len(wrong) <= 0.02 * sum(map(len, added.values()))
+
+
+def test_a_key_that_begins_with_digits_is_one_candidate(spark):
+    key = "123456789012" + "ab" * 14
+    df = spark.createDataFrame([(1, f'token = "{key}"')], "doc_id long, text string")
+    assert [(r["kind"], r["value"]) for r in P.candidates(df).where("kind = 'secret'").collect()] == [("secret", key)]
