@@ -5,11 +5,13 @@ substrings stands at its first or last place.  That depends on the k-mer alone,
 so equal passages give equal anchors whatever surrounds them, and in random text
 one place in (K - S + 1) / 2 is an anchor.
 
-The fingerprint of a text is the ``SKETCH`` smallest distinct hashes of its anchors as
-hexadecimal digits, ascending; a text without an anchor (shorter than a few
+The fingerprint of a text holds the distinct hashes of its anchors below ``BOUND``, one in
+``DENSITY``, and at least the ``SKETCH`` smallest, as hexadecimal digits in the order of
+their first places: it grows with the text.  A text without an anchor (shorter than a few
 k-mers) has the hash of the whole text, an empty one nothing.  The likeness of two
-fingerprints estimates the share of common anchors: of the smallest ``SKETCH`` hashes of
-both together, those that both have.  Two empty fingerprints are alike (1), an empty one
+fingerprints estimates the share of common anchors that stand in the same order: of the
+hashes up to the largest that both would hold, the longest run of common ones that
+rises in both, as a share of all.  Two empty fingerprints are alike (1), an empty one
 and another are not (0).
 
 Each document is also compared with its successor in descending order of the ids
@@ -24,6 +26,7 @@ empty table gives an empty result; a single row follows itself.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +40,9 @@ from .common import read_table, strings
 K = 20
 S = 10
 SKETCH = 64
+#: One anchor in so many is kept, whatever the length of the text.
+DENSITY = 16
+BOUND = (1 << 64) // DENSITY
 #: Characters of a text that are hashed at a time.
 PIECE = 1 << 20
 #: Rows of a block, about, until there are ``BLOCKS`` blocks; then blocks grow (they are
@@ -77,24 +83,36 @@ def fingerprint(text: str | None, k: int = K, s: int = S, size: int = SKETCH) ->
     """16 hexadecimal digits per hash."""
     if not text:
         return ""
-    found = np.zeros(0, np.uint64)
+    found, places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for a in range(0, max(1, len(text) - k + 1), PIECE):
-        _, hashes = anchors(text[a:a + PIECE + k - 1], k, s)
-        found = np.unique(np.concatenate((found, hashes)))[:size]
+        at, hashes = anchors(text[a:a + PIECE + k - 1], k, s)
+        found, first = np.unique(np.concatenate((found, hashes)), return_index=True)
+        n = max(size, int(np.searchsorted(found, np.uint64(BOUND))))
+        found, places = found[:n], np.concatenate((places, at + a))[first[:n]]
     if not len(found):
         return f"{xxhash.xxh3_64_intdigest(text.encode('utf-8', 'surrogatepass')):016x}"
-    return found.astype(">u8").tobytes().hex()
+    return found[np.argsort(places)].astype(">u8").tobytes().hex()
 
 
 def likeness(a: str, b: str, size: int = SKETCH) -> float:
     if a == b:
         return 1.0
-    x, y = ({f[i:i + 16] for i in range(0, len(f), 16)} for f in (a, b))
+    x, y = ([f[i:i + 16] for i in range(0, len(f), 16)] for f in (a, b))
     if not x or not y:
         return 0.0
-    # a sketch that is not full holds all hashes of its text
-    smallest = set(sorted(x | y)[:size])
-    return len(smallest & x & y) / len(smallest)
+    # a sketch that is not full holds all hashes of its text, another all up to a limit
+    limit = min((max(max(h), f"{BOUND - 1:016x}") if len(h) >= size else "g" for h in (x, y)))
+    x, y = ([h for h in f if h <= limit] for f in (x, y))
+    place = {h: i for i, h in enumerate(x)}
+    rising: list[int] = []
+    common = 0
+    for h in y:
+        i = place.get(h)
+        if i is not None:
+            common += 1
+            at = bisect_left(rising, i)
+            rising[at:at + 1] = [i]
+    return len(rising) / (len(x) + len(y) - common)
 
 
 def _blocks(docs: DataFrame, rows: int) -> tuple[list, list]:

@@ -78,3 +78,37 @@ def test_query_against_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = sorted((tuple(r) for r in Y.op10_document_fingerprints(spark, sf).collect()), key=repr)
     assert got == _brute(rows)
+
+
+def _words(rng, n):
+    return " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(n))
+
+
+def test_a_passage_of_100_words_in_two_long_texts():
+    rng = random.Random(8)
+    for _ in range(5):
+        passage = _words(rng, 100)
+        a, b = (" ".join((_words(rng, n), passage, _words(rng, 20_000 - n))) for n in (3_000, 15_000))
+        fa, fb = Y.fingerprint(a), Y.fingerprint(b)
+        assert len(fa) > 16 * Y.SKETCH and 0 < Y.likeness(fa, fb) < 0.01
+        share = len(passage) / (len(a) + len(b) - len(passage))
+        assert share / 4 < Y.likeness(fa, fb) < share * 4
+        assert Y.likeness(fa, Y.fingerprint(_words(rng, 20_000))) == 0
+
+
+def test_likeness_needs_the_same_order():
+    rng = random.Random(9)
+    blocks = [_words(rng, 60) for _ in range(40)]
+    a = Y.fingerprint(" ".join(blocks))
+    hashes = {a[i:i + 16] for i in range(0, len(a), 16)}
+    mixed = Y.fingerprint(" ".join(blocks[::-1]))
+    assert len(hashes & {mixed[i:i + 16] for i in range(0, len(mixed), 16)}) > 0.8 * len(hashes)
+    assert Y.likeness(a, mixed) < 0.2
+    assert Y.likeness(a, Y.fingerprint(" ".join(blocks[:20] + [_words(rng, 60)] + blocks[20:]))) > 0.9
+
+
+def test_short_and_long_texts_compare_at_the_smaller_limit():
+    rng = random.Random(10)
+    long = _words(rng, 20_000)
+    short = long[:6_000]
+    assert abs(Y.likeness(Y.fingerprint(short), Y.fingerprint(long)) - 6_000 / len(long)) < 0.02
