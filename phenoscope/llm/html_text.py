@@ -4,8 +4,9 @@ Every block element outside a page's article is a subtree with a hash over its
 tags, its class and id, and its text.  Spark counts per host on how many different pages
 each hash occurs; subtrees that recur on many of them are the site's template and
 are deleted.  Pages with equal content count once, so copies of a page do not turn it
-into a template, and what stands inside an article is never counted: a paragraph
-that many articles quote stays.  HTML's own marks then take what does not recur
+into a template.  Inside an article only containers (boxes, lists, tables) are counted, over
+different articles, and a larger share of the host's articles must have them: a
+paragraph that many articles quote stays.  HTML's own marks then take what does not recur
 (rotating adverts, a menu that differs from page to page, pages of small hosts):
 elements and class names that mean menu, header, footer, sidebar, notice, advert, form
 or comments.  If the page names its article, that is what is left of it.
@@ -35,6 +36,8 @@ from .common import read_table, same, strings, text_slices, without, written
 #: on this share of them.
 MANY_PAGES = 3
 SHARE = 0.02
+#: The share of the host's different articles for a container inside the article.
+INSIDE_SHARE = 0.3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -47,6 +50,7 @@ _RAW = set("script style title textarea xmp iframe noembed noframes".split())
 _BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
              "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav "
              "ol p pre section summary table tbody tfoot thead tr ul".split())
+_CONTAINER = set("center dir div dl figure hgroup ol section table ul".split())
 _CELL = {"td", "th", "br"}
 _HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _DROPPED = set("aside audio button canvas datalist dialog fieldset footer form head iframe input label menu "
@@ -226,22 +230,32 @@ def _layout(page: Page) -> tuple[list[int], list[bool], list[bool]]:
     return state, inside, holds
 
 
-def candidates(page: Page) -> list[int]:
-    """Hashes of the subtrees that may be template."""
+def _inner(page: Page, i: int, inside: list[bool], holds: list[bool]) -> bool:
+    """Whether element ``i`` is a container in an article."""
+    return inside[page.parent[i]] and not holds[i] and page.tag[i] in _CONTAINER
+
+
+def candidates(page: Page) -> tuple[list[int], list[int], int | None]:
+    """Hashes of the subtrees that may be template, outside and inside the article, and the
+    hash of the article."""
     _, inside, holds = _layout(page)
-    return sorted({page.hash[i] for i in range(1, len(page.tag))
-                   if page.has_text[i] and not inside[i] and not holds[i]
-                   and page.tag[i] in _BLOCK and page.tag[i] not in ("html", "body")})
+    texts = [i for i in range(1, len(page.tag)) if page.has_text[i]]
+    roots = [i for i in range(1, len(page.tag)) if inside[i] and not inside[page.parent[i]]]
+    return (sorted({page.hash[i] for i in texts if not inside[i] and not holds[i]
+                    and page.tag[i] in _BLOCK and page.tag[i] not in ("html", "body")}),
+            sorted({page.hash[i] for i in texts if _inner(page, i, inside, holds)}),
+            xxhash.xxh64_intdigest(b"".join(page.hash[i].to_bytes(8, "big") for i in roots)) if roots else None)
 
 
-def main_text(page: Page, template: set[int]) -> tuple[str, int]:
-    """Text, and how many subtrees were deleted as template."""
+def main_text(page: Page, template: set[int], inner: set[int] = frozenset()) -> tuple[str, int]:
+    """Text, and how many subtrees were deleted as template, outside the article and inside."""
     state, inside, holds = _layout(page)
     n, deleted = len(page.tag), 0
     has_root = any(inside)
     gone = [False] * n
     for i in range(1, n):
         own = page.hash[i] in template and not inside[i] and not holds[i] and page.tag[i] in _BLOCK
+        own = own or (page.hash[i] in inner and _inner(page, i, inside, holds))
         deleted += own and not gone[page.parent[i]]
         gone[i] = own or gone[page.parent[i]]
     blocks, now = [], []
@@ -272,21 +286,28 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, source in enumerate(strings(part, "html")):
                 if source:
                     page = parse(source)
-                    rows += [(i, _signed(page.hash[0]), _signed(h)) for h in candidates(page)]
+                    outer, inner, article = candidates(page)
+                    rows += [(i, _signed(page.hash[0]), _signed(h), False) for h in outer]
+                    if article is not None:  # every article counts, also one without a container
+                        rows += [(i, _signed(article), h if h is None else _signed(h), True) for h in (None, *inner)]
             if rows:
-                at, content, h = map(list, zip(*rows))
+                at, content, h, inside = map(list, zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(at)), part.column(1).take(pa.array(at)),
-                     pa.array(content, pa.int64()), pa.array(h, pa.int64())], ["host", "page", "content", "h"])
+                     pa.array(content, pa.int64()), pa.array(h, pa.int64()),
+                     pa.array(inside, pa.bool_())], ["host", "page", "content", "h", "inside"])
 
 
 def templates(subtrees: DataFrame, many: int = MANY_PAGES, share: float = SHARE) -> DataFrame:
-    """``(host, h, n_pages)`` of the subtrees that recur on the host's pages."""
-    pages = subtrees.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("of"))
-    counts = (subtrees.select("host", "h", "content").distinct()
-              .groupBy("host", "h").agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= many))
-    return (counts.join(pages, "host").where(F.col("n_pages") >= F.col("of") * share)
-            .select("host", "h", "n_pages"))
+    """``(host, inside, h, n_pages)`` of the subtrees that recur on the host's pages, and
+    ``inside`` of those that recur in its articles."""
+    pages = (subtrees.select("host", "inside", "content").distinct()
+             .groupBy("host", "inside").agg(F.count("*").alias("of")))
+    counts = (subtrees.where("h is not null").select("host", "inside", "h", "content").distinct()
+              .groupBy("host", "inside", "h").agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= many))
+    least = F.when(F.col("inside"), F.greatest(F.lit(share), F.lit(INSIDE_SHARE))).otherwise(share)
+    return (counts.join(pages, ["host", "inside"]).where(F.col("n_pages") >= F.col("of") * least)
+            .select("host", "inside", "h", "n_pages"))
 
 
 def extract_main_text(pages: DataFrame, url: str = "url", html: str = "html", many: int = MANY_PAGES,
@@ -295,10 +316,12 @@ def extract_main_text(pages: DataFrame, url: str = "url", html: str = "html", ma
     kept = without(pages, "text", "n_template")
     keyed = pages.select(host_of(F.col(url)).alias("host"), F.xxhash64(html).alias("page"),
                          F.col(html).alias("html"))
-    subtrees = written(keyed.mapInArrow(_subtrees, "host string, page long, content long, h long"), "subtrees")
-    of_page = (subtrees.join(templates(subtrees, many, share), ["host", "h"])
-               .groupBy("host", "page").agg(F.collect_set("h").alias("_phx_template"))
-               .select(F.col("host").alias("_phx_host"), F.col("page").alias("_phx_page"), "_phx_template"))
+    subtrees = written(keyed.mapInArrow(_subtrees, "host string, page long, content long, h long, inside boolean"), "subtrees")
+    of_page = (subtrees.join(templates(subtrees, many, share), ["host", "inside", "h"])
+               .groupBy("host", "page").agg(F.collect_set(F.when(~F.col("inside"), F.col("h"))).alias("_phx_template"),
+                                            F.collect_set(F.when(F.col("inside"), F.col("h"))).alias("_phx_inner"))
+               .select(F.col("host").alias("_phx_host"), F.col("page").alias("_phx_page"), "_phx_template",
+                       "_phx_inner"))
     joined = kept.join(of_page, (host_of(F.col(url)) == F.col("_phx_host"))
                        & same(F.xxhash64(html), F.col("_phx_page")), "left").drop("_phx_host", "_phx_page")
     names = kept.columns
@@ -310,8 +333,8 @@ def extract_main_text(pages: DataFrame, url: str = "url", html: str = "html", ma
             sources = strings(batch, html)
             for a, b in text_slices([len(t or "") for t in sources]):
                 part = batch.slice(a, b - a)
-                found = [main_text(parse(s), {h % (1 << 64) for h in t or ()}) if s else ("", 0)
-                         for s, t in zip(sources[a:b], strings(part, "_phx_template"))]
+                found = [main_text(parse(s), *({h % (1 << 64) for h in x or ()} for x in found)) if s else ("", 0)
+                         for s, *found in zip(sources[a:b], strings(part, "_phx_template"), strings(part, "_phx_inner"))]
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(part.schema.get_field_index(c)) for c in names],
                      pa.array([x[0] for x in found], pa.string()),

@@ -69,3 +69,15 @@ def test_query_on_all_pages(spark):
         blocks = [" ".join(html.unescape(re.sub(r"</?b>|<br>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner)]
         text = "\n".join(b for b in blocks if b)
         assert got[r["page_id"]] == (r["url"], text, len(text))
+
+
+def test_only_recurrence_tells_a_box_inside_the_article(spark):
+    rows = [(i, f"http://d.example/{i}",
+             f"<body><article><h1>Head {i}</h1><div class='x'><p>Get our letter</p></div><p>Own {i}</p><p>quoted</p>"
+             f"<div><p>Body {i}</p></div>{'<ul><li>rare list</li></ul>' if i < 3 else ''}"
+             "<section>Read more here</section></article></body>") for i in range(20)]
+    out = H.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    for r in out.collect():
+        i = r["page_id"]
+        rare = "\nrare list" if i < 3 else ""
+        assert (r["text"], r["n_template"]) == (f"Head {i}\nOwn {i}\nquoted\nBody {i}{rare}", 2)
