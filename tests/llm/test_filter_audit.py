@@ -14,8 +14,8 @@ def _plain_mask(text):
 
 def _brute(docs, labels):
     """Every order applied one document at a time."""
-    good = {i for i, q, _ in labels if q == 1}
-    toxic = {i for i, _, t in labels if t == 1}
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
     masks = defaultdict(list)
     for i, text, source in docs:
         ids = [j for j, other, _ in docs if (other or "") == (text or "") and j is not None]
