@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import OP7_SQL, op7_chat_formatting
 from .decontam import OP3_SQL, op3_benchmark_decontamination
+from .divergence import OP11_SQL, op11_source_divergence
 from .filter_audit import OP13_SQL, op13_filter_audit
 from .html_text import op1_html_extraction
 from .language import op2_language_id
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_personal_data": op9_personal_data,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op11_source_divergence": op11_source_divergence,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -33,5 +35,6 @@ ORACLE = {
     "op4_line_dedup": OP4_SQL,
     "op7_chat_formatting": OP7_SQL,
     "op8_source_mixing": OP8_SQL,
+    "op11_source_divergence": OP11_SQL,
     "op13_filter_audit": OP13_SQL,
 }
