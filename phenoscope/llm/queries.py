@@ -14,6 +14,7 @@ from .pii import op9_personal_data
 from .simhash import op5_simhash_near_dedup
 from .suffix import op6_suffix_dedup
 from .syncmers import op10_document_fingerprints
+from .token_files import op12_token_files
 
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_personal_data": op9_personal_data,
     "op10_document_fingerprints": op10_document_fingerprints,
     "op11_source_divergence": op11_source_divergence,
+    "op12_token_files": op12_token_files,
     "op13_filter_audit": op13_filter_audit,
 }
 
