@@ -300,6 +300,12 @@ SELECT CAST(sum(total) AS BIGINT) AS n, round(sum(best) / sum(total), 6) AS puri
     "csv_lab_roundtrip": _q("SELECT patient_id, ts_ms, test_name, value FROM lab"),
     "csv_med_roundtrip": _q("SELECT patient_id, ts_ms, medicine FROM med"),
     "csv_dx_roundtrip": _q("SELECT patient_id, ts_ms, code FROM dx"),
+    "csv_rejected_rows": """
+SELECT CASE l_returnflag WHEN 'N' THEN 'lab_results_INPUT' ELSE 'medication_orders_INPUT' END AS extract, count(*) AS n
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE l_returnflag IN ('N', 'A') AND o_custkey % 10 = 0 GROUP BY 1
+UNION ALL SELECT 'encounter_INPUT', count(*) FROM orders WHERE o_orderkey % 10 = 0
+UNION ALL SELECT 'encounter_dx_INPUT', count(*) FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey % 10 = 0""",
     "term_set": _q("SELECT DISTINCT medicine AS term FROM med"),
     "label_sink_roundtrip": _q("SELECT patient_id, label FROM labels"),
     "feature_sink_roundtrip": _q(

@@ -147,3 +147,36 @@ def test_sinks_round_trip(spark, fmt):
         for bad in ("a\tb", "a\nb", "\\N"):
             with pytest.raises(Exception):
                 write_features(spark.createDataFrame([("p", bad, 1.0)], tuples.schema), f"{d}/bad", fmt)
+
+
+def test_files_of_a_folder_keep_their_own_headers(spark, tmp_path):
+    folder = tmp_path / "months_INPUT.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Member_ID,Order_Date,Drug_Name\n1,2012-01-01T00:00:00Z,actos\n2,d,\"\"\n")
+    (folder / "b.csv").write_text("Drug_Name,Member_ID,Note,Order_Date\nlantus,3,n,d3\nbad line\nx,4,n,d4,more\n")
+    (folder / "c.csv").write_text("\ufeffMember_ID,Order_Date,Drug_Name\r\n5,,glucophage\r\n")
+    (folder / "empty.csv").write_text("")
+    names = ("Member_ID", "Order_Date", "Drug_Name")
+    df = read_csv_table(spark, str(folder), columns=names)
+    assert df.columns == list(names)
+    rows = sorted(map(tuple, df.collect()))
+    assert rows == [("1", "2012-01-01T00:00:00Z", "actos"), ("2", "d", ""), ("3", "d3", "lantus"),
+                    ("5", None, "glucophage")]
+    assert df.count() == 4 and [r[0] for r in df.select("Drug_Name").collect()].count("lantus") == 1
+    rejected = spark.table("months_INPUT_rejected")
+    assert sorted(r.line for r in rejected.collect()) == ["bad line", "x,4,n,d4,more"] and rejected.count() == 2
+    assert {r.file.rsplit("/", 1)[1] for r in rejected.collect()} == {"b.csv"}
+    whole = read_csv_table(spark, str(folder))
+    assert set(whole.columns) == {*names, "Note"} and whole.count() == 4
+    with pytest.raises(ValueError, match="no column Note"):
+        read_csv_table(spark, str(folder), columns=("Member_ID", "Note"))
+
+
+def test_compressed_files_and_empty_folders(spark, tmp_path):
+    folder = tmp_path / "z_INPUT.csv"
+    df = spark.createDataFrame([("1", "a"), ("2", None)], "k string, v string")
+    df.coalesce(1).write.option("header", "true").option("compression", "gzip").csv(str(folder))
+    assert sorted(map(tuple, read_csv_table(spark, str(folder), columns=("v", "k")).collect()), key=repr) == [
+        ("a", "1"), (None, "2")]
+    (tmp_path / "none").mkdir()
+    assert read_csv_table(spark, str(tmp_path / "none"), columns=("k",)).collect() == []
