@@ -1,43 +1,43 @@
 """Scaling, projection, clustering and scoring of patient vectors
 (A11, A12, M4-M9, M11, M13, M14, S8).
 
-Everything iterative runs in ``pyspark.ml`` (distributed Lloyd / EM steps via
-tree aggregation); our own code is the data preparation around it and the
-online k-means update.  The driver holds only fitted parameters: the scaler's
-d means and stds, the d × k principal components, k centres / Gaussians.
-
-Vectors stay sparse: the projection scales without centring (a covariance does
-not change under it) and subtracts the constant offset afterwards.  One limit,
-stated openly: ``pyspark.ml``'s PCA forms a d × d covariance on the driver, so ``d``
-(the feature vocabulary) must stay in the thousands; patients are unbounded.
+The clusterings run in ``pyspark.ml`` (distributed Lloyd / EM steps via tree
+aggregation); the principal components come from block products over the sparse
+vectors (``operators/linear.py``), so no d × d matrix exists for d features.  The driver
+holds only fitted parameters: the scaler's d means and stds, a basis of d × some
+tens of columns, k centres / Gaussians.
 """
 
 from __future__ import annotations
 
+import contextvars
+import json
 import threading
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 import numpy as np
 from pyspark import inheritable_thread_target
+from pyspark.ml import Model
 from pyspark.ml.clustering import GaussianMixture, KMeans
-from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
+from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features as feat
+from ..operators.linear import gram_entries, leading_eigenvectors, project, second_moment_times
 from ..operators.metrics import assignments_with_labels, purity
-from ..operators.setops import bag_union
-from ..session import broadcast_if_small, reliable_checkpoint
+from ..session import broadcast_if_small, reliable_checkpoint, scratch_scope
 from ..sources.criteria import candidate_terms
 from ..streaming.online_kmeans import OnlineKMeans
 
 ALGORITHMS = ("kmeans", "gmm", "streaming_kmeans")
 
-# The PCA fit (an SVD) and each Gaussian-mixture iteration (decompositions of
-# the k covariance matrices) run LAPACK on the driver; its pure-Java fallback
-# keeps static state, so two such calls must never overlap in one driver.
+# Each Gaussian-mixture iteration decomposes its k covariance matrices with LAPACK on
+# the driver; its pure-Java fallback keeps static state, so two such calls must never
+# overlap in one driver.
 _DRIVER_LAPACK = threading.Lock()
 
 
@@ -56,7 +56,7 @@ def run_concurrently(spark: SparkSession, tasks):
         return [t() for t in tasks]
     with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
         inherit = inheritable_thread_target(spark)
-        futures = [pool.submit(inherit(t)) for t in tasks]
+        futures = [pool.submit(contextvars.copy_context().run, inherit(t)) for t in tasks]
         return [f.result() for f in futures]
 
 
@@ -93,15 +93,13 @@ def covariance_long(long: DataFrame, n_rows: int, width: int) -> DataFrame:
     """``(i, j, value)``, the covariance of the standardised features that PCA
     decomposes (their correlation; 0 for constant features).
 
-    Products of a patient's stored entries are summed on the executors; the
-    patient's list is bounded by the vocabulary.  The result has width² rows by
-    definition and never passes the driver."""
+    Products of a patient's stored entries are summed inside the tasks before they are
+    shuffled; the patient's list is bounded by the vocabulary.  The result has width²
+    rows by definition and never passes the driver."""
     n = float(n_rows)
     moments = feature_moments(long, n_rows)
-    lists = feat.patient_entries(long)
-    x = lists.select(F.explode("entries").alias("x"), "entries")
-    products = (x.select(F.col("x.idx").alias("i"), F.col("x.value").alias("a"), F.explode("entries").alias("y"))
-                .groupBy("i", F.col("y.idx").alias("j")).agg(F.sum(F.col("a") * F.col("y.value")).alias("s")))
+    half = gram_entries(feat.patient_entries(long), width)
+    products = half.unionByName(half.where("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "s"))
     mi = moments.select(F.col("idx").alias("i"), F.col("mean").alias("mean_i"), F.col("std").alias("std_i"))
     mj = moments.select(F.col("idx").alias("j"), F.col("mean").alias("mean_j"), F.col("std").alias("std_j"))
     grid = mi.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))).alias("j"))
@@ -112,35 +110,110 @@ def covariance_long(long: DataFrame, n_rows: int, width: int) -> DataFrame:
                          F.when(scale == 0, 0.0).otherwise(value / scale).alias("value"))
 
 
-class Projection:
+def standardised_entries(long: DataFrame, n_rows: int) -> tuple[DataFrame, DataFrame]:
+    """M4 without the dense table: ``(patient_id, idx, value)`` of the stored entries, each
+    ``x / std``, and ``(idx, value)`` of the baseline ``-mean / std``.  A patient's
+    standardised value is the baseline, plus its entry where it has one; constant
+    features count 0."""
+    moments = feature_moments(long, n_rows)
+    own = broadcast_if_small(moments.select("idx", "std"))
+    scaled = F.when(F.col("std") > 0, F.col("value") / F.col("std")).otherwise(0.0)
+    entries = long.join(own, "idx").select("patient_id", "idx", scaled.alias("value"))
+    base = F.when(F.col("std") > 0, -F.col("mean") / F.col("std")).otherwise(0.0)
+    return entries, moments.select("idx", base.alias("value"))
+
+
+class Projection(Model, MLWritable, MLReadable):
     """M4 + M5: standardise and project onto ``min(n_components, width)`` principal
     components.
 
-    The scaler divides only, so vectors stay sparse; PCA is the same with or without
-    centring.  ``transform`` subtracts the projected mean (k numbers), so results
-    are those of centred, standardised features; constant features count 0."""
+    Vectors stay sparse: the components are those of the centred, standardised features,
+    but centring is a term of rank one in each product and a constant (k numbers) in the
+    result.  No vocabulary x vocabulary matrix exists anywhere; a pass over the vectors
+    brings back vocabulary x components.  Constant features count 0.  A fitted
+    projection is a transformer that can be saved and loaded."""
 
-    def __init__(self, width: int, cfg: ClusteringConfig = ClusteringConfig(),
+    def __init__(self, width: int = 0, cfg: ClusteringConfig = ClusteringConfig(),
                  input_col: str = "features"):
-        k = max(1, min(cfg.n_components, width))
-        self.input_col = input_col
-        self._scaler = StandardScaler(inputCol=input_col, outputCol="_scaled", withMean=False, withStd=True)
-        self._pca = PCA(k=k, inputCol="_scaled", outputCol="_pca")
+        super().__init__()
+        self.width, self.cfg, self.input_col = width, cfg, input_col
+
+    def _sparse(self, vectors: DataFrame, *keep: str) -> DataFrame:
+        """``(indices, values)`` of sparse and dense vectors alike."""
+        v = F.unwrap_udt(self.input_col)
+        sparse = v["type"] == 0
+        return vectors.select(
+            *keep, F.when(sparse, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1)).alias("indices"),
+            v["values"].alias("values"))
 
     def fit(self, vectors: DataFrame) -> Projection:
-        self.scaler = self._scaler.fit(vectors)
-        self.pca = self._pca.fit(self.scaler.transform(vectors))
-        mean, std = (x.toArray() for x in (self.scaler.mean, self.scaler.std))
-        scaled = np.divide(mean, std, out=np.zeros_like(mean), where=std > 0)
-        self.components = self.pca.pc.toArray()
-        self.offset = scaled @ self.components
+        k = max(1, min(self.cfg.n_components, self.width))
+        row = vectors.agg(Summarizer.metrics("count", "mean", "std").summary(F.col(self.input_col)).alias("s")).first().s
+        n, self.mean, self.std = int(row["count"]), row["mean"].toArray(), row["std"].toArray()
+        inverse = np.divide(1.0, self.std, out=np.zeros_like(self.std), where=self.std > 0)
+        own = self._sparse(vectors)
+        mean = self.mean * inverse
+
+        def covariance_times(block):
+            moment = inverse[:, None] * second_moment_times(own, inverse[:, None] * block)
+            return (moment - n * np.outer(mean, mean @ block)) / max(1, n - 1)
+
+        self.variances, self.components, self.residuals = leading_eigenvectors(
+            covariance_times, self.width, k, self.cfg.seed)
+        self.offset = mean @ self.components
         return self
 
-    def transform(self, vectors: DataFrame) -> DataFrame:
-        out = self.pca.transform(self.scaler.transform(vectors))
+    @property
+    def weights(self) -> np.ndarray:
+        """What an entry's value is multiplied with, vocabulary x components."""
+        return np.divide(self.components, self.std[:, None], out=np.zeros_like(self.components),
+                         where=self.std[:, None] > 0)
+
+    def _transform(self, vectors: DataFrame) -> DataFrame:
+        rest = [c for c in vectors.columns if c != self.input_col]
+        out = project(self._sparse(vectors, *rest), self.weights, "_pca", rest)
         offset = F.array(*[F.lit(float(x)) for x in self.offset])
-        centred = F.zip_with(vector_to_array("_pca"), offset, lambda a, b: a - b)
-        return out.withColumn("pca", array_to_vector(centred)).drop("_scaled", "_pca")
+        return out.select(*rest, array_to_vector(F.zip_with("_pca", offset, lambda a, b: a - b)).alias("pca"))
+
+    def transform(self, dataset: DataFrame, params=None) -> DataFrame:
+        """``dataset`` with ``pca`` in the place of the input vectors."""
+        return self._transform(dataset)
+
+    def write(self):
+        return _ProjectionWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _ProjectionReader()
+
+
+class _ProjectionWriter(MLWriter):
+    """Two Parquet tables: a row per feature, and the constants."""
+
+    def __init__(self, projection: Projection):
+        super().__init__()
+        self.projection = projection
+
+    def saveImpl(self, path: str) -> None:
+        p, spark = self.projection, self.sparkSession
+        rows = [(i, float(p.mean[i]), float(p.std[i]), p.components[i].tolist()) for i in range(p.width)]
+        spark.createDataFrame(rows, "idx long, mean double, std double, components array<double>").write.parquet(f"{path}/features")
+        spark.createDataFrame([(p.input_col, p.width, p.variances.tolist(), p.residuals.tolist(), json.dumps(asdict(p.cfg)))],
+                              "input_col string, width int, variances array<double>, residuals array<double>, config string"
+                              ).coalesce(1).write.parquet(f"{path}/constants")
+
+
+class _ProjectionReader(MLReader):
+    def load(self, path: str) -> Projection:
+        one = self.sparkSession.read.parquet(f"{path}/constants").first()
+        rows = sorted(self.sparkSession.read.parquet(f"{path}/features").collect(), key=lambda r: r.idx)
+        p = Projection(one.width, ClusteringConfig(**json.loads(one.config)), one.input_col)
+        p.mean, p.std = (np.array([r[c] for r in rows]) for c in ("mean", "std"))
+        p.components = np.array([r.components for r in rows])
+        p.variances, p.residuals = np.array(one.variances), np.array(one.residuals)
+        inverse = np.divide(1.0, p.std, out=np.zeros_like(p.std), where=p.std > 0)
+        p.offset = (p.mean * inverse) @ p.components
+        return p
 
 
 class ClusteringExperiment:
@@ -166,8 +239,7 @@ class ClusteringExperiment:
         cfg = self.cfg
         if not ordered:
             vectors = vectors.repartition("patient_id").sortWithinPartitions("patient_id")
-        with _DRIVER_LAPACK:
-            self.projection = Projection(width, cfg).fit(vectors)
+        self.projection = Projection(width, cfg).fit(vectors)
         projected = self.projection.transform(vectors).select("patient_id", "pca")
         self.projected = reliable_checkpoint(projected)
         dim = max(1, min(cfg.n_components, width))
@@ -241,20 +313,23 @@ def experiment_report(dx: DataFrame, med: DataFrame, lab: DataFrame, labels: Dat
     Events are aggregated once; the candidate arm is a filter on the stored tuples."""
     if candidates is None:
         candidates = {kind: candidate_terms(kind) for kind in ("dx", "med", "lab")}
-    labels = reliable_checkpoint(labels)  # read by six purity joins
-    tuples = reliable_checkpoint(feat.feature_tuples(dx, med, lab, with_kind=True))
-    arms = {"all": tuples, "filtered": feat.candidate_tuples(tuples, candidates)}
-
-    def arm_report(arm, own):
-        vectors, width = patient_matrix(own.drop("kind"))
-        if width == 0:
-            return empty_report(labels.sparkSession, arm)
-        exp = ClusteringExperiment(cfg).fit(vectors, width, ordered=True)
-        return exp.purity_report(labels).select(F.lit(arm).alias("arm"), "*")
-
-    parts = run_concurrently(labels.sparkSession,
-                             [lambda a=a, t=t: arm_report(a, t) for a, t in arms.items()])
-    return bag_union(*parts)
+    spark = labels.sparkSession
+    # the six rows are collected inside the scope, so no table of the run outlives it
+    with scratch_scope(spark):
+        stored = reliable_checkpoint(labels)  # read by six purity joins
+        tuples = reliable_checkpoint(feat.feature_tuples(dx, med, lab, with_kind=True))
+        arms = {"all": tuples, "filtered": feat.candidate_tuples(tuples, candidates)}
+
+        def arm_report(arm, own):
+            vectors, width = patient_matrix(own.drop("kind"))
+            if width == 0:
+                return empty_report(spark, arm).collect()
+            exp = ClusteringExperiment(cfg).fit(vectors, width, ordered=True)
+            return exp.purity_report(stored).select(F.lit(arm).alias("arm"), "*").collect()
+
+        parts = run_concurrently(spark, [lambda a=a, t=t: arm_report(a, t) for a, t in arms.items()])
+    return spark.createDataFrame([tuple(r) for part in parts for r in part],
+                                 "arm string, algorithm string, n long, purity double")
 
 
 def kmeans_step(df: DataFrame, centres, features_col: str = "features") -> DataFrame:
@@ -280,10 +355,7 @@ def long_projection(long: DataFrame, projection: Projection) -> DataFrame:
     stored entries times their feature's row of components, less the offset.  The
     fitted parameters (vocabulary × k) are broadcast after a size check."""
     spark = long.sparkSession
-    std = projection.scaler.std.toArray()
-    weights = np.divide(projection.components, std[:, None], out=np.zeros_like(projection.components),
-                        where=std[:, None] > 0)
-    rows = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(weights)],
+    rows = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(projection.weights)],
                                  "idx long, w array<double>")
     offset = F.array(*[F.lit(float(x)) for x in projection.offset])
     k = len(projection.offset)

@@ -355,6 +355,34 @@ SELECT p.patient_id, CAST(st.idx AS INTEGER) AS idx,
                   ELSE (coalesce(l.value, 0.0) - st.mean) / st.sd END, 6) AS value
 FROM pts p CROSS JOIN st
 LEFT JOIN mlong l ON l.patient_id = p.patient_id AND l.idx = st.idx"""),
+    "standardised_entries": _q(""", np AS (SELECT count(DISTINCT patient_id) AS n FROM mlong),
+st AS (
+  SELECT idx, sum(value) / (SELECT n FROM np) AS mean,
+         sqrt((sum(value * value) - sum(value) * sum(value) / (SELECT n FROM np))
+              / ((SELECT n FROM np) - 1)) AS sd
+  FROM mlong GROUP BY idx)
+SELECT patient_id, idx, round(CASE WHEN sd = 0 THEN 0.0 ELSE value / sd END, 6) AS value
+FROM mlong JOIN st USING (idx)
+UNION ALL SELECT NULL, idx, round(CASE WHEN sd = 0 THEN 0.0 ELSE -mean / sd END, 6) FROM st"""),
+    "gmm_one_step": _EMB + """,
+l AS (SELECT vec_id, cluster, -0.5 * dist - ln(3.0) AS l FROM d),
+t AS (SELECT vec_id, max(l) AS m FROM l GROUP BY vec_id),
+w AS (SELECT vec_id, m, sum(exp(l - m)) AS s FROM l JOIN t USING (vec_id) GROUP BY vec_id, m),
+r AS (SELECT vec_id, cluster, exp(l - m) / s AS r FROM l JOIN w USING (vec_id)),
+n AS (SELECT cluster, sum(r) AS n FROM r GROUP BY cluster),
+mu AS (SELECT cluster, i, sum(r * v) / any_value(n) AS mu FROM r JOIN u USING (vec_id) JOIN n USING (cluster)
+       GROUP BY cluster, i),
+cv AS (SELECT cluster, x.i, y.i AS j, sum(r * x.v * y.v) / any_value(n) AS s
+       FROM r JOIN u x USING (vec_id) JOIN u y USING (vec_id) JOIN n USING (cluster)
+       WHERE x.i <= y.i GROUP BY cluster, x.i, y.i),
+parts AS (
+  SELECT -1 AS component, -1 AS i, -1 AS j, avg(m + ln(s)) - len(any_value(x)) / 2.0 * ln(2 * pi()) AS value
+  FROM w JOIN e USING (vec_id)
+  UNION ALL SELECT cluster, -1, -1, n / (SELECT count(*) FROM e) FROM n
+  UNION ALL SELECT cluster, i - 1, -1, mu FROM mu
+  UNION ALL SELECT cv.cluster, cv.i - 1, cv.j - 1, s - a.mu * b.mu
+  FROM cv JOIN mu a ON a.cluster = cv.cluster AND a.i = cv.i JOIN mu b ON b.cluster = cv.cluster AND b.i = cv.j)
+SELECT component::INTEGER AS component, i::INTEGER AS i, j::INTEGER AS j, round(value, 6) + 0.0 AS value FROM parts""",
     "covariance_entries": _q(""", np AS (SELECT count(DISTINCT patient_id) AS n FROM mlong),
 mm AS (SELECT idx, sum(value) / (SELECT n FROM np) AS mean,
               (sum(value * value) - sum(value) * sum(value) / (SELECT n FROM np))
@@ -374,7 +402,7 @@ LEFT JOIN sp ON sp.i = g.i AND sp.j = g.j"""),
     "pca_certificate": _q(
         "SELECT (SELECT count(DISTINCT patient_id) FROM tuples) AS n, "
         "least(10, (SELECT count(*) FROM dict))::INTEGER AS k, true AS orthonormal, "
-        "true AS uncorrelated, true AS centred, true AS falling"
+        "true AS uncorrelated, true AS centred, true AS falling, true AS settled, true AS explains_as_much"
     ),
     "kmeans_certificate": _q(
         "SELECT count(DISTINCT patient_id) AS n, true AS nearest, true AS step_gains, true AS settled FROM tuples"
@@ -384,7 +412,7 @@ LEFT JOIN sp ON sp.i = g.i AND sp.j = g.j"""),
     ),
     "gmm_certificate": _q(
         "SELECT count(DISTINCT patient_id) AS n, true AS sums_to_one, true AS likeliest, "
-        "true AS weights_sum_to_one FROM tuples"
+        "true AS weights_sum_to_one, true AS step_gains, true AS beats_one FROM tuples"
     ),
     "experiment_certificate": _q("""
 SELECT arm, algorithm, n, true AS purity_in_bounds

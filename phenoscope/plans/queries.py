@@ -587,6 +587,19 @@ def standardised_values(spark, sf_dir):
         "idx", "value")).select("patient_id", "idx", _r("value").alias("value"))
 
 
+@query
+def standardised_entries(spark, sf_dir):
+    """M4 in sparse form: stored entries over their std, and (``patient_id`` null) the
+    baseline of each feature."""
+    from .learn import standardised_entries as sparse_form
+
+    t = _stored_tuples(spark, sf_dir)
+    long = reliable_checkpoint(features.feature_matrix_long(t, features.feature_dictionary(t)))
+    entries, baseline = sparse_form(long, long.select("patient_id").distinct().count())
+    rows = entries.unionByName(baseline.select(F.lit(None).cast("string").alias("patient_id"), "idx", "value"))
+    return rows.select("patient_id", "idx", _r("value").alias("value"))
+
+
 @query
 def covariance_entries(spark, sf_dir):
     from .learn import covariance_long
@@ -616,23 +629,54 @@ def kmeans_lloyd_steps(spark, sf_dir):
     return spark.createDataFrame(rows, "cluster int, dim int, value double")
 
 
+@query
+def gmm_one_step(spark, sf_dir):
+    """M9: one EM step from fixed means, unit covariances and equal weights: weights (i and
+    j -1), means (j -1), covariances (i ≤ j), and the mean log-likelihood (component -1)."""
+    import numpy as np
+
+    from ..operators.linear import em_step
+
+    e = _embeddings(spark, sf_dir)
+    centres = _fixed_centres(e)
+    k, d = centres.shape
+    weights, means, covariances, likelihood = em_step(e, np.full(k, 1 / k), centres, np.stack([np.eye(d)] * k))
+    rows = [(-1, -1, -1, likelihood / e.count())]
+    for c in range(k):
+        rows += [(c, -1, -1, weights[c]), *((c, i, -1, means[c][i]) for i in range(d)),
+                 *((c, i, j, covariances[c][i, j]) for i in range(d) for j in range(i, d))]
+    return spark.createDataFrame([(c, i, j, float(round(x, ROUND)) + 0.0) for c, i, j, x in rows],
+                                 "component int, i int, j int, value double")
+
+
 @query
 def pca_certificate(spark, sf_dir):
-    """M5, M6: orthonormal components, uncorrelated projections of falling variance."""
+    """M5, M6: orthonormal components, uncorrelated projections of falling variance; small
+    residuals ‖CV - VΛ‖; the variance that ``pyspark.ml``'s PCA explains."""
     import numpy as np
+    from pyspark.ml.feature import PCA, StandardScaler
     from pyspark.ml.stat import Correlation, Summarizer
 
-    exp = _experiment(spark, sf_dir, ())
-    v = exp.projection.components
+    from .learn import ClusteringExperiment, patient_matrix
+
+    vectors, width = patient_matrix(_stored_tuples(spark, sf_dir))
+    exp = ClusteringExperiment().fit(vectors, width, ())
+    p = exp.projection
+    v = p.components
     k = v.shape[1]
     corr = Correlation.corr(exp.projected, "pca").first()[0].toArray()
     row = exp.projected.agg(Summarizer.metrics("count", "mean", "variance").summary(F.col("pca")).alias("s")).first().s
     var = row.variance.toArray()
+    scaled = StandardScaler(inputCol="features", outputCol="s", withMean=False).fit(vectors).transform(vectors)
+    plain = PCA(k=k, inputCol="s", outputCol="p").fit(scaled)
+    share = var / float((p.std > 0).sum())
     return spark.createDataFrame([(
         int(row["count"]), k, bool(np.abs(v.T @ v - np.eye(k)).max() < 1e-8),
         bool(np.abs(corr - np.eye(k)).max() < 1e-6), bool(np.abs(row.mean.toArray()).max() < 1e-6),
-        bool((np.diff(var) <= 1e-9 * var[0]).all()))],
-        "n long, k int, orthonormal boolean, uncorrelated boolean, centred boolean, falling boolean")
+        bool((np.diff(var) <= 1e-9 * var[0]).all()), bool(p.residuals.max() < 1e-8 * max(1.0, p.variances[0])),
+        bool(np.abs(share - plain.explainedVariance.toArray()).max() < 1e-8))],
+        "n long, k int, orthonormal boolean, uncorrelated boolean, centred boolean, falling boolean, "
+        "settled boolean, explains_as_much boolean")
 
 
 def _nearest_certificate(exp, algorithm, centres):
@@ -669,9 +713,27 @@ def online_kmeans_certificate(spark, sf_dir):
     return _nearest_certificate(exp, "streaming_kmeans", centres).select("n", "nearest", "step_gains")
 
 
+def mixture_fits(points, weights, means, covariances, column="pca"):
+    """Whether another EM step does not lower the likelihood of a mixture, and whether the
+    mixture is likelier than the one Gaussian that fits the points best."""
+    import numpy as np
+
+    from ..operators.linear import em_step, mixture_sums
+    from ..streaming.online_kmeans import as_array
+
+    arrays = points.select(as_array(points, column).alias("x"))
+    *step, own = em_step(arrays, weights, means, covariances, "x")
+    after = mixture_sums(arrays, *step, "x")[-1]
+    # one step from anywhere gives the moments of a single component
+    d = len(means[0])
+    *single, _ = em_step(arrays, [1.0], [np.zeros(d)], [np.eye(d)], "x")
+    return bool(after >= own - 1e-9 * abs(own)), bool(own > mixture_sums(arrays, *single, "x")[-1])
+
+
 @query
 def gmm_certificate(spark, sf_dir):
-    """M9: probabilities sum to 1, the label is the likeliest component, weights sum to 1."""
+    """M9: probabilities sum to 1, the label is the likeliest component, weights sum to 1;
+    another EM step does not lower the likelihood, which is above a single Gaussian's."""
     from pyspark.ml.functions import vector_to_array
 
     exp = _experiment(spark, sf_dir, ("gmm",))
@@ -679,10 +741,14 @@ def gmm_certificate(spark, sf_dir):
     p = vector_to_array("probability")
     rows = model.transform(exp.projected).select("cluster", p.alias("p"))
     total = F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
+    gaussians = [(g.mean.toArray(), g.cov.toArray()) for g in model.gaussians]
+    gains, beats_one = mixture_fits(exp.projected, model.weights, [m for m, _ in gaussians],
+                                    [c for _, c in gaussians])
     return rows.agg(
         F.count("*").alias("n"), F.bool_and(F.abs(total - 1.0) < 1e-9).alias("sums_to_one"),
         F.bool_and(F.get("p", F.col("cluster")) == F.array_max("p")).alias("likeliest"),
-        F.lit(bool(abs(sum(model.weights) - 1.0) < 1e-9)).alias("weights_sum_to_one"))
+        F.lit(bool(abs(sum(model.weights) - 1.0) < 1e-9)).alias("weights_sum_to_one"),
+        F.lit(gains).alias("step_gains"), F.lit(beats_one).alias("beats_one"))
 
 
 @query
@@ -705,11 +771,13 @@ def experiment_certificate(spark, sf_dir):
 
 @query
 def score_new_patients(spark, sf_dir):
-    """M7: scaler and components fitted on the patients with an even id, every patient
-    projected; checked per patient against the projection from the long form."""
+    """M7: scaler and components fitted on the patients with an even id and saved; the
+    loaded model projects every patient; checked per patient against the projection from
+    the long form."""
     from pyspark.ml.functions import vector_to_array
 
-    from .learn import ClusteringExperiment, long_projection
+    from ..session import scratch_path
+    from .learn import ClusteringExperiment, Projection, long_projection
 
     t = _stored_tuples(spark, sf_dir)
     d = features.feature_dictionary(t)
@@ -718,7 +786,9 @@ def score_new_patients(spark, sf_dir):
     vectors = features.patient_vectors(long, width)
     fitted = F.col("patient_id").cast("long") % 2 == 0
     exp = ClusteringExperiment().fit(vectors.where(fitted), width, ())
-    scored = exp.score(vectors).select("patient_id", vector_to_array("pca").alias("a"))
+    path = scratch_path(spark, "projection")
+    exp.projection.write().save(path)
+    scored = Projection.load(path).transform(vectors).select("patient_id", vector_to_array("pca").alias("a"))
     expected = long_projection(long, exp.projection).withColumnRenamed("pca", "b")
     worst = F.array_max(F.zip_with("a", "b", lambda x, y: F.abs(x - y)))
     return scored.join(expected, "patient_id").select(

@@ -3,6 +3,8 @@ size-checked broadcast."""
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import uuid
 
@@ -76,8 +78,39 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    return _registered(os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}"))
+
+
+# The folders of the innermost open scratch scope.
+_SCRATCH: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
+
+
+def _registered(path: str) -> str:
+    folders = _SCRATCH.get()
+    if folders is not None:
+        folders.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Removes every scratch folder and checkpoint made inside when it ends, also on
+    failure.  What leaves the scope must not read them any more: collect it, or write it
+    elsewhere.  Threads of ``run_concurrently`` belong to the scope they were started in."""
+    folders: list[str] = []
+    token = _SCRATCH.set(folders)
+    try:
+        yield folders
+    finally:
+        _SCRATCH.reset(token)
+        for path in folders:
+            remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on its file system, if it is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
@@ -87,7 +120,10 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     executor that computed them.
     """
     checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if _SCRATCH.get() is not None:
+        _registered(out._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get())
+    return out
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import remove_path
+
 TIME_UNITS = ("batches", "points")
 
 
@@ -107,6 +109,10 @@ def apply_update(centres: np.ndarray, weights: np.ndarray,
     return c, w
 
 
+#: Versions of the state that are kept.
+RETAINED = 2
+
+
 @dataclass
 class OnlineKMeansState:
     centres: np.ndarray
@@ -132,6 +138,8 @@ class OnlineKMeans:
         self.features_col, self.state_dir = features_col, state_dir
         self.state: OnlineKMeansState | None = None
         self.stream: str | None = None
+        #: Versions in ``state_dir``, as far as this run knows; listed once per run.
+        self._versions: list[int] = []
 
     # -- initial state ------------------------------------------------------
     def set_centres(self, centres, weights) -> OnlineKMeans:
@@ -162,7 +170,7 @@ class OnlineKMeans:
 
     # -- streaming form -----------------------------------------------------
     def foreach_batch(self, batch_df: DataFrame, batch_id: int) -> None:
-        if self.state_dir is not None:
+        if self.state_dir is not None and not self._versions:
             self._load_latest(batch_df.sparkSession)
         s = self._require_state()
         if batch_id <= s.batch_id:
@@ -178,6 +186,7 @@ class OnlineKMeans:
         The state belongs to the stream of ``checkpoint_location``: batch numbers
         say what was applied only within one stream, so another stream fails on it."""
         self.stream = checkpoint_location.rstrip("/")
+        self._versions = []
         writer = (
             stream_df.writeStream.foreachBatch(self.foreach_batch)
             .option("checkpointLocation", checkpoint_location)
@@ -200,6 +209,12 @@ class OnlineKMeans:
                 for k in range(self.k)]
         (spark.createDataFrame(rows, self._STATE_SCHEMA).coalesce(1).write.mode("overwrite")
          .parquet(f"{self.state_dir}/version={s.batch_id}"))
+        # a replay can only be of the last batch: its version says that it was applied, the
+        # one before is what it would be applied to
+        self._versions.append(s.batch_id)
+        for old in self._versions[:-RETAINED]:
+            remove_path(spark, f"{self.state_dir}/version={old}")
+        self._versions = self._versions[-RETAINED:]
 
     def _committed_versions(self, spark: SparkSession) -> list[int]:
         """Batch ids whose state write finished (``_SUCCESS`` is written last),
@@ -219,6 +234,7 @@ class OnlineKMeans:
 
     def _load_latest(self, spark: SparkSession) -> None:
         versions = self._committed_versions(spark)
+        self._versions = versions
         if not versions:
             return
         latest = versions[-1]

@@ -90,3 +90,28 @@ def test_registered_stream_does_not_depend_on_file_layout(spark, files):
                   for q in ("online_kmeans_stream", "online_kmeans_update"))
     assert [g[:2] for g in got] == [b[:2] for b in batch]
     np.testing.assert_allclose([g[2:] for g in got], [b[2:] for b in batch], atol=2e-6)
+
+
+def test_twenty_batches_leave_two_versions_and_survive_a_replay(spark, tmp_path):
+    state = str(tmp_path / "state")
+    rows = [spark.createDataFrame([([float(b), 1.0],), ([-float(b), -1.0],)], "features array<double>") for b in range(20)]
+
+    def fresh():
+        m = OnlineKMeans(2, state_dir=state).set_centres([[1.0, 1.0], [-1.0, -1.0]], [0.5, 0.5])
+        m.stream = "s"
+        return m
+
+    m = fresh()
+    for b in range(12):
+        m.foreach_batch(rows[b], b)
+    m = fresh()  # a restart
+    for b in range(11, 20):  # the last batch comes again
+        m.foreach_batch(rows[b], b)
+    assert sorted(p.name for p in (tmp_path / "state").iterdir()) == ["version=18", "version=19"]
+    want = OnlineKMeans(2).set_centres([[1.0, 1.0], [-1.0, -1.0]], [0.5, 0.5])
+    for b in range(20):
+        want.update(rows[b])
+    assert m.state.centres == pytest.approx(want.state.centres)
+    again = fresh()
+    again.foreach_batch(rows[19], 19)
+    assert again.state.centres == pytest.approx(m.state.centres) and again.state.batch_id == 19
