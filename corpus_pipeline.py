@@ -20,11 +20,17 @@ from phenoscope.llm.mixing import mix
 from phenoscope.llm.simhash import drop_near_duplicates
 
 
+#: A language must have this share of a text's letters, less its doubt, for the text to stay.
+MIN_SCORE = 0.5
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents in which no language can be told (no text or no letter)."""
+    """Drops the documents of which no language holds at least half (no text, no letter,
+    or a tangle of languages), and gives the others without a ``lang`` the predicted one."""
     model = fit_language_model(docs)
     found = identify_language(docs, model, names=("_phx_lang", "_phx_score", "_phx_spans"))
-    return found.where(F.col("_phx_lang") != UND).select(*[f"`{c}`" for c in docs.columns])
+    kept = found.where((F.col("_phx_lang") != UND) & (F.col("_phx_score") >= MIN_SCORE))
+    return kept.withColumn("lang", F.coalesce("lang", "_phx_lang")).select(*[f"`{c}`" for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
