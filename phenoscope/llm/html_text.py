@@ -9,7 +9,11 @@ different articles, and a larger share of the host's articles must have them: a
 paragraph that many articles quote stays.  HTML's own marks then take what does not recur
 (rotating adverts, a menu that differs from page to page, pages of small hosts):
 elements and class names that mean menu, header, footer, sidebar, notice, advert, form
-or comments.  If the page names its article, that is what is left of it.
+or comments.  A class or id counts as such a name if it is the word, or, on a container
+that does not hold most of the page's text, begins or ends with it (``post-comments``) and
+tells of no state (``no-sidebar``).  No name deletes ``html``, ``body``, a heading, or what
+is or holds the named article (an article of reader comments is none).  If the page
+names its article, that is what is left of it.
 
 Blocks are joined by one newline, in page order; white space within a block is
 one space; character references are decoded.  A null or empty page has the empty text;
@@ -72,6 +76,12 @@ _MARKS = set("ad ads adv advert advertisement advertisements adverts banner brea
              "navigation newsletter notice notices overlay pager pagination popup promo recommended related "
              "replies respond search share sharing sidebar signup social sponsor sponsored subscribe "
              "toolbar widget".split())
+_REMARKS = set("comment comments replies respond disqus".split())
+# a name with one of these tells of a state or an option, not what the element is
+_STATES = set("no not non has have with without is enabled disabled on off hide show".split())
+# elements that some sites wrap around the whole page
+_WRAPPERS = set("form fieldset object label menu canvas dialog".split())
+_NEVER = {"html", "body"}
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
 
 KEEP, HEADINGS, DROP = 0, 1, 2
@@ -177,52 +187,85 @@ def parse(source: str) -> Page:
     return page
 
 
-def _marked(tag: str, a: dict) -> bool:
-    if tag in _DROPPED:
-        return True
-    if not a:
-        return False
-    if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or a.get("role", "").lower() in _ROLES:
-        return True
-    if re.search(r"display\s*:\s*none", a.get("style", "")):
-        return True
-    names = f"{a.get('class', '')} {a.get('id', '')}"
-    return any(w.lower() in _MARKS for w in _WORDS.findall(names))
+def _named(a: dict, marks: set[str], parts: bool) -> bool:
+    """Whether class or id is one of ``marks``, or (``parts``) begins or ends with one."""
+    for token in f"{a.get('class', '')} {a.get('id', '')}".split():
+        if token.lower() in marks:
+            return True
+        words = [w.lower() for w in _WORDS.findall(token)] if parts else ()
+        if words and (words[0] in marks or words[-1] in marks) and not _STATES.intersection(words):
+            return True
+    return False
+
+
+def _hidden(a: dict) -> bool:
+    return ("hidden" in a or a.get("aria-hidden", "").lower() == "true" or a.get("role", "").lower() in _ROLES
+            or bool(re.search(r"display\s*:\s*none", a.get("style", ""))))
+
+
+#: What names the article, the strongest first.
+_ARTICLE = (lambda tag, a: tag == "article",
+            lambda tag, a: tag == "main" or a.get("role", "").lower() == "main",
+            lambda tag, a: a.get("itemprop", "").lower() == "articlebody")
+
+
+def _articles(page: Page) -> set[int]:
+    """The elements that name the article: none inside menus, comments and the like; one
+    with a mark of its own only if all have one."""
+    n = len(page.tag)
+    off = [False] * n
+    for i in range(1, n):
+        tag, a = page.tag[i], page.attributes[i]
+        off[i] = off[page.parent[i]] or tag not in _NEVER and (
+            tag in _DROPPED - _WRAPPERS or bool(a) and (_hidden(a) or _named(a, _REMARKS, True)))
+    for rule in _ARTICLE:
+        found = {i for i in range(1, n) if not off[i] and rule(page.tag[i], page.attributes[i])}
+        plain = {i for i in found if not _named(page.attributes[i], _MARKS, False)}
+        if found:
+            return plain or found
+    return set()
+
+
+def _text_lengths(page: Page) -> list[int]:
+    """Characters under each element that scripts and styles do not hold."""
+    out = [0] * len(page.tag)
+    for element, piece in page.pieces:
+        if piece and page.tag[element] not in _RAW:
+            out[element] += len(piece.strip())
+    for i in range(len(out) - 1, 0, -1):
+        out[page.parent[i]] += out[i]
+    return out
 
 
 def _layout(page: Page) -> tuple[list[int], list[bool], list[bool]]:
     """Of each element: what its marks say of it, whether it is inside the article,
     and whether it holds the article."""
     n = len(page.tag)
-    state, header = [KEEP] * n, [False] * n
-    for i in range(1, n):
-        up, tag = state[page.parent[i]], page.tag[i]
-        header[i] = tag == "header" or "header" in (
-            w.lower() for w in _WORDS.findall(page.attributes[i].get("class", "")))
-        if up == DROP or _marked(tag, page.attributes[i]):
-            state[i] = DROP
-        elif tag in _HEADING:
-            state[i] = KEEP
-        else:
-            state[i] = HEADINGS if header[i] else up
-    wanted = (lambda i: page.tag[i] == "article",
-              lambda i: page.tag[i] == "main" or page.attributes[i].get("role", "").lower() == "main",
-              lambda i: page.attributes[i].get("itemprop", "").lower() == "articlebody")
-    roots: set[int] = set()
-    for rule in wanted:
-        roots = {i for i in range(1, n) if state[i] != DROP and rule(i)}
-        if roots:
-            break
+    roots, lengths = _articles(page), _text_lengths(page)
     inside, holds = [False] * n, [False] * n
     for i in range(1, n):
         inside[i] = inside[page.parent[i]] or i in roots
-        if i in roots and not inside[page.parent[i]] and state[page.parent[i]] == HEADINGS:
-            state[i] = KEEP
     for i in roots:
         j = i
         while j and not holds[page.parent[j]]:
             j = page.parent[j]
             holds[j] = True
+    state = [KEEP] * n
+    for i in range(1, n):
+        up, tag, a = state[page.parent[i]], page.tag[i], page.attributes[i]
+        article = i in roots or holds[i]
+        parts = tag not in _HEADING and tag in _BLOCK - {"p"} and 2 * lengths[i] <= lengths[0]
+        named = bool(a) and not article and tag not in _HEADING and _named(a, _MARKS, parts)
+        dropped = tag in _DROPPED and not (article and tag in _WRAPPERS)
+        if up == DROP or tag not in _NEVER and (dropped or named or bool(a) and not article and _hidden(a)):
+            state[i] = DROP
+        elif tag in _HEADING or i in roots and not inside[page.parent[i]]:
+            state[i] = KEEP
+        elif tag == "header" or tag not in _NEVER and bool(a) and not article and _named(
+                {"class": a.get("class", "")}, {"header"}, parts):
+            state[i] = HEADINGS
+        else:
+            state[i] = up
     if not roots:  # headers of the whole page
         state = [DROP if s == HEADINGS else s for s in state]
         for i in range(1, n):

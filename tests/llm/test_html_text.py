@@ -81,3 +81,57 @@ def test_only_recurrence_tells_a_box_inside_the_article(spark):
         i = r["page_id"]
         rare = "\nrare list" if i < 3 else ""
         assert (r["text"], r["n_template"]) == (f"Head {i}\nOwn {i}\nquoted\nBody {i}{rare}", 2)
+
+
+ARTICLE = "<h1>Head</h1><p>Some words of the article.</p><h2 id=\"social-impact\">Impact</h2><p id=\"notice-1\">Noted.</p>"
+WANTED = "Head\nSome words of the article.\nImpact\nNoted."
+
+
+def test_a_word_in_a_class_empties_no_page(spark):
+    shells = ["<body class='home right-sidebar'>{}</body>", "<article class='post share-enabled'>{}</article>",
+              "<div class='content no-sidebar'>{}</div>", "<html class='cookie-consent'><body>{}</body></html>",
+              "<html class='sidebar'><body class='ad'><main>{}</main></body></html>",
+              "<div class='share'><article>{}</article></div>", "<form id='f'><article>{}</article></form>",
+              "<div id='header-page'><div class='with-header'>{}</div></div>", "<body style='display:none'>{}</body>",
+              "<div class='has-header'><article>{}</article><div class='comments'><article class='comment'>"
+              "a very long reader comment, longer than everything else on the page together</article></div></div>",
+              "<article class='widget'>{}</article>", "<article>{}</article><article class='promo'>Buy</article>"]
+    for shell in shells:
+        for box in ("", "<div class='ad'>Buy</div>", "<div class='post-comments'>hm</div><div id='cookieNotice'>c</div>"):
+            assert _text(shell.format(ARTICLE + box)) == WANTED, shell
+    rows = [(i, f"http://e.example/{i}", shells[i % 12].format(ARTICLE.replace("Some", f"Some {i}"))) for i in range(24)]
+    out = H.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), many=25)
+    assert {(r["page_id"], r["text"]) for r in out.collect()} == {
+        (i, WANTED.replace("Some", f"Some {i}")) for i in range(24)}
+
+
+def test_recurrence_against_brute_force(spark):
+    """A site of boxes that carry no mark: a box goes where at least 3 different pages and
+    2 % of the host's pages have it."""
+    import random
+
+    rng = random.Random(6)
+    pool = [f"box {k}" for k in range(40)]
+    pages = []
+    for i in range(160):
+        host = f"h{i % 3}.example"
+        boxes = [f"own {i}", *rng.sample(pool, 4)] if i % 7 else ["own 1", "box 1"]  # some pages are copies
+        rng.shuffle(boxes) if i % 7 else None
+        pages.append((i, f"http://{host}/{i}", "<body>" + "".join(f"<div>{b}</div>" for b in boxes) + "</body>", boxes, host))
+    got = {r["page_id"]: r["text"] for r in H.extract_main_text(
+        spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string")).collect()}
+    for host in {p[4] for p in pages}:
+        different = {tuple(p[3]) for p in pages if p[4] == host}
+        counts = {b: sum(b in d for d in different) for d in different for b in d}
+        for i, _, _, boxes, _ in (p for p in pages if p[4] == host):
+            left = [b for b in boxes if not (counts[b] >= 3 and counts[b] >= 0.02 * len(different))]
+            assert got[i] == "\n".join(left)
+
+
+def test_container_rule_with_odd_rows(spark):
+    rows = [(i, "http://f.example/", f"<article><h1>H {i}</h1><div class='x'>letter</div></article>") for i in range(4)]
+    rows += [rows[0], (None, "http://f.example/", rows[1][2]), (9, "http://f.example/", None), (10, None, "")]
+    out = H.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = sorted(((r["page_id"] or -1, r["text"], r["n_template"]) for r in out.collect()))
+    assert got == [(-1, "H 0", 1), (-1, "H 0", 1), (-1, "H 1", 1), (1, "H 1", 1), (2, "H 2", 1), (3, "H 3", 1),
+                   (9, "", 0), (10, "", 0)]
