@@ -33,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import read_table, same, strings, without, written
 
@@ -74,26 +75,38 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  *[pa.array(x, pa.int64()) for x in rest]], ["id", "row", "a", "b", "h1", "h2"])
 
 
-def _first_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        h1, h2, texts = [], [], []
-        for text, wanted in zip(strings(batch, "text"), strings(batch, "wanted")):
-            lines = text.split("\n")
-            for w in wanted:
-                h1.append(w["h1"])
-                h2.append(w["h2"])
-                texts.append("\n".join(lines[w["a"]:w["b"]]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(texts, pa.string())],
-            ["h1", "h2", "first_text"])
-
-
-def _without_cuts(kept: DataFrame, cuts: DataFrame, doc_id: str, text: str, names: tuple[str, str]) -> DataFrame:
-    """``kept`` without those of its lines in ``cuts`` whose bytes are those of the first place."""
-    whole = kept.join(cuts, same(F.col(doc_id), F.col("_phx_id"))
-                      & (F.xxhash64(text) == F.col("_phx_row")), "left").drop("_phx_id", "_phx_row")
-    schema = kept.schema.add(names[0], "long").add(names[1], "long")
-    inputs = kept.columns
+def _first_texts(column: str):
+    # takes whole rows, so that the shuffle under it is the one of the cuts
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h1, h2, texts = [], [], []
+            for text, wanted in zip(strings(batch, column), strings(batch, "wanted")):
+                lines = text.split("\n")
+                for w in wanted:
+                    h1.append(w["h1"])
+                    h2.append(w["h2"])
+                    texts.append("\n".join(lines[w["a"]:w["b"]]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(texts, pa.string())],
+                ["h1", "h2", "first_text"])
+
+    return run
+
+
+def _laid_out(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with the key of their rows, a struct of id and text hash (never null)."""
+    return docs.withColumn("_phx_key", F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("row")))
+
+
+def _without_cuts(kept: DataFrame, cuts: DataFrame, text: str, names: tuple[str, str]) -> DataFrame:
+    """``kept`` (laid out) without those of its lines in ``cuts`` whose bytes are those of
+    the first place.
+
+    The join is a merge join at every size: its shuffle of the texts is then the one that
+    the first texts were taken from."""
+    whole = kept.join(cuts.select(F.struct("id", "row").alias("_phx_key"), "_phx_cuts").hint("merge"), "_phx_key", "left")
+    inputs = [c for c in kept.columns if c != "_phx_key"]
+    schema = T.StructType([f for f in kept.schema.fields if f.name != "_phx_key"]).add(names[0], "long").add(names[1], "long")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,18 +144,16 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 .where("first <> last").drop("last"))
     wanted = (repeated.select("first.id", "first.row", F.struct("h1", "h2", "first.a", "first.b").alias("w"))
               .groupBy("id", "row").agg(F.collect_list("w").alias("wanted")))
-    joined = keyed.alias("d").join(
-        wanted.alias("w"), same(F.col("d.id"), F.col("w.id")) & (F.col("d.row") == F.col("w.row")))
-    texts = (joined.select("text", "wanted")
-             .mapInArrow(_first_texts, "h1 long, h2 long, first_text string"))
+    laid_out = _laid_out(kept, doc_id, text)
+    joined = laid_out.join(wanted.select(F.struct("id", "row").alias("_phx_key"), "wanted").hint("merge"), "_phx_key")
+    texts = joined.mapInArrow(_first_texts(text), "h1 long, h2 long, first_text string")
     # repeated rows of a first place give its text more than once
     texts = texts.dropDuplicates(["h1", "h2"])
     again = (chunks.join(repeated, ["h1", "h2"]).where(~same(place, F.col("first")))
              .select("h1", "h2", "id", "row", "a", "b"))
     cuts = (again.join(texts, ["h1", "h2"])
-            .groupBy("id", "row").agg(F.collect_list(F.struct("a", "b", "first_text")).alias("_phx_cuts"))
-            .select(F.col("id").alias("_phx_id"), F.col("row").alias("_phx_row"), "_phx_cuts"))
-    return _without_cuts(kept, cuts, doc_id, text, names)
+            .groupBy("id", "row").agg(F.collect_list(F.struct("a", "b", "first_text")).alias("_phx_cuts")))
+    return _without_cuts(laid_out, cuts, text, names)
 
 
 def line_pairs(text: str) -> Iterator[tuple[int, int, str]]:
@@ -196,21 +207,25 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["id", "row", "first_id", "first_row", "a", "b", "first_a", "first_b"])
 
 
-def _run_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at, a, b, texts = [], [], [], []
-        for i, (text, wanted) in enumerate(zip(strings(batch, "text"), strings(batch, "wanted"))):
-            lines = text.split("\n")
-            for w in wanted:
-                at.append(i)
-                a.append(w["first_a"])
-                b.append(w["first_b"])
-                texts.append("\n".join(lines[w["first_a"]:w["first_b"]]))
-        if at:
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(batch.schema.get_field_index(n)).take(pa.array(at)) for n in ("id", "row")],
-                 pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(texts, pa.string())],
-                ["first_id", "first_row", "first_a", "first_b", "first_text"])
+def _run_texts(column: str):
+    # takes whole rows, so that the shuffle under it is the one of the cuts
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, a, b, texts = [], [], [], []
+            for i, (text, wanted) in enumerate(zip(strings(batch, column), strings(batch, "wanted"))):
+                lines = text.split("\n")
+                for w in wanted:
+                    at.append(i)
+                    a.append(w["first_a"])
+                    b.append(w["first_b"])
+                    texts.append("\n".join(lines[w["first_a"]:w["first_b"]]))
+            if at:
+                key = batch.column(batch.schema.get_field_index("_phx_key")).take(pa.array(at))
+                yield pa.RecordBatch.from_arrays(
+                    [*key.flatten(), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(texts, pa.string())],
+                    ["first_id", "first_row", "first_a", "first_b", "first_text"])
+
+    return run
 
 
 def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -236,18 +251,18 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     wanted = (runs.groupBy("first_id", "first_row")
               .agg(F.collect_set(F.struct("first_a", "first_b")).alias("wanted")))
     # rows that repeat a first place give its text once
-    firsts = (keyed.join(wanted, same(F.col("id"), F.col("first_id")) & (F.col("row") == F.col("first_row")))
-              .select("id", "row", "text", "wanted")
-              .mapInArrow(_run_texts, f"first_id {id_type}, first_row long, first_a long, first_b long, "
+    laid_out = _laid_out(kept, doc_id, text)
+    wanted = wanted.select(F.struct(F.col("first_id").alias("id"), F.col("first_row").alias("row")).alias("_phx_key"), "wanted")
+    firsts = (laid_out.join(wanted.hint("merge"), "_phx_key")
+              .mapInArrow(_run_texts(text), f"first_id {id_type}, first_row long, first_a long, first_b long, "
                                       "first_text string")
               .dropDuplicates(["first_id", "first_row", "first_a", "first_b"]))
     r, f = runs.alias("r"), firsts.alias("f")
     found = r.join(f, same(F.col("r.first_id"), F.col("f.first_id"))
                    & (F.col("r.first_row") == F.col("f.first_row"))
                    & (F.col("r.first_a") == F.col("f.first_a")) & (F.col("r.first_b") == F.col("f.first_b")))
-    cuts = (found.groupBy("r.id", "r.row").agg(F.collect_list(F.struct("r.a", "r.b", "f.first_text")).alias("_phx_cuts"))
-            .select(F.col("id").alias("_phx_id"), F.col("row").alias("_phx_row"), "_phx_cuts"))
-    return _without_cuts(kept, cuts, doc_id, text, names)
+    cuts = found.groupBy("r.id", "r.row").agg(F.collect_list(F.struct("r.a", "r.b", "f.first_text")).alias("_phx_cuts"))
+    return _without_cuts(laid_out, cuts, text, names)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -211,30 +211,34 @@ def fingerprint_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     width: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One row per document: its id, ``fp`` (signed long), ``component_id`` and the
-    smallest fingerprint of the component, ``root``."""
-    found = written(with_fingerprint(docs, text, "_fp", [doc_id], width)
-                    .select(F.col(doc_id).alias("doc_id"), F.col("_fp").alias("fp")), "prints")
+    """One row per document: its id, ``fp`` (signed long), ``component_id``, the
+    smallest fingerprint of the component, ``root``, and the hash ``row`` of its text."""
+    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("row"))
+    found = written(with_fingerprint(keyed, "text", "fp", ["doc_id", "row"], width), "prints")
     classes = written(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     roots = connected_components(fingerprint_links(classes.select("fp"), distance))
     named = classes.join(roots, classes["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     of_print = named.join(lowest, "root").select("fp", "component_id", "root")
-    return found.join(of_print, "fp").select("doc_id", "fp", "component_id", "root")
+    return found.join(of_print, "fp").select("doc_id", "fp", "component_id", "root", "row")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                          width: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row of each group of near-duplicates: that of the smallest id.  Rows that
-    repeat its id and fingerprint count as copies, too."""
-    marked = with_fingerprint(docs, text, "_phx_fp", docs.columns, width)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("first")
+    repeat its id and text count as copies, too.
+
+    Which rows stay is decided on ids and hashes; texts are shuffled once, by the key
+    that also finds the rows that repeat the one that stays."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
     keep = (near_duplicates(docs, doc_id, text, width, distance).groupBy("root").agg(first)
-            .select(F.col("first.doc_id").alias("_phx_id"), F.col("first.fp").alias("_phx_of")))
-    return (marked.join(keep, same(F.col(doc_id), F.col("_phx_id"))
-                        & (F.col("_phx_fp") == F.col("_phx_of")), "left_semi")
-            .dropDuplicates([doc_id, "_phx_fp"]).select(*[f"`{c}`" for c in docs.columns]))
+            .select(F.struct("first.doc_id", "first.row").alias("_phx_key")))
+    # a struct is never null, so null ids meet in a plain equality
+    key = F.struct(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("row")).alias("_phx_key")
+    columns = [f"`{c}`" for c in docs.columns]
+    return (docs.select(*columns, key).join(keep.hint("merge"), "_phx_key", "left_semi")
+            .dropDuplicates(["_phx_key"]).select(*columns))
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
