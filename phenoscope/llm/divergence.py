@@ -24,7 +24,6 @@ keeps no term.  An empty table gives an empty result; further columns are ignore
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -40,9 +39,6 @@ from .vocabulary import FOLD, Shelf, Transducer, build, pieces, term_places
 
 MIN_DOCS = 10
 TOP = 10
-#: A fixed value of the contract: a term in any script, A-Z the only capitals folded.
-TERM = re.compile("[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
 #: Terms of a transducer, bytes of transducers that a scan of the texts carries.
 SHARD_TERMS = 1 << 18
 GROUP_BYTES = 64 << 20
@@ -51,20 +47,14 @@ HELD = 1 << 18
 #: Sources x terms that a task compares at once, and terms of a block at most.
 CELLS = 1 << 20
 BLOCK = 1 << 12
-#: Characters of a text that are cut into terms at a time.
-PIECE = 1 << 20
+_FOLDED = FOLD.tobytes()
 
 
-def terms_of(text: str) -> set[str]:
+def terms_of(text: bytes) -> set[bytes]:
     """The different terms of a text, a piece at a time."""
-    found: set[str] = set()
-    at = 0
-    while at < len(text):
-        cut = at + PIECE
-        while cut < len(text) and TERM.match(text, cut):
-            cut = TERM.match(text, cut).end()
-        found.update(TERM.findall(text[at:cut].translate(_LOWER)))
-        at = cut
+    found: set[bytes] = set()
+    for _, piece in pieces(np.frombuffer(text, np.uint8)):
+        found.update(piece.tobytes().translate(_FOLDED).split())
     return found
 
 
@@ -83,15 +73,17 @@ def _doc_counts(most: int):
         def out():
             for lang, counts in held.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.string()),
+                    [pa.array([lang] * len(counts), pa.string()),
+                     pa.array(list(counts), pa.binary()).cast(pa.string()),
                      pa.array(list(counts.values()), pa.int64())], ["lang", "term", "n"])
             held.clear()
 
         for batch in batches:
-            for lang, text in zip(strings(batch, "lang"), strings(batch, "text")):
+            texts = batch.column(batch.schema.get_field_index("text"))
+            for lang, text in zip(strings(batch, "lang"), texts):
                 counts = held.setdefault(lang, Counter())
                 size -= len(counts)
-                counts.update(terms_of(text))
+                counts.update(terms_of(text.as_buffer()))
                 size += len(counts)
                 if size > most:
                     yield from out()

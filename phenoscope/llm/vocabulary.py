@@ -6,8 +6,9 @@ one (same finality, same arcs), so the automaton is minimal at every moment and
 memory for its states only.  An arc's output is the number of terms that sort before all
 terms behind it; the outputs along a term's path sum to its place in the sorted list.
 
-Arcs lie in flat arrays ordered by (state, byte), so that a whole slice of text steps
-through the automaton together: all of its terms take their k-th byte at once.
+Arcs lie in flat arrays ordered by (state, byte), with a hash table of their keys, so that
+a whole slice of text steps through the automaton together: all of its terms take their
+k-th byte at once.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ import numpy as np
 #: Bytes that make up terms: A-Z, a-z and every byte of a code point over 127.
 IN_TERM = np.zeros(256, bool)
 IN_TERM[65:91] = IN_TERM[97:123] = IN_TERM[128:] = True
-#: Every byte with A-Z lower-cased.
-FOLD = np.arange(256, dtype=np.uint8)
+#: Every byte with A-Z lower-cased, and a blank for every byte outside of terms.
+FOLD = np.where(IN_TERM, np.arange(256), 32).astype(np.uint8)
 FOLD[65:91] += 32
 
 
@@ -39,6 +40,43 @@ class Transducer:
     root: int
     size: int
 
+    def __post_init__(self):
+        """A table of arcs by key, open addressing, a quarter full at most."""
+        bits = (4 * len(self.keys)).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.full((1 << bits) + 1, -1, np.int64)
+        self.arcs = np.zeros((1 << bits) + 1, np.int32)
+        left, slot = np.arange(len(self.keys)), self._slot(self.keys)
+        while len(left):
+            slot = np.where(slot == 1 << bits, 0, slot)
+            free = self.slots[slot] == -1
+            mine = np.zeros(len(left), bool)
+            mine[np.unique(slot, return_index=True)[1]] = True
+            mine &= free
+            self.slots[slot[mine]] = self.keys[left[mine]]
+            self.arcs[slot[mine]] = left[mine]
+            left, slot = left[~mine], slot[~mine] + 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The arcs of the keys, -1 where there is none."""
+        slot = self._slot(keys)
+        there = self.slots[slot]
+        found = np.where(there == keys, self.arcs[slot], -1)
+        left = np.flatnonzero((there != keys) & (there != -1))
+        slot = slot[left]
+        while len(left):
+            slot = slot + 1
+            slot[slot == len(self.slots) - 1] = 0
+            there = self.slots[slot]
+            hit = there == keys[left]
+            found[left[hit]] = self.arcs[slot[hit]]
+            on = ~hit & (there != -1)
+            left, slot = left[on], slot[on]
+        return found
+
     def dump(self) -> bytes:
         return pickle.dumps((self.keys, self.targets, self.outputs, self.final, self.root, self.size), protocol=5)
 
@@ -49,22 +87,19 @@ class Transducer:
     def ordinals(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """The ordinals of the terms ``data[start:start + length]``, -1 for unknown ones."""
         found = np.full(len(starts), -1, np.int64)
-        live = np.arange(len(starts))
+        live, at, left = np.arange(len(starts)), starts.copy(), lengths.copy()
         state = np.full(len(starts), self.root, np.int64)
         total = np.zeros(len(starts), np.int64)
-        depth = 0
         while len(live):
-            ends = lengths[live] == depth
+            arc = self._find(state << 8 | data[at])
+            goes = np.flatnonzero(arc >= 0)
+            arc, live, at, left = arc[goes], live[goes], at[goes] + 1, left[goes] - 1
+            state, total = self.targets[arc].astype(np.int64), total[goes] + self.outputs[arc]
+            ends = left == 0
             if ends.any():
-                done = live[ends]
-                found[done] = np.where(self.final[state[ends]], total[ends], -1)
-                live, state, total = live[~ends], state[~ends], total[~ends]
-            key = state << 8 | data[starts[live] + depth]
-            arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            goes = self.keys[arc] == key
-            arc = arc[goes]
-            live, state, total = live[goes], self.targets[arc].astype(np.int64), total[goes] + self.outputs[arc]
-            depth += 1
+                found[live[ends]] = np.where(self.final[state[ends]], total[ends], -1)
+                on = np.flatnonzero(~ends)
+                live, at, left, state, total = live[on], at[on], left[on], state[on], total[on]
         return found
 
     def term(self, ordinal: int) -> bytes:
