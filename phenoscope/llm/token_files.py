@@ -11,10 +11,10 @@ A row also holds its ``part`` (the range) and ``place`` (ids before it in the pa
 running sum is known while a part is written in order, so the place among all ids needs one
 sum per part, not a sort of the documents.
 
-Encoding goes by pieces of text: a piece starts at white space that follows something
-else.  The byte-level pattern never joins text across such a place, so the ids of a
-text are those of its pieces, and each different piece is encoded once per task (a
-bounded memory of pieces).  Text with other than the six ASCII blanks is encoded as a
+Encoding goes by pieces of text: a piece ends before white space that follows something
+else, and behind a run of Latin letters.  The byte-level pattern never joins text across
+such a place, so the ids of a text are those of its pieces, and each different piece is
+encoded once per worker as long as its bounded memory holds it.  Text with other than the six ASCII blanks is encoded as a
 whole, where a letter, digit or comma before a blank cuts a very long one.
 
 A null text is empty and gives the end id alone.  Rows that repeat an id are documents
@@ -25,8 +25,11 @@ Strings of special tokens inside a text are ordinary text.
 
 from __future__ import annotations
 
+import functools
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,12 +50,15 @@ END = 0
 ROW_INDEX = 1_000
 STRIPE = 16 << 20
 FALSE_POSITIVES = 0.01
-#: What a task's remembered pieces may take: their characters and a hundred for each.
-REMEMBERED = 32 << 20
+#: What a worker's remembered pieces may take, twice: their characters and a hundred for each.
+REMEMBERED = 48 << 20
 #: Characters of a text that are encoded at a time.
 SEGMENT = 1 << 20
 
-_PIECE = re.compile("[ \t\n\v\f\r]*[^ \t\n\v\f\r]+|[ \t\n\v\f\r]+")
+#: Pieces end behind a run of Latin letters (unless another script's character follows, which
+#: may be a letter) and before blanks that follow something else.
+_LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_PIECE = re.compile(f"[ \t\n\v\f\r]*+[{_LETTER}]++(?![^\x00-\x7f])|[ \t\n\v\f\r]*+[^ \t\n\v\f\r]+|[ \t\n\v\f\r]+")
 #: White space, and what some libraries take for it, beside the six ASCII blanks.
 _OTHER = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 _CUT = re.compile("[A-Za-z0-9,][ \n]")
@@ -72,33 +78,48 @@ def segments(text: str, limit: int = SEGMENT) -> Iterator[str]:
 
 
 class Encoder:
-    """Texts → little-endian 32-bit ids, with a bounded memory of pieces."""
+    """Texts → little-endian 32-bit ids, with a bounded memory of pieces.
+
+    Pieces used since the memory was last full are kept when it is full again."""
 
     def __init__(self, tokenizer: Tokenizer):
         tokenizer.encode_special_tokens = True
         self.tokenizer = tokenizer
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.size = 0
 
     def _ids(self, pieces: list[str]) -> Iterator[bytes]:
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        if self.size + sum(map(len, new)) + 100 * len(new) > REMEMBERED:
-            self.known.clear()
-            self.size, new = 0, list(dict.fromkeys(pieces))
-        if new:
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self.known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found)))
-            self.size += sum(map(len, new)) + 100 * len(new)
+        unknown = [p for p in dict.fromkeys(pieces) if p not in self.known]
+        if unknown:
+            more = sum(map(len, unknown)) + 100 * len(unknown)
+            if self.size + more > REMEMBERED:
+                self.older, self.known, self.size = self.known, {}, 0
+                unknown = list(dict.fromkeys(pieces))
+                more = sum(map(len, unknown)) + 100 * len(unknown)
+            new = [p for p in unknown if p not in self.older]
+            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else ()
+            self.known.update((p, self.older[p]) for p in unknown if p in self.older)
+            self.known.update(zip(new, (array("I", e.ids).tobytes() for e in found)))
+            self.size += more
         return map(self.known.__getitem__, pieces)
 
     def encode(self, text: str) -> bytes:
         return b"".join(b"".join(self._ids([s] if _OTHER.search(s) else _PIECE.findall(s))) for s in segments(text))
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(tokenizer: str) -> Encoder:
+    """The encoder of a Python worker, which the tasks that it runs share."""
+    # Spark runs a task per core; threads of the library would only get in their way
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Encoder(Tokenizer.from_str(tokenizer))
+
+
 def _encoded(carried):
     """Sorted documents → the rows of a part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Tokenizer.from_str(carried.value))
+        encoder = _encoder(carried.value)
         part, place = TaskContext.get().partitionId(), 0
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
