@@ -1,31 +1,46 @@
 """Typed event tables for one data folder: raw stand-in extracts → cleaned
-events.  Everything stays lazy; each query plans from the parquet scans."""
+events.  Each table is planned when it is first asked for, so a query pays for the
+extracts that it reads."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.extract import extract_diagnoses, extract_labs, extract_medications
-from ..sources.standin import raw_tables
+from ..sources import standin
+
+
+class Raw:
+    """The raw extracts by the file stem the original loader used."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._of = spark, sf_dir
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, stem: str) -> DataFrame:
+        if stem not in self._made:
+            self._made[stem] = standin.RAW_TABLES[stem](*self._of)
+        return self._made[stem]
 
 
-@dataclass
 class Events:
-    dx: DataFrame
-    med: DataFrame
-    lab: DataFrame
-    raw: dict[str, DataFrame]
+    def __init__(self, spark: SparkSession, sf_dir: str, on_error: str = "fail"):
+        self.raw, self._on_error = Raw(spark, sf_dir), on_error
 
+    @cached_property
+    def dx(self) -> DataFrame:
+        return extract_diagnoses(self.raw["encounter_INPUT"], self.raw["encounter_dx_INPUT"], on_error=self._on_error)
 
-def load_events(spark: SparkSession, sf_dir: str, on_error: str = "fail") -> Events:
-    raw = raw_tables(spark, sf_dir)
-    return Events(
-        dx=extract_diagnoses(raw["encounter_INPUT"], raw["encounter_dx_INPUT"],
-                             on_error=on_error),
-        med=extract_medications(raw["medication_orders_INPUT"], on_error=on_error),
-        lab=extract_labs(raw["lab_results_INPUT"], on_error=on_error),
-        raw=raw,
-    )
+    @cached_property
+    def med(self) -> DataFrame:
+        return extract_medications(self.raw["medication_orders_INPUT"], on_error=self._on_error)
+
+    @cached_property
+    def lab(self) -> DataFrame:
+        return extract_labs(self.raw["lab_results_INPUT"], on_error=self._on_error)
 
+
+def load_events(spark: SparkSession, sf_dir: str, on_error: str = "fail") -> Events:
+    return Events(spark, sf_dir, on_error)

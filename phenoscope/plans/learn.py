@@ -23,7 +23,7 @@ from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features as feat
@@ -343,6 +343,70 @@ def kmeans_step(df: DataFrame, centres, features_col: str = "features") -> DataF
         vector_to_array(Summarizer.mean(vector)).alias("centre"))
 
 
+def _hash_share(column: str, *salt) -> Column:
+    """A number in [0, 1) that depends on the id and the salt alone."""
+    text = F.concat_ws(":", *[F.lit(str(x)) for x in salt], F.col(column).cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / float(16**13)
+
+
+def kmeans_candidates(points: DataFrame, id_col: str, features_col: str, k: int, seed: int,
+                      rounds: int = 2) -> list[tuple[object, list[float], int]]:
+    """M8, k-means|| oversampling: ``(id, point, weight)``.
+
+    The first candidate has the smallest hash of its id.  Each round takes every point
+    with probability ``2 k d² / Σ d²``, d to the nearest candidate so far; the draw is a
+    hash of seed, round and id, so neither the layout of the data nor a recomputed task
+    changes it.  A candidate weighs the points nearest to it.  About ``2 k`` rows a
+    round reach the driver."""
+    from ..streaming.online_kmeans import as_array, nearest_centre, squared_distances
+
+    p = points.select(F.col(id_col).alias("id"), as_array(points, features_col).alias("x")).where("id is not null")
+    first = p.select(_hash_share("id", seed, 0).alias("u"), "id", "x").orderBy("u", "id").limit(1).collect()
+    found = [(r.id, list(r.x)) for r in first]
+    for number in range(1, rounds + 1) if found else ():
+        away = p.withColumn("d", F.array_min(squared_distances(F.col("x"), [x for _, x in found])))
+        total = away.agg(F.sum("d")).first()[0]
+        if not total:
+            break
+        taken = away.where(_hash_share("id", seed, number) * total < 2.0 * k * F.col("d")).select("id", "x").collect()
+        found += sorted((r.id, list(r.x)) for r in taken)
+    if not found:
+        return []
+    weights = dict(map(tuple, nearest_centre(p, [x for _, x in found], "x", "c").groupBy("c").count().collect()))
+    return [(i, x, weights.get(j, 0)) for j, (i, x) in enumerate(found)]
+
+
+def recluster(candidates, k: int, seed: int) -> np.ndarray:
+    """``k`` seeds from weighted candidates: k-means++ draws, then Lloyd steps, on the
+    driver (the candidates are a few tens of rows)."""
+    x = np.array([c for _, c, _ in candidates], float)
+    w = np.array([n for *_, n in candidates], float)
+    rng = np.random.RandomState(seed)
+    centres = x[[int(w.argmax())]]
+    while len(centres) < min(k, len(np.unique(x, axis=0))):
+        d = ((x[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1) * np.maximum(w, 1e-9)
+        centres = np.vstack((centres, x[np.searchsorted(np.cumsum(d), rng.rand() * d.sum(), "right")]))
+    for _ in range(30):
+        near = ((x[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        centres = np.stack([np.average(x[near == j], axis=0, weights=w[near == j]) if w[near == j].sum() else c
+                            for j, c in enumerate(centres)])
+    return centres
+
+
+def seeded_kmeans(points: DataFrame, id_col: str, features_col: str, k: int, seed: int,
+                  max_iter: int = 20) -> np.ndarray:
+    """M8 with seeds that do not depend on the layout: candidates, reclustering, Lloyd steps."""
+    centres = recluster(kmeans_candidates(points, id_col, features_col, k, seed), k, seed)
+    for _ in range(max_iter):
+        moved = centres.copy()
+        for r in kmeans_step(points, centres, features_col).collect():
+            moved[r.cluster] = r.centre
+        if np.abs(moved - centres).max() < 1e-9:
+            break
+        centres = moved
+    return centres
+
+
 def standardise(vectors: DataFrame, input_col: str = "features") -> tuple[object, DataFrame]:
     """M4 on its own: the fitted scaler and ``(patient_id, scaled)``."""
     model = StandardScaler(inputCol=input_col, outputCol="scaled", withMean=True,

@@ -202,6 +202,25 @@ SELECT cluster, CAST(generate_subscripts(cx, 1) - 1 AS INTEGER) AS dim, round(un
 FROM c{steps}"""
 
 
+def _seeds(rounds: int, k: int = 3, seed: int = 6250) -> str:
+    def share(number):
+        return f"('0x' || md5(concat('{seed}:{number}:', vec_id))[1:13])::BIGINT / 4503599627370496.0"
+
+    apart = "list_sum(list_transform(range(1, len(e.x) + 1), lambda i: (e.x[i] - c.x[i]) * (e.x[i] - c.x[i])))"
+    parts = [f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+c0 AS (SELECT 0 AS r, vec_id, x FROM e ORDER BY {share(0)}, vec_id LIMIT 1)"""]
+    for n in range(1, rounds + 1):
+        parts.append(f"""
+d{n} AS (SELECT e.vec_id, min({apart}) AS d FROM e, c{n - 1} c GROUP BY e.vec_id),
+c{n} AS (SELECT * FROM c{n - 1} UNION ALL
+  SELECT {n}, e.vec_id, x FROM e JOIN d{n} USING (vec_id)
+  WHERE {share(n)} * (SELECT sum(d) FROM d{n}) < {2 * k} * d)""")
+    return ",".join(parts) + f""",
+o AS (SELECT *, row_number() OVER (ORDER BY r, vec_id) AS j FROM c{rounds}),
+a AS (SELECT e.vec_id, arg_min(j, ({apart}, j)) AS j FROM e, o c GROUP BY e.vec_id)
+SELECT o.vec_id, count(a.vec_id) AS weight FROM o LEFT JOIN a USING (j) GROUP BY o.vec_id, o.j"""
+
+
 def _online_batches(batches: int) -> str:
     """The online update unrolled over batches by ``vec_id % batches``, in that order."""
     parts = [_EMB.split("d AS (")[0].rstrip().rstrip(","), """
@@ -397,6 +416,7 @@ SELECT CAST(g.i AS INTEGER) AS i, CAST(g.j AS INTEGER) AS j,
                        / ((SELECT n FROM np) - 1) / sqrt(a.var * b.var) END, 6) AS value
 FROM grid g JOIN mm a ON a.idx = g.i JOIN mm b ON b.idx = g.j
 LEFT JOIN sp ON sp.i = g.i AND sp.j = g.j"""),
+    "kmeans_seeds": _seeds(2),
     "kmeans_lloyd_steps": _lloyd(3),
     "online_kmeans_two_batches": _online_batches(2),
     "pca_certificate": _q(

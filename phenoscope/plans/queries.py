@@ -23,6 +23,7 @@ from .context import load_events
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 ROUND = 6
+SEED = 6250
 
 
 def query(fn):
@@ -459,6 +460,15 @@ def kmeans_one_step(spark, sf_dir):
     )
 
 
+@query
+def kmeans_seeds(spark, sf_dir):
+    """M8: the candidates of k-means|| in two rounds, and how many vectors each is next to."""
+    from .learn import kmeans_candidates
+
+    rows = kmeans_candidates(_embeddings(spark, sf_dir), "vec_id", "features", 3, SEED)
+    return spark.createDataFrame([(i, n) for i, _, n in rows], "vec_id long, weight long")
+
+
 @query
 def online_kmeans_update(spark, sf_dir):
     from ..streaming.online_kmeans import OnlineKMeans

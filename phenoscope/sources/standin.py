@@ -144,11 +144,15 @@ def raw_lab_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The four raw extracts, keyed by the file stem the original loader used.
+RAW_TABLES = {
+    "encounter_INPUT": raw_encounters,
+    "encounter_dx_INPUT": raw_encounter_dx,
+    "medication_orders_INPUT": raw_medication_orders,
+    "lab_results_INPUT": raw_lab_results,
+}
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The four raw extracts, keyed by the file stem the original loader used."""
-    return {
-        "encounter_INPUT": raw_encounters(spark, sf_dir),
-        "encounter_dx_INPUT": raw_encounter_dx(spark, sf_dir),
-        "medication_orders_INPUT": raw_medication_orders(spark, sf_dir),
-        "lab_results_INPUT": raw_lab_results(spark, sf_dir),
-    }
+    """All raw extracts, keyed by file stem."""
+    return {stem: make(spark, sf_dir) for stem, make in RAW_TABLES.items()}

@@ -148,3 +148,32 @@ def test_experiment_report_leaves_no_scratch(spark):
     before = {p for p in root.rglob("*") if p.is_dir()}
     assert QUERIES["experiment_report"](spark, "/root/testdata/sf0.001").count() == 6
     assert {p for p in root.rglob("*") if p.is_dir()} == before
+
+
+def test_seeds_do_not_depend_on_the_layout(spark, tmp_path):
+    rng = np.random.RandomState(8)
+    x = np.vstack([rng.randn(60, 2) + c for c in ([0, 0], [9, 0], [0, 9])])
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, features array<double>")
+    found = []
+    for files in (1, 16):
+        df.repartition(files).write.parquet(str(tmp_path / str(files)))
+        stored = spark.read.parquet(str(tmp_path / str(files)))
+        found.append((learn.kmeans_candidates(stored, "id", "features", 3, 5), learn.seeded_kmeans(stored, "id", "features", 3, 5)))
+    assert found[0][0] == found[1][0] and found[0][1] == pytest.approx(found[1][1])
+    candidates, centres = found[0]
+    assert sum(n for *_, n in candidates) == len(x) and 3 <= len(candidates) <= 30
+    assert sorted(np.round(centres).astype(int).tolist()) == [[0, 0], [0, 9], [9, 0]]
+    assert learn.kmeans_candidates(df.limit(0), "id", "features", 3, 5) == []
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], "id long, features array<double>")
+    assert learn.seeded_kmeans(same, "id", "features", 3, 5).tolist() == [[1.0, 2.0]]
+
+
+def test_a_query_plans_only_the_extracts_it_reads(spark, monkeypatch):
+    from phenoscope.plans.context import load_events
+    from phenoscope.sources import standin
+
+    asked = []
+    monkeypatch.setattr(standin, "RAW_TABLES", {
+        k: lambda *a, k=k, f=f: asked.append(k) or f(*a) for k, f in standin.RAW_TABLES.items()})
+    events = load_events(spark, "/root/testdata/sf0.001")
+    assert events.med is events.med and asked == ["medication_orders_INPUT"]
