@@ -5,13 +5,19 @@ always redacted.  High-recall generators propose further, overlapping spans: wha
 fails a base check, loose digit groups, spelled-out mail addresses, long keys,
 colon-separated addresses.  Boosted trees score every candidate by its format and its
 context.  A candidate is an example of personal data if it overlaps a checked span or if
-there is evidence for its kind: a key assigned to a name such as token, a mail address
-whose at and dot are spelled out, a number right behind a word for telephone, a whole
-address of eight (or six two-digit) groups, a card number behind its word with a right sum.
-Any other is an example of none.  The trees see no values.  Per kind, the
-threshold is the lowest score from which ``PRECISION`` of all candidates that the trees did
-not learn from are right; a kind without such a score, or with fewer than ``SUPPORT``
-candidates over it, adds nothing.
+there is evidence for its kind: a key of which an eighth are digits assigned to a name
+such as token, a mail address whose at and dot are spelled out, a number right behind a
+word for telephone, a whole address of eight (or six two-digit) groups, a card number
+behind its word with a right sum.  The trees see no values, and of a kind's own evidence
+neither the words before it nor the spelled-out parts: they learn what the examples look
+like elsewhere, so a key without such a word is found by its format.
+
+Words before a key or a telephone number mark only some of them, so a score is right in as
+many cases as are marked, divided by the score that marked ones get on average (not below
+``LEAST_MARKED``), give or take that average's standard error.  Per kind, the threshold is the lowest score from which ``PRECISION``
+of the candidates that the trees did not learn from are right in this sense; ``PRIOR``
+candidates of the average of all kinds are added to the count, so that few candidates
+lean on the others.  Where all candidates are of one class, evidence decides.
 
 Positions come from two scans of a pattern, the matches and the pieces between them, and
 prefix sums of their lengths in two levels, so a text with many matches costs no
@@ -26,6 +32,7 @@ an empty table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import functools
+import math
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -59,6 +66,8 @@ KINDS = ["email", "ip", "card", "phone", "secret"]
 # fixed values: words before a span that hint at its kind
 HINTS = {"mail": "mail|contact", "phone": "phone|tel|call|fax|mobil", "card": "card|visa|credit|karte|iban",
          "net": r"\bip\b|addr|host|server", "key": "token|key|secret|passw|api"}
+#: The kind whose evidence the words are part of; its candidates do not show them.
+OWN = {"mail": "email", "phone": "phone", "card": "card", "net": "ip", "key": "secret"}
 # fixed values: evidence right before a span, in small letters, that it is of its kind
 LABELS = {
     "phone": r"(?:^|[^a-z])(?:tele)?(?:phone|tel|call|fax|mobile?|cell|handy)[^a-z0-9]{0,6}$",
@@ -70,8 +79,11 @@ CONTEXT = 24
 #: Rows, about, that the trees learn from.
 SAMPLE = 20_000
 PRECISION = 0.99
-SUPPORT = 50
-TREES, DEPTH, SEED = 10, 4, 9
+PRIOR = 5
+PARTLY_MARKED = {"secret", "phone"}
+LEAST_MARKED = 0.3
+MOST_DOUBT = 0.15
+TREES, DEPTH, LEAF, SEED = 10, 4, 8, 9
 _STEP = 256
 
 
@@ -178,7 +190,7 @@ def evidence() -> Column:
         | (v.contains(":") & _labelled("ip")),
         "card": F.when((n >= 12) & (n <= 19) & _labelled("card"), _luhn(_digits(v))).otherwise(False),
         "phone": (n >= 7) & (n <= 15) & _labelled("phone"),
-        "secret": _labelled("secret"),
+        "secret": _labelled("secret") & (8 * n >= F.length(v)),
     }
     # digits in a key may pass for a card by chance
     checked = F.col("known") & ((F.col("kind") != "secret") | F.col("inside"))
@@ -196,11 +208,9 @@ def with_features(found: DataFrame) -> tuple[DataFrame, list[str]]:
         "upper": count("[A-Z]"), "groups": count("[0-9]+"), "dots": count(r"\."), "blanks": count(r"\x20"),
         "dashes": count("-"), "brackets": count("[()]"), "plus": flag(v.startswith("+")), "at": flag(v.contains("@")),
         "colons": count(":"), "joined_left": flag(before.rlike("[a-z0-9]$")), "joined_right": flag(after.rlike("^[A-Za-z0-9]")),
-        "assigned": flag(before.rlike("[:=]\\s*[\"']?$")), "line_start": flag(before.rlike("(^|\n)$")),
-        "line_end": flag(after.rlike("^($|\n)")), "spelled": flag(v.rlike(r"[(\[]at[)\]]")),
-        "dot_word": flag(v.rlike(r"[(\[\x20]dot[)\]\x20]")),
-    } | {f"says_{k}": flag(before.rlike(p)) for k, p in HINTS.items()}
-    features |= {f"labelled_{k}": flag(_labelled(k)) for k in LABELS}
+        "assigned": flag((F.col("kind") != "secret") & before.rlike("[:=]\\s*[\"']?$")), "line_start": flag(before.rlike("(^|\n)$")),
+        "line_end": flag(after.rlike("^($|\n)")),
+    } | {f"says_{k}": flag((F.col("kind") != OWN[k]) & before.rlike(p)) for k, p in HINTS.items()}
     named = {f"f_{k}": c for k, c in features.items()}
     return found.withColumns(named), list(named)
 
@@ -222,18 +232,33 @@ def fit(found: DataFrame, sample: int = SAMPLE, precision: float = PRECISION
     learn = reliable_checkpoint(learn.repartition(2, "label"))  # bounded, and read by every tree
     if learn.select("label").distinct().count() < 2:
         return None
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label").fit(learn)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, minInstancesPerNode=LEAF, seed=SEED, labelCol="label").fit(learn)
     held = scored(rows.where(~taken), model, names)
     bins = (held.groupBy("kind", F.floor(F.col("p") * 200).cast("int").alias("bin"))
-            .agg(F.count("*").alias("n"), F.sum("label").alias("right")).collect())
+            .agg(F.count("*").alias("n"), F.sum("label").alias("right"),
+                 F.sum(F.col("p") * F.col("label")).alias("score")).collect())
+    return model, thresholds(bins, precision)
+
+
+def thresholds(bins: list, precision: float) -> dict[str, float]:
+    """``bins`` of scores, with ``kind``, ``bin``, ``n``, ``right`` and the ``score`` of the
+    right ones → the least score of each kind that is right often enough."""
     limits = {}
-    for kind in KINDS:
-        n = right = 0.0
-        for b in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
-            n, right = n + b["n"], right + b["right"]
-            if n >= SUPPORT and right >= precision * n:
-                limits[kind] = b["bin"] / 200
-    return model, limits
+    for kind in {r["kind"] for r in bins}:
+        own = [r for r in bins if r["kind"] == kind]
+        marked = sum(r["right"] for r in own)
+        share = 1.0
+        if marked and kind in PARTLY_MARKED:
+            share = max(LEAST_MARKED, sum(r["score"] for r in own) / marked)
+        for least in sorted({r["bin"] for r in own}, reverse=True):
+            n, right = (sum(r[c] for r in own if r["bin"] >= least) for c in ("n", "right"))
+            all_n, all_right = (sum(r[c] for r in bins if r["bin"] >= least) for c in ("n", "right"))
+            # the evidence of the other kinds is their format: what has it not is none
+            doubt = 0.0 if kind not in PARTLY_MARKED else min(MOST_DOUBT, math.sqrt((1 - min(share, 1.0)) / share / max(marked, 1)))
+            if min(1.0, (right + PRIOR * all_right / all_n) / (n + PRIOR) / share + doubt) >= precision:
+                limits[kind] = least / 200
+    return limits
+
 
 
 def scored(rows: DataFrame, model: GBTClassificationModel, names: list[str]) -> DataFrame:
@@ -248,11 +273,14 @@ def select_redactions(found: DataFrame, sample: int = SAMPLE, precision: float =
     those at or over their kind's threshold that no base span touches, or keys that are
     more than the base spans in them."""
     base = found.where("base").select("id", "row", "kind", "start", "end", "base")
+    open_ = found.where("not inside and (not known or kind = 'secret')")
     learned = fit(found, sample, precision)
-    if not learned or not learned[1]:
-        return base
+    if learned is None:
+        return base.unionByName(open_.where(evidence()).select(*base.columns)).distinct()
     model, limits = learned
-    rows, names = with_features(found.where("not inside and (not known or kind = 'secret')"))
+    if not limits:
+        return base
+    rows, names = with_features(open_)
     over = any_of([(F.col("kind") == k) & (F.col("p") >= t) for k, t in limits.items()])
     return base.unionByName(scored(rows, model, names).where(over).select(*base.columns)).distinct()
 

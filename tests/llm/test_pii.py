@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import pytest
+
 from phenoscope.llm import pii as P
 from phenoscope.llm.common import written
 
@@ -102,24 +104,25 @@ def test_query_against_brute_force(spark):
     print("added", sum(r["n_added"] for r in got), "base", sum(sum(tuple(r)[1:5]) for r in got))
 
 
-def test_evidence_teaches_secrets_spelled_mail_and_labelled_numbers(spark):
+@pytest.mark.parametrize("many", [30, 400])
+def test_evidence_teaches_secrets_spelled_mail_and_labelled_numbers(spark, many):
     def text(i):
         key = hashlib.sha1(str(i).encode()).hexdigest()
         return (f'words token = "{key}" and mail jane{i}(at)example(dot)com then tel: 0170 {1000000 + i * 37} end, '
                 f"order no {i * 977}-{i}-1234567, build release_{i}_of_many_parts, mac@b{i}.org, "
                 f"from fe80:0:0:1:2:3:4:{i % 10} on")
 
-    rows = [(i, text(i)) for i in range(400)]
+    rows = [(i, text(i)) for i in range(many)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     added = {}
     for r in P.find_personal_data(df).collect():
         for s in r["spans"]:
             if not s["base"]:
                 added.setdefault(s["kind"], []).append(rows[r["doc_id"]][1][s["start"]:s["end"]])
-    assert set(added["secret"]) == {hashlib.sha1(str(i).encode()).hexdigest() for i in range(400)}
-    assert {f"jane{i}(at)example(dot)com" for i in range(400)} <= set(added["email"])
-    assert {f"0170 {1000000 + i * 37}" for i in range(400)} <= set(added["phone"])
-    assert len(added["ip"]) == 400
+    assert set(added["secret"]) == {hashlib.sha1(str(i).encode()).hexdigest() for i in range(many)}
+    assert {f"jane{i}(at)example(dot)com" for i in range(many)} <= set(added["email"])
+    assert {f"0170 {1000000 + i * 37}" for i in range(many)} <= set(added["phone"])
+    assert len(added["ip"]) == many
     # PRECISION allows a threshold a few others
     wrong = [v for vs in added.values() for v in vs if "release" in v or "-1234567" in v]
     assert len(wrong) <= 0.02 * sum(map(len, added.values()))
@@ -129,3 +132,39 @@ def test_a_key_that_begins_with_digits_is_one_candidate(spark):
     key = "123456789012" + "ab" * 14
     df = spark.createDataFrame([(1, f'token = "{key}"')], "doc_id long, text string")
     assert [(r["kind"], r["value"]) for r in P.candidates(df).where("kind = 'secret'").collect()] == [("secret", key)]
+
+
+def test_no_feature_is_a_label_rule(spark):
+    """A kind's candidates look the same to the trees whatever evidence stands before them."""
+    key = hashlib.sha1(b"x").hexdigest()
+    pairs = [(f"token = {key}", f"other = {key}"), ("tel: 0170 1234567", "abc: 0170 1234567"),
+             ("card: 4111 1111 1111 1112", "word: 4111 1111 1111 1112"), ("addr: fe80:0:0:1:2:3", "word: fe80:0:0:1:2:3")]
+    for a, b in pairs:
+        df = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+        rows, names = P.with_features(P.candidates(df).where("not base"))
+        seen = {r["id"]: tuple(r[n] for n in names) for r in rows.collect()}
+        assert seen[1] == seen[2], a
+        marked = {r["id"]: r["e"] for r in rows.withColumn("e", P.evidence()).collect()}
+        assert "card" in a or marked == {1: True, 2: False}
+
+
+def test_keys_without_a_label_are_found_and_words_behind_one_stay(spark):
+    sha = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(300)]
+    rows = [(i, f'token = "{sha[i]}" end') for i in range(150)]
+    rows += [(i, f"AWS_CRED {sha[i]} end") for i in range(150, 300)]
+    rows += [(i, f"key: release-{i}-of-many-long-parts end") for i in range(300, 450)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    added = {rows[r["doc_id"]][1][s["start"]:s["end"]] for r in P.find_personal_data(df).collect()
+             for s in r["spans"] if not s["base"]}
+    assert len(added & set(sha[150:])) >= 135 and set(sha[:150]) <= added
+    assert not [v for v in added if "release" in v]
+
+
+def test_thresholds_do_not_jump_with_the_number_of_rows():
+    for n in (1, 10, 49, 50, 500):
+        bins = [{"kind": "secret", "bin": 190, "n": n, "right": n, "score": 0.95 * n},
+                {"kind": "phone", "bin": 190, "n": n, "right": 0, "score": 0.0},
+                {"kind": "email", "bin": 195, "n": 10 * n, "right": 10 * n, "score": 9.8 * n}]
+        limits = P.thresholds(bins, 0.95)
+        assert limits.keys() == {"secret", "email"}, n
+    assert P.thresholds([], 0.9) == {}
