@@ -26,8 +26,10 @@ class Raw:
 
 
 class Events:
-    def __init__(self, spark: SparkSession, sf_dir: str, on_error: str = "fail"):
-        self.raw, self._on_error = Raw(spark, sf_dir), on_error
+    """The cleaned events of the four raw extracts, ``raw[stem]``."""
+
+    def __init__(self, raw: Raw | dict[str, DataFrame], on_error: str = "fail"):
+        self.raw, self._on_error = raw, on_error
 
     @cached_property
     def dx(self) -> DataFrame:
@@ -43,4 +45,4 @@ class Events:
 
 
 def load_events(spark: SparkSession, sf_dir: str, on_error: str = "fail") -> Events:
-    return Events(spark, sf_dir, on_error)
+    return Events(Raw(spark, sf_dir), on_error)

@@ -19,7 +19,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cohort
-from ..operators.extract import extract_diagnoses, extract_labs, extract_medications
 from ..session import path_exists, reliable_checkpoint
 from ..sources.criteria import candidate_terms
 from ..sources.csv import RAW_COLUMNS, read_csv_table
@@ -36,13 +35,7 @@ def load_raw_events(spark: SparkSession, data_dir: str, on_error: str = "fail")
         stem: read_csv_table(spark, os.path.join(data_dir, f"{stem}.csv"), columns=cols)
         for stem, cols in RAW_COLUMNS.items()
     }
-    return Events(
-        dx=extract_diagnoses(raw["encounter_INPUT"], raw["encounter_dx_INPUT"],
-                             on_error=on_error),
-        med=extract_medications(raw["medication_orders_INPUT"], on_error=on_error),
-        lab=extract_labs(raw["lab_results_INPUT"], on_error=on_error),
-        raw=raw,
-    )
+    return Events(raw, on_error)
 
 
 def load_candidates(spark: SparkSession, data_dir: str) -> dict:

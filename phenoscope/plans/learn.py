@@ -89,17 +89,26 @@ def feature_moments(long: DataFrame, n_rows: int) -> DataFrame:
     return stored.select("idx", (m * nnz / n).alias("mean"), F.sqrt(squares / (n - 1.0)).alias("std"))
 
 
-def covariance_long(long: DataFrame, n_rows: int, width: int) -> DataFrame:
+def covariance_long(long: DataFrame, n_rows: int, width: int, in_tasks: bool = True) -> DataFrame:
     """``(i, j, value)``, the covariance of the standardised features that PCA
     decomposes (their correlation; 0 for constant features).
 
     Products of a patient's stored entries are summed inside the tasks before they are
     shuffled; the patient's list is bounded by the vocabulary.  The result has width²
-    rows by definition and never passes the driver."""
+    rows by definition and never passes the driver.
+
+    ``in_tasks=False`` makes a row of each product of a patient's entries instead, with
+    JVM expressions alone: for narrow patients."""
     n = float(n_rows)
     moments = feature_moments(long, n_rows)
-    half = gram_entries(feat.patient_entries(long), width)
-    products = half.unionByName(half.where("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "s"))
+    lists = feat.patient_entries(long)
+    if in_tasks:
+        half = gram_entries(lists, width)
+        products = half.unionByName(half.where("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "s"))
+    else:
+        x = lists.select(F.explode("entries").alias("x"), "entries")
+        products = (x.select(F.col("x.idx").alias("i"), F.col("x.value").alias("a"), F.explode("entries").alias("y"))
+                    .groupBy("i", F.col("y.idx").alias("j")).agg(F.sum(F.col("a") * F.col("y.value")).alias("s")))
     mi = moments.select(F.col("idx").alias("i"), F.col("mean").alias("mean_i"), F.col("std").alias("std_i"))
     mj = moments.select(F.col("idx").alias("j"), F.col("mean").alias("mean_j"), F.col("std").alias("std_j"))
     grid = mi.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))).alias("j"))

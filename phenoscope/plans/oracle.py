@@ -444,3 +444,5 @@ FROM (SELECT 'all' AS arm, count(DISTINCT patient_id) AS n FROM tuples
         "true AS as_in_long_form FROM tuples"
     ),
 }
+
+ORACLE["covariance_in_tasks"] = ORACLE["covariance_entries"]

@@ -610,17 +610,28 @@ def standardised_entries(spark, sf_dir):
     return rows.select("patient_id", "idx", _r("value").alias("value"))
 
 
-@query
-def covariance_entries(spark, sf_dir):
+def _covariance(spark, sf_dir, in_tasks):
     from .learn import covariance_long
 
     t = _stored_tuples(spark, sf_dir)
     d = features.feature_dictionary(t)
     long = reliable_checkpoint(features.feature_matrix_long(t, d))
-    cov = covariance_long(long, long.select("patient_id").distinct().count(), d.count())
+    cov = covariance_long(long, long.select("patient_id").distinct().count(), d.count(), in_tasks)
     return cov.select("i", "j", _r("value").alias("value"))
 
 
+@query
+def covariance_entries(spark, sf_dir):
+    """A12 with JVM expressions alone."""
+    return _covariance(spark, sf_dir, in_tasks=False)
+
+
+@query
+def covariance_in_tasks(spark, sf_dir):
+    """A12 for wide patients: products summed inside the tasks."""
+    return _covariance(spark, sf_dir, in_tasks=True)
+
+
 # --- certificates of the fitted models (M4-M9, M13, M14, S8) ----------------
 # A fit has no SQL twin, so these return what must hold of it over all rows: exact
 # counts, and whether each property of the model holds.
@@ -798,7 +809,9 @@ def score_new_patients(spark, sf_dir):
     exp = ClusteringExperiment().fit(vectors.where(fitted), width, ())
     path = scratch_path(spark, "projection")
     exp.projection.write().save(path)
-    scored = Projection.load(path).transform(vectors).select("patient_id", vector_to_array("pca").alias("a"))
+    # the projection is NumPy over Arrow batches: a step of its own, stored before the join
+    scored = reliable_checkpoint(Projection.load(path).transform(vectors).select(
+        "patient_id", vector_to_array("pca").alias("a")))
     expected = long_projection(long, exp.projection).withColumnRenamed("pca", "b")
     worst = F.array_max(F.zip_with("a", "b", lambda x, y: F.abs(x - y)))
     return scored.join(expected, "patient_id").select(
