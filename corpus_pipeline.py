@@ -3,8 +3,8 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written
 as Parquet and reread as the next stage's input.  All but the last return the
 columns of their input.  No stage can be told in SQL as a whole (trained language
-model, SimHash), so there is no ``ORACLE_SQL``; tests/llm compares each stage with a
-brute-force version.
+model, SimHash), so there is no ``ORACLE_SQL``; tests/llm compares the stages' operators
+with brute-force versions.
 """
 
 from __future__ import annotations
