@@ -5,12 +5,16 @@ lies within r bits of both.  So every distinct fingerprint emits all its variant
 of up to r changed bits, variants meet in a shuffle, and the fingerprints that
 share one are linked.
 
-The variants are dealt out by a linear syndrome of their bits.  All variants of
-a fingerprint that go to one bucket travel as the fingerprint itself; the bucket
-lists them from a table of the changes of each syndrome, a slice at a time, so a
-shuffle carries 8 bytes for up to 2,081 variants.  Fingerprints that share a variant
-are all linked to the smallest of them (they are within 2r bits of it, which is
-verified), and a bucket hands on a spanning forest of its links, never all pairs.
+The variants are dealt out by their lowest bits, as many (the depth) as the number of
+fingerprints needs.  All variants of a fingerprint that go to one bucket travel as the
+fingerprint itself, and only buckets within r bits of its own lowest ones get it: with
+r = 2 and depth d these are 1 + d + d(d - 1)/2 of 2**d.  How many each bucket will get is
+counted first, from the lowest bits alone; a bucket that would get more than
+``BUCKET_PRINTS`` (fingerprints of a large family agree in many bits) is split by further
+bits until none does, so no group grows with the corpus.  A bucket lists its variants
+a slice at a time, by a linear syndrome of all bits.  Fingerprints that share a
+variant are all linked to the smallest of them (they are within 2r bits of it, which
+is verified), and a bucket hands on a spanning forest of its links, never all pairs.
 
 Copies have one fingerprint and are one node.  A text without a word (null, empty,
 only white space) has fingerprint zero and is linked like any other.  Ids that are null
@@ -31,14 +35,22 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import connected_components, read_table, same, strings, written
+from ..session import broadcast_if_small
+from .common import connected_components, read_table, strings, written
 
 #: The contract's shingle length and maximum bit distance.
 SHINGLE = 4
 DISTANCE = 4
-#: Buckets that variants are dealt to, at least; and variants that a bucket may list.
-BUCKETS = 32
-BUCKET_VARIANTS = 1 << 28
+#: Lowest bits that variants are dealt by, at least; variants that a bucket lists on average
+#: and fingerprints that it gets, at most; bits by which a larger one is split; and bits
+#: after which a bucket can hold no more than a few balls' fingerprints.
+LEAST_DEPTH = 5
+BUCKET_VARIANTS = 1 << 25
+BUCKET_PRINTS = 1 << 22
+SPLIT_BITS = 4
+DEEPEST = 60
+#: Fingerprints that are dealt out at a time.
+DEALT = 1 << 12
 #: Variants that are in memory at a time.
 SLICE_VARIANTS = 1 << 21
 #: Bytes of a text that are cut into words at a time.
@@ -97,21 +109,26 @@ def with_fingerprint(docs: DataFrame, text: str, name: str, keep: list[str],
 
 
 @functools.cache
-def _changes(bits: int, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Changes of up to ``radius`` bits in the order of their syndromes, where each
-    syndrome's begin, and the syndromes of the bytes (8 × 256)."""
-    columns = np.random.RandomState(64).randint(0, 1 << 30, 64) & ((1 << bits) - 1)
-    changes, syndromes = [], []
-    for n in range(radius + 1):
-        for places in itertools.combinations(range(64), n):
-            changes.append(sum(1 << p for p in places))
-            syndromes.append(functools.reduce(int.__xor__, (int(columns[p]) for p in places), 0))
-    order = np.argsort(syndromes, kind="stable")
-    starts = np.searchsorted(np.array(syndromes)[order], np.arange((1 << bits) + 1))
+def _ball(bits: int, radius: int) -> np.ndarray:
+    """Changes of up to ``radius`` of the lowest ``bits`` bits."""
+    return np.array([sum(1 << p for p in places) for n in range(radius + 1)
+                     for places in itertools.combinations(range(bits), n)], np.uint64)
+
+
+@functools.cache
+def _changes(depth: int, fine: int, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Changes of up to ``radius`` bits in the order of their syndromes, these, and the
+    syndromes of the bytes (8 × 256): the lowest ``depth`` bits, and above them ``fine``
+    sums of bits chosen at random."""
+    extra = np.random.RandomState(64).randint(0, 1 << 30, 64) & ((1 << fine) - 1)
+    columns = [(1 << p if p < depth else 0) | int(extra[p]) << depth for p in range(64)]
     table = np.zeros((8, 256), np.int64)
     for place in range(64):
         table[place // 8][(np.arange(256) >> place % 8) & 1 == 1] ^= columns[place]
-    return np.array(changes, np.uint64)[order], starts, table
+    changes = _ball(64, radius)
+    syndromes = _syndrome(changes, table)
+    order = np.argsort(syndromes, kind="stable")
+    return changes[order], syndromes[order], table
 
 
 def _syndrome(prints: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -139,18 +156,22 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bucket_links(prints: np.ndarray, bucket: int, bucket_bits: int, radius: int):
-    """Links among the distinct sorted ``prints`` whose shared variant is of ``bucket``."""
-    ball = len(_changes(0, radius)[0])
-    listed = max(1, len(prints) * ball >> bucket_bits)
+    """Links among the distinct sorted ``prints`` by shared variants whose lowest
+    ``bucket_bits`` bits are ``bucket``."""
+    low = (prints ^ np.uint64(bucket)) & np.uint64((1 << bucket_bits) - 1)
+    left = radius - np.bitwise_count(low).astype(int)
+    sizes = np.array([len(_ball(64 - bucket_bits, r)) for r in range(radius + 1)])
+    listed = int(sizes[left[left >= 0]].sum())
     fine = max(0, (listed // SLICE_VARIANTS).bit_length())
-    changes, starts, table = _changes(bucket_bits + fine, radius)
+    changes, syndromes, table = _changes(bucket_bits, fine, radius)
     own = _syndrome(prints, table)
     a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for part in range(1 << fine):
         need = own ^ (bucket | part << bucket_bits)
-        counts = starts[need + 1] - starts[need]
+        starts = np.searchsorted(syndromes, need)
+        counts = np.searchsorted(syndromes, need, "right") - starts
         owner = np.repeat(np.arange(len(prints)), counts)
-        change = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts - starts[need], counts)
+        change = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts - starts, counts)
         variant = prints[owner] ^ changes[change]
         ordered = np.sort(variant)
         shared = ordered[1:][ordered[1:] == ordered[:-1]]
@@ -169,44 +190,96 @@ def bucket_links(prints: np.ndarray, bucket: int, bucket_bits: int, radius: int)
     return a, b
 
 
+def _depth(n: int, radius: int) -> int:
+    """Lowest bits to deal ``n`` fingerprints by."""
+    ball, depth = len(_ball(64, radius)), LEAST_DEPTH
+    while depth < DEEPEST and (n * ball >> depth > BUCKET_VARIANTS
+                               or 4 * n * len(_ball(depth, radius)) >> depth > BUCKET_PRINTS):
+        depth += 1
+    return depth
+
+
+def _levels(prints: DataFrame, radius: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """``(depth, split, large)``: buckets of ``depth`` bits, of the ``split`` ones of the level
+    before (at first: all), of which the ``large`` ones are split at the next level.
+
+    Loads are sums over the counts of equal lowest bits; only the numbers of large
+    buckets come to the driver, one for ``BUCKET_PRINTS`` / |ball| fingerprints at most."""
+    spark = prints.sparkSession
+    rows, depth = prints.select("fp"), _depth(prints.count(), radius)
+    levels, split = [], np.zeros(0, np.uint64)
+    while True:
+        bits = F.lit((1 << depth) - 1)
+        near = F.explode(F.lit(_ball(depth, radius).astype(np.int64).tolist())).alias("change")
+        loads = (rows.groupBy(F.col("fp").bitwiseAND(bits).alias("low")).agg(F.count("*").alias("n"))
+                 .select("n", "low", near)
+                 .select("n", F.col("low").bitwiseXOR(F.col("change")).alias("bucket")))
+        if levels:
+            parents = spark.createDataFrame([(int(x),) for x in split], "parent long")
+            before = F.lit((1 << levels[-1][0]) - 1)
+            loads = loads.join(broadcast_if_small(parents),
+                               F.col("bucket").bitwiseAND(before) == F.col("parent"), "left_semi")
+        large = [r["bucket"] for r in loads.groupBy("bucket").agg(F.sum("n").alias("n"))
+                 .where(F.col("n") > BUCKET_PRINTS).select("bucket").collect()] if depth < DEEPEST else []
+        levels.append((depth, split, np.array(sorted(large), np.uint64)))
+        if not large:
+            return levels
+        around = (spark.createDataFrame([(x,) for x in large], "large long").select("large", near)
+                  .select(F.col("large").bitwiseXOR(F.col("change")).alias("low")).distinct())
+        rows = rows.join(broadcast_if_small(around), F.col("fp").bitwiseAND(bits) == F.col("low"), "left_semi")
+        split, depth = levels[-1][2], min(DEEPEST, depth + SPLIT_BITS)
+
+
+def dealt(prints: DataFrame, radius: int) -> DataFrame:
+    """``prints(fp)`` → ``(bucket, fps)``: fingerprints, 8 bytes each, that have variants in a
+    bucket; its number is that of its lowest bits under a leading 1."""
+    levels = _levels(prints, radius)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = batch.column(0).to_numpy().view(np.uint64)
+            for at in range(0, len(every), DEALT):
+                fp, before = every[at:at + DEALT], 0
+                for depth, split, large in levels:
+                    near = _ball(depth, radius)
+                    bucket = ((fp & np.uint64((1 << depth) - 1))[:, None] ^ near).ravel()
+                    owner = np.repeat(np.arange(len(fp)), len(near))
+                    if before:
+                        mine = np.isin(bucket & np.uint64((1 << before) - 1), split)
+                        bucket, owner = bucket[mine], owner[mine]
+                    deeper = np.isin(bucket, large)
+                    order = np.argsort(bucket[~deeper], kind="stable")
+                    number, goes = bucket[~deeper][order], fp[owner[~deeper][order]]
+                    if len(number):
+                        heads = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
+                        offsets = (np.append(heads, len(number)) * 8).astype(np.int32)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array((number[heads] | np.uint64(1 << depth)).view(np.int64)),
+                             pa.Array.from_buffers(pa.binary(), len(heads), [
+                                 None, pa.py_buffer(offsets), pa.py_buffer(goes.astype("<u8"))])],
+                            ["bucket", "fps"])
+                    fp, before = fp[np.unique(owner[deeper])], depth
+                    if not len(fp):
+                        break
+
+    return prints.select("fp").mapInArrow(emit, "bucket long, fps binary")
+
+
 def fingerprint_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``prints(fp)``, distinct → ``(a, b)``: links that join all fingerprints within
     ``distance`` (even) bits of each other, directly or through others."""
     if distance % 2:
         raise ValueError("the ball has half the distance as its radius: give an even distance")
     radius = distance // 2
-    ball = len(_changes(0, radius)[0])
-    n = prints.count()
-    bits = max(BUCKETS, -(-n * ball // BUCKET_VARIANTS)).bit_length() - 1
-    _, starts, table = _changes(bits, radius)
-    reached = np.flatnonzero(np.diff(starts))
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp = batch.column(0).to_numpy().view(np.uint64)
-            target = _syndrome(fp, table)
-            order = np.argsort(target, kind="stable")
-            fp, target = fp[order], target[order]
-            values, heads = np.unique(target, return_index=True)
-            groups = np.split(fp, heads[1:])
-            goes: dict[int, list] = {}
-            for value, group in zip(values.tolist(), groups):
-                for bucket in (reached ^ value).tolist():
-                    goes.setdefault(bucket, []).append(group)
-            for some in itertools.batched(goes.items(), 64):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _ in some], pa.int32()),
-                     pa.array([np.concatenate(v).tobytes() for _, v in some], pa.binary())],
-                    ["bucket", "fps"])
 
     def meet(table: pa.Table) -> pa.Table:
-        fp = np.unique(np.concatenate(
-            [np.frombuffer(x, np.uint64) for x in table.column("fps").to_pylist()]))
-        a, b = bucket_links(fp, table.column("bucket")[0].as_py(), bits, radius)
+        fp = np.unique(np.frombuffer(b"".join(table.column("fps").to_pylist()), "<u8"))
+        number = table.column("bucket")[0].as_py()
+        depth = number.bit_length() - 1
+        a, b = bucket_links(fp, number ^ 1 << depth, depth, radius)
         return pa.table([pa.array(fp[a].view(np.int64)), pa.array(fp[b].view(np.int64))], ["a", "b"])
 
-    return (prints.select("fp").mapInArrow(emit, "bucket int, fps binary")
-            .groupBy("bucket").applyInArrow(meet, "a long, b long"))
+    return dealt(prints, radius).groupBy("bucket").applyInArrow(meet, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

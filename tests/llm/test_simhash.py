@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from phenoscope.llm import simhash as S
 from phenoscope.llm.common import connected_components
@@ -55,6 +56,40 @@ def test_bucket_links_equal_brute_force(monkeypatch):
         assert len(got) < 8 * len(fps)
 
 
+def test_no_bucket_is_large_whatever_the_family(spark, monkeypatch):
+    rng = random.Random(4)
+    seed, fps = rng.getrandbits(64), {0, 2**64 - 1}
+    while len(fps) < 900:  # a third differs in few places, and not in the lowest bits
+        x = seed if len(fps) < 300 else rng.getrandbits(64)
+        for step, place in enumerate(rng.sample(range(30, 64), 7)):
+            x ^= 1 << place
+            if step >= 4:
+                fps.add(x)
+    fps = sorted(fps)
+    links = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4]
+    expected = _roots(range(len(fps)), links)
+    prints = spark.createDataFrame([(x - (x >> 63 << 64),) for x in fps], "fp long")
+    place = {x - (x >> 63 << 64): i for i, x in enumerate(fps)}
+    monkeypatch.setattr(S, "DEALT", 100)
+    for limit in (1 << 20, 150):
+        monkeypatch.setattr(S, "BUCKET_PRINTS", limit)
+        sizes = {r["bucket"]: r["n"] for r in S.dealt(prints, 2).groupBy("bucket").agg(
+            (F.sum(F.octet_length("fps")) / 8).alias("n")).collect()}
+        assert max(sizes.values()) <= limit
+        if limit == 150:
+            assert len({b.bit_length() for b in sizes}) > 2
+            assert S._depth(len(fps), 2) > S.LEAST_DEPTH
+        got = [(place[r["a"]], place[r["b"]]) for r in S.fingerprint_links(prints).collect()]
+        assert _roots(range(len(fps)), got) == expected
+
+
+def test_depth_grows_with_the_fingerprints_and_buckets_do_not():
+    for n in (10**3, 10**6, 10**9, 10**11):
+        depth = S._depth(n, 2)
+        assert n * len(S._ball(depth, 2)) >> depth <= S.BUCKET_PRINTS // 4
+        assert n * 2081 >> depth <= S.BUCKET_VARIANTS and len(S._ball(depth, 2)) < 450
+
+
 def test_components_of_a_table(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(30)] + [(7, 7)] \
