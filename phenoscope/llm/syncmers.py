@@ -15,11 +15,11 @@ rises in both, as a share of all.  Two empty fingerprints are alike (1), an empt
 and another are not (0).
 
 Each document is also compared with its successor in descending order of the ids
-(after the last the first; null ids last; equal ids by their texts).  Spark deals the rows
-out by ranges of id and beginning of the text, however many ranges there are, so neither
-many rows of one id nor null ids make one range.  A range is read in order with two texts in
-memory; its last row, whose successor is the first of the next range that has rows, is
-compared afterwards.  What is compared is written first, so a lost task repeats its range only.
+(after the last the first; null ids last; equal ids by their texts).  Ids are cut into
+blocks at quantiles, as many as the table needs; a block is a partition of the one shuffle,
+which brings it together with a copy of its successor, the next block's first row, and is
+read in order with two texts in memory.  Rows of one id, and rows without an id, are in one
+block; Spark sorts it, spilling, so its size costs time but no memory.
 
 A null text counts as empty.  Repeated rows follow each other like other rows.  An
 empty table gives an empty result; a single row follows itself.
@@ -32,14 +32,13 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from .common import read_table, strings, written
+from .common import read_table, strings
 
 K = 20
 S = 10
@@ -49,13 +48,13 @@ DENSITY = 16
 BOUND = (1 << 64) // DENSITY
 #: Characters of a text that are hashed at a time.
 PIECE = 1 << 20
-#: Characters of a text by which rows of one id are dealt to ranges.
-HEAD = 64
-#: Results, and characters of them, that are in memory at a time.
+#: A block has about so many rows at most; smaller tables are cut into one block per
+#: shuffle partition of the session, of so many rows at least.
+BLOCK_ROWS = 200_000
+LEAST_ROWS = 1_000
+#: Results, and characters of their texts, that are in memory at a time.
 RESULTS = 500
 RESULT_CHARS = 1 << 23
-#: A row of the written table is a result, the last row of its range or a copy of its first.
-RESULT, LAST, FIRST = 0, 1, 2
 
 
 def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
@@ -122,69 +121,71 @@ def likeness(a: str, b: str, size: int = SKETCH) -> float:
     return len(rising) / (len(x) + len(y) - common)
 
 
-def _result(text: str, fp: str, following: str, following_fp: str) -> tuple:
-    edited = edited_text(text, following)
-    other = fp if edited == text else fingerprint(edited)
-    return (len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
-            fp, other, likeness(fp, other), likeness(fp, following_fp))
+def _blocks(docs: DataFrame, rows: int | None) -> tuple[np.ndarray, list]:
+    """Quantiles that cut the ids into blocks, and the largest id of each block (None:
+    a block of nulls); both grow with the number of blocks only."""
+    counted = docs.agg(F.count("*").alias("n"), F.count("id").alias("ids"))
+    n, ids = counted.first()
+    at_once = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = -(-n // rows) if rows else max(-(-n // BLOCK_ROWS), min(at_once, -(-n // LEAST_ROWS)))
+    cuts = np.zeros(0)
+    if ids and many > 1:
+        shares = [i / many for i in range(1, many)]
+        exact = max(10_000, 10 * many)
+        cuts = np.unique(docs.agg(F.percentile_approx("id", shares, exact)).first()[0])
+    tops = docs.groupBy(_block_of(cuts).alias("b")).agg(F.max("id").alias("top")).collect()
+    return cuts, sorted(((r["b"], r["top"]) for r in tops), reverse=True)
 
 
-_TYPES = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+def _block_of(cuts: np.ndarray) -> Column:
+    """The block of an id, found by binary search; larger ids have larger blocks, and ids
+    that are null, last in descending order, have block 0.  Only ids travel to Python."""
+    @F.pandas_udf("int")
+    def below(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, ids.to_numpy()) + 1, dtype="int32")
 
+    known = F.col("id").isNotNull()
+    least = cuts[0].item() if len(cuts) else 0
+    return F.when(known, below(F.coalesce("id", F.lit(least)))).otherwise(0)
 
-def _read_ranges(names: list[str]):
-    """Rows in order → the results of a range, its last row and a copy of its first one."""
-    types = (*_TYPES, pa.int32(), pa.int32(), pa.string())
 
+def _compare(edit, with_print, out_names):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before, rows, held = TaskContext.get().partitionId(), None, [], 0
+        before, rows, held = None, [], 0
+
+        def result(own, following):
+            _, _, i, text, fp = own
+            edited = edit(text, following[3])
+            other = fp if edited == text else with_print(edited)
+            return (i, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
+                    fp, other, likeness(fp, other), likeness(fp, following[4]))
 
         def packed():
             columns = list(zip(*rows))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (id_type, *types))], names)
-
-        def border(kind, row):
-            i, text, fp = row
-            return (i, len(text), None, fp, None, None, None, kind, part, text)
+            types = (None, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) if t else pa.array(c, id_type)
+                                               for c, t in zip(columns, types)], out_names)
 
         for batch in batches:
             id_type = batch.column(batch.schema.get_field_index("id")).type
-            for i, text in zip(strings(batch, "id"), strings(batch, "text")):
+            for block, extra, i, text in zip(*(strings(batch, c) for c in ("block", "extra", "id", "text"))):
                 text = text or ""
-                now = (i, text, before[2] if before and before[1] == text else fingerprint(text))
-                if before is None:
-                    rows.append(border(FIRST, now))
-                else:
-                    rows.append((before[0], *_result(*before[1:], *now[1:]), RESULT, part, None))
-                held += len(text)
+                same_text = before is not None and before[3] == text
+                now = (block, extra, i, text, before[4] if same_text else with_print(text))
+                if before is not None and before[0] == block and not before[1]:
+                    rows.append(result(before, now))
+                    held += len(before[3])
+                    if len(rows) >= RESULTS or held >= RESULT_CHARS:
+                        yield packed()
+                        rows.clear()
+                        held = 0
                 before = now
-                if len(rows) >= RESULTS or held >= RESULT_CHARS:
-                    yield packed()
-                    rows.clear()
-                    held = 0
-        if before is not None:
-            rows.append(border(LAST, before))
+        if rows:
             yield packed()
 
     return read
 
 
-def _compare_borders(names: list[str]):
-    """The last rows of the ranges, each beside its successor → their results."""
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            found = zip(*(_result(*x) for x in zip(*(strings(batch, c) for c in (
-                "text", "fp", "next_text", "next_fp")))))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("id")),
-                 *[pa.array(c, t) for c, t in zip(found, _TYPES)]], names)
-
-    return read
-
-
 def edited_text(text: str, following: str) -> str:
     """The last third of the characters replaced by as many of the next text."""
     n = len(text) // 3
@@ -192,34 +193,35 @@ def edited_text(text: str, following: str) -> str:
 
 
 def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                      ranges: int | None = None) -> DataFrame:
+                      block_rows: int | None = None) -> DataFrame:
     """One row per document: id, ``n_chars``, ``edited_sha256``, ``fingerprint``,
-    ``edited_fingerprint``, ``near_edited`` and ``near_next``.  ``ranges``: how many ranges
-    of ids (by default the session's shuffle partitions, the smallest ones put together)."""
+    ``edited_fingerprint``, ``near_edited`` and ``near_next``.  ``block_rows``: rows of a
+    block, about, in place of the module's sizes."""
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    cuts, tops = _blocks(rows.select("id"), block_rows)
     schema = docs.select(F.col(doc_id).alias("doc_id")).schema
     for name, kind in (("n_chars", "long"), ("edited_sha256", "string"), ("fingerprint", "string"),
                        ("edited_fingerprint", "string"), ("near_edited", "double"), ("near_next", "double")):
         schema = schema.add(name, kind)
-    whole = StructType([*schema, *StructType().add("kind", "integer").add("part", "integer").add("text", "string")])
-    order = [F.col("id").desc_nulls_last(), F.substring("text", 1, HEAD).asc_nulls_first()]
-    dealt = rows.repartitionByRange(*([ranges] if ranges else []), *order)
-    read = dealt.sortWithinPartitions(order[0], F.col("text").asc_nulls_first()).mapInArrow(
-        _read_ranges(whole.names), whole)
-    found = written(read, "ranges")
-    firsts = found.where(F.col("kind") == FIRST).select(
-        F.col("part").alias("next"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fp"))
-    # one number per range that has rows; after the last range comes the first
-    parts = firsts.select("next")
-    follows = parts.select(
-        F.col("next").alias("part"),
-        F.coalesce(F.lead("next").over(Window.orderBy("next")),
-                   F.first("next").over(Window.orderBy("next"))).alias("next"))
-    borders = (found.where(F.col("kind") == LAST)
-               .select(F.col("doc_id").alias("id"), "part", "text", F.col("fingerprint").alias("fp"))
-               .join(follows, "part").join(firsts, "next").select("id", "text", "fp", "next_text", "next_fp"))
-    return (found.where(F.col("kind") == RESULT).select(*schema.names)
-            .unionByName(borders.mapInArrow(_compare_borders(schema.names), schema)))
+    if not tops:
+        return docs.sparkSession.createDataFrame([], schema)
+    # the first rows of a block also follow the block before it (of larger ids)
+    order = [b for b, _ in tops]
+    links = {top: order[k - 1] for k, (_, top) in enumerate(tops)}
+    none_follows = links.pop(None, None)
+    give = docs.sparkSession.createDataFrame(
+        [(top, b) for top, b in links.items()], rows.select("id").schema.add("_phx_to", "integer"))
+    first_rows = rows.join(F.broadcast(give), "id").select(
+        F.col("_phx_to").alias("block"), F.lit(True).alias("extra"), "id", "text")
+    all_rows = rows.select(_block_of(cuts).alias("block"), F.lit(False).alias("extra"), "id", "text")
+    all_rows = all_rows.unionByName(first_rows)
+    if none_follows is not None:
+        all_rows = all_rows.unionByName(rows.where("id is null").orderBy(
+            F.col("text").asc_nulls_first()).limit(1).select(
+            F.lit(none_follows).alias("block"), F.lit(True).alias("extra"), "id", "text"))
+    in_order = all_rows.repartitionById(len(cuts) + 2, F.col("block")).sortWithinPartitions(
+        "block", "extra", F.col("id").desc_nulls_last(), F.col("text").asc_nulls_first())
+    return in_order.mapInArrow(_compare(edited_text, fingerprint, schema.names), schema)
 
 
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

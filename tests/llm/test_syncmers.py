@@ -1,8 +1,8 @@
 import hashlib
-import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from phenoscope.llm import syncmers as Y
 
@@ -59,32 +59,36 @@ def _brute(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("ranges", [1, 9, 150, None])
-def test_next_document_over_ranges(spark, ranges):
+@pytest.mark.parametrize("block_rows", [1, 2, 7, 1000, None])
+def test_next_document_over_blocks(spark, block_rows):
     rng = random.Random(5)
     rows = [(rng.randrange(-50, 10**12), "".join(rng.choices("abcé ", k=rng.randint(0, 90)))) for _ in range(60)]
     rows += [(None, "x" * 30), (None, None), (None, "b"), (max(r[0] for r in rows), "same id"), (7, None), (8, ""),
              rows[3], rows[3]]
     df = spark.createDataFrame([(i, t, 1, "z") for i, t in rows],
                                "doc_id long, text string, block int, fingerprint string")
-    got = sorted((tuple(r) for r in Y.compare_with_next(df, ranges=ranges).collect()), key=repr)
+    got = sorted((tuple(r) for r in Y.compare_with_next(df, block_rows=block_rows).collect()), key=repr)
     assert got == _brute(rows)
     assert Y.compare_with_next(df.limit(0)).count() == 0
     one = df.where("doc_id = 8")
     assert [tuple(r) for r in Y.compare_with_next(one).collect()] == _brute([(8, "")])
 
 
-@pytest.mark.parametrize("only", [None, 7])
-def test_one_id_is_dealt_to_many_ranges(spark, monkeypatch, only):
+def test_every_block_is_a_partition_however_many(spark, monkeypatch):
     monkeypatch.setattr(Y, "RESULT_CHARS", 50)
     rng = random.Random(6)
-    rows = [(only, "".join(rng.choices("abcé ", k=rng.randint(0, 90)))) for _ in range(80)]
-    rows += [(only, "the same first sixty-four characters, whatever comes after them in it: " + c) for c in "zyx"]
+    rows = [(i * i - 10**6, "".join(rng.choices("abcé ", k=rng.randint(0, 90)))) for i in range(1_200)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    found = Y.compare_with_next(df, ranges=20)
+    found = Y.compare_with_next(df, block_rows=1)
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1_000 and max(r["count"] for r in sizes) <= 4
     assert sorted((tuple(r) for r in found.collect()), key=repr) == _brute(rows)
-    read = spark.read.parquet(os.path.dirname(found.inputFiles()[0]))
-    assert read.where(f"kind = {Y.FIRST}").count() > 10
+
+
+def test_ids_of_one_value_are_one_block(spark):
+    rows = [(i, f"{c} of an id") for i in (7, None) for c in "zyxab"]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in Y.compare_with_next(df, block_rows=2).collect()), key=repr) == _brute(rows)
 
 
 def test_query_against_brute_force(spark):
