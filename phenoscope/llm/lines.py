@@ -1,22 +1,27 @@
 """Line dedup by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last ``WINDOW`` lines ends a chunk wherever
-it is divisible by ``DIVISOR``, so boundaries depend on content alone and fall into
-step again after lines were put in before them.  A chunk of several lines that
-occurs again anywhere is removed everywhere but at its first place (smallest
-document, then place), after its bytes were compared with those of the first place:
-equal hashes alone remove nothing.
-
-Hashes and places are shuffled before any text.  The text of first places is
-fetched once per repeated chunk; it travels to the documents that repeat it, where
-comparison and removal are one step.
-
-``dedup_passages``, which the pipeline takes, has no boundaries that a short passage
-could miss: each two neighbouring lines with text, with the empty lines between them,
-are a piece of their own, so every line of every repeated passage of two or more
-lines is found.  Pieces that continue each other in both documents are compared and
-removed as one run.  A line goes only if the same line stands at an earlier place beside
-the same neighbour; an occurrence that overlaps its first place in the same text stays.
+A rolling hash over the hashes of the last ``WINDOW`` lines with text ends a chunk
+wherever it is divisible by ``DIVISOR``, so boundaries depend on content alone and fall
+into step again after lines were put in before them.
+
+1. Chunks are grouped by hash.  One that occurs again anywhere is a repeat as a whole
+   everywhere but at its first place (smallest document, then place).
+2. A repeated passage need not hold a whole chunk.  Each two neighbouring lines with
+   text (with the empty lines between them) are looked up as well, but only once for each
+   different chunk and once for each boundary: what lies inside a repeated chunk was
+   settled with it.  The pairs that continue each other, or a chunk, extend a match line by
+   line to both sides, and they are the rule for passages without a whole chunk.
+3. Repeats at one distance from one first place are joined to runs, and a run is
+   removed after its bytes were compared with those of its first place: equal hashes
+   alone remove nothing.
+
+So a line goes if, and only if, the same line stands at an earlier place beside the same
+neighbour (an occurrence that overlaps its first place in the same text stays), and
+every line of every repeated passage of two or more lines is found.  ``WINDOW`` and
+``DIVISOR`` change the work, not the result.  Single repeated lines stay.
+
+Hashes and places are shuffled before any text; the text of first places is fetched
+once per run and travels to the documents that repeat it.
 
 A null text stays null, an empty text is one empty line.  Rows that repeat an
 id and its text are one document and are treated alike.  A document may be left with
@@ -26,11 +31,11 @@ empty result; further columns are kept as they are.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,59 +43,82 @@ from pyspark.sql import types as T
 from .common import read_table, same, strings, without, written
 
 WINDOW = 2
-DIVISOR = 3
+DIVISOR = 8
 MULTIPLIER = 1_000_003
+#: A line of these characters alone has no text (fixed values: what ``str.strip`` removes).
+BLANK = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
-def line_chunks(text: str) -> Iterator[tuple[int, int, str]]:
-    """``(first line, line after the last, text)`` of each chunk."""
+def _bytes(lines: list[str]) -> bytes:
+    return "\n".join(lines).encode("utf-8", "surrogatepass")
+
+
+def _chunked(text: str) -> tuple[list[str], list[int], list[tuple[int, int]]]:
+    """The lines, the places of those with text, and of these ``(first, after the last)``
+    of each chunk."""
     lines = text.split("\n")
-    recent: list[int] = []
-    rolling, start, drop = 0, 0, pow(MULTIPLIER, WINDOW, 1 << 32)
-    for i, line in enumerate(lines):
-        h = int.from_bytes(hashlib.md5(line.encode("utf-8", "surrogatepass")).digest()[:4], "big")
-        recent.append(h)
+    full = [i for i, line in enumerate(lines) if line.strip()]
+    hashes = [xxhash.xxh32_intdigest(_bytes(lines[i:i + 1])) for i in full]
+    chunks, rolling, start, drop = [], 0, 0, pow(MULTIPLIER, WINDOW, 1 << 32)
+    for i, h in enumerate(hashes):
         rolling = rolling * MULTIPLIER + h
-        if len(recent) > WINDOW:
-            rolling -= recent.pop(0) * drop
+        if i >= WINDOW:
+            rolling -= hashes[i - WINDOW] * drop
         rolling %= 1 << 32
-        if rolling % DIVISOR == 0 or i == len(lines) - 1:
-            yield start, i + 1, "\n".join(lines[start:i + 1])
+        if rolling % DIVISOR == 0 or i == len(hashes) - 1:
+            chunks.append((start, i + 1))
             start = i + 1
+    return lines, full, chunks
+
+
+def line_chunks(text: str) -> Iterator[tuple[int, int, str]]:
+    """``(first line, line after the last, text)`` of each chunk, which starts and ends
+    with a line with text."""
+    lines, full, chunks = _chunked(text)
+    for p, q in chunks:
+        a, b = full[p], full[q - 1] + 1
+        yield a, b, "\n".join(lines[a:b])
+
+
+def line_pairs(text: str) -> Iterator[tuple[int, int, str]]:
+    """``(first line, line after the last, text)`` of each two neighbouring lines with
+    text and of the empty lines between them."""
+    lines, full, _ = _chunked(text)
+    for a, b in zip(full, full[1:]):
+        yield a, b + 1, "\n".join(lines[a:b + 1])
+
+
+_PAIR = pa.struct([("a", pa.int64()), ("b", pa.int64()), ("h", pa.int64())])
+
+
+def _signed(digest: bytes) -> int:
+    return int.from_bytes(digest, "big", signed=True)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each chunk: its place and hash, the pairs inside it (with places from
+    its start) and the pair over its end."""
     for batch in batches:
         rows = []
         for i, text in enumerate(strings(batch, "text")):
-            for a, b, chunk in line_chunks(text) if text else ():
-                if b - a > 1:
-                    h = hashlib.md5(chunk.encode("utf-8", "surrogatepass")).digest()
-                    rows.append((i, a, b, int.from_bytes(h[:8], "big", signed=True),
-                                 int.from_bytes(h[8:], "big", signed=True)))
-        if rows:
-            at, *rest = map(list, zip(*rows))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)),
-                 *[pa.array(x, pa.int64()) for x in rest]], ["id", "row", "a", "b", "h1", "h2"])
+            lines, full, chunks = _chunked(text or "")
 
+            def pair(k: int, start: int) -> dict:
+                a, b = full[k], full[k + 1] + 1
+                return {"a": a - start, "b": b - start, "h": _signed(xxhash.xxh3_64_digest(_bytes(lines[a:b])))}
 
-def _first_texts(column: str):
-    # takes whole rows, so that the shuffle under it is the one of the cuts
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h1, h2, texts = [], [], []
-            for text, wanted in zip(strings(batch, column), strings(batch, "wanted")):
-                lines = text.split("\n")
-                for w in wanted:
-                    h1.append(w["h1"])
-                    h2.append(w["h2"])
-                    texts.append("\n".join(lines[w["a"]:w["b"]]))
+            for p, q in chunks:
+                a, b = full[p], full[q - 1] + 1
+                h = xxhash.xxh3_128_digest(_bytes(lines[a:b]))
+                rows.append((i, a, b, _signed(h[:8]), _signed(h[8:]), [pair(k, a) for k in range(p, q - 1)],
+                             pair(q - 1, 0) if q < len(full) else None))
+        if rows:
+            at, a, b, h1, h2, inside, over = map(list, zip(*rows))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(texts, pa.string())],
-                ["h1", "h2", "first_text"])
-
-    return run
+                [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)),
+                 *[pa.array(x, pa.int64()) for x in (a, b, h1, h2)],
+                 pa.array(inside, pa.list_(_PAIR)), pa.array(over, _PAIR)],
+                ["id", "row", "a", "b", "h1", "h2", "inside", "over"])
 
 
 def _laid_out(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -129,56 +157,6 @@ def _without_cuts(kept: DataFrame, cuts: DataFrame, text: str, names: tuple[str,
     return whole.mapInArrow(cut, schema)
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
-    """``docs`` with repeated chunks cut out of the text, and under ``names`` how
-    many lines there were and how many are gone."""
-    kept = without(docs, *names)
-    keyed = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("row"),
-                        F.col(text).alias("text"))
-    id_type = keyed.schema["id"].dataType.simpleString()
-    chunks = written(keyed.mapInArrow(_chunks, f"id {id_type}, row long, a long, b long, h1 long, h2 long"),
-                     "chunks")
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "row", "a", "b")
-    repeated = (chunks.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                .where("first <> last").drop("last"))
-    wanted = (repeated.select("first.id", "first.row", F.struct("h1", "h2", "first.a", "first.b").alias("w"))
-              .groupBy("id", "row").agg(F.collect_list("w").alias("wanted")))
-    laid_out = _laid_out(kept, doc_id, text)
-    joined = laid_out.join(wanted.select(F.struct("id", "row").alias("_phx_key"), "wanted").hint("merge"), "_phx_key")
-    texts = joined.mapInArrow(_first_texts(text), "h1 long, h2 long, first_text string")
-    # repeated rows of a first place give its text more than once
-    texts = texts.dropDuplicates(["h1", "h2"])
-    again = (chunks.join(repeated, ["h1", "h2"]).where(~same(place, F.col("first")))
-             .select("h1", "h2", "id", "row", "a", "b"))
-    cuts = (again.join(texts, ["h1", "h2"])
-            .groupBy("id", "row").agg(F.collect_list(F.struct("a", "b", "first_text")).alias("_phx_cuts")))
-    return _without_cuts(laid_out, cuts, text, names)
-
-
-def line_pairs(text: str) -> Iterator[tuple[int, int, str]]:
-    """``(first line, line after the last, text)`` of each two neighbouring lines with
-    text and of the empty lines between them."""
-    lines = text.split("\n")
-    full = [i for i, line in enumerate(lines) if line.strip()]
-    for a, b in zip(full, full[1:]):
-        yield a, b + 1, "\n".join(lines[a:b + 1])
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for i, text in enumerate(strings(batch, "text")):
-            for a, b, pair in line_pairs(text) if text else ():
-                h = hashlib.md5(pair.encode("utf-8", "surrogatepass")).digest()
-                rows.append((i, a, b, int.from_bytes(h[:8], "big", signed=True)))
-        if rows:
-            at, *rest = map(list, zip(*rows))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)),
-                 *[pa.array(x, pa.int64()) for x in rest]], ["id", "row", "a", "b", "h"])
-
-
 def _spans(pieces: list) -> list[tuple[int, int]]:
     """Overlapping ``(a, b)`` joined, in order."""
     out: list[list[int]] = []
@@ -228,22 +206,48 @@ def _run_texts(column: str):
     return run
 
 
-def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                   names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+def _pieces(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of ``docs(id, row, text)``: the chunks of several lines at all their places, the
+    different ones with their first place, and the pairs inside those and over all ends."""
+    id_type = docs.schema["id"].dataType.simpleString()
+    pair = "struct<a: long, b: long, h: long>"
+    chunks = written(docs.mapInArrow(_chunks, f"id {id_type}, row long, a long, b long, h1 long, h2 long, "
+                                              f"inside array<{pair}>, over {pair}"), "chunks")
+    several = chunks.where(F.size("inside") > 0)
+    # merged in the tasks before the shuffle; the pairs follow from the chunk
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "row", "a", "b", "inside")
+    contents = written(several.groupBy("h1", "h2").agg(F.min(first).alias("first"), F.count("*").alias("n")), "contents")
+    inside = (contents.select("first.id", "first.row", F.col("first.a").alias("at"), F.explode("first.inside").alias("p"))
+              .select("id", "row", (F.col("at") + F.col("p.a")).alias("a"), (F.col("at") + F.col("p.b")).alias("b"), "p.h"))
+    over = chunks.where("over is not null").select("id", "row", "over.a", "over.b", "over.h")
+    return several.drop("inside", "over"), contents, inside.unionByName(over)
+
+
+def _repeats(docs: DataFrame) -> DataFrame:
+    """``docs(id, row, text)`` → ``(id, row, a, b, first_id, first_row, first_a, first_b)``:
+    the chunks and pairs that stand at an earlier place, not yet compared."""
+    chunks, contents, pairs = _pieces(docs)
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "row", "a", "b")
+    first = F.struct(*[f"first.{c}" for c in ("none", "id", "row", "a", "b")]).alias("first")
+    again = (chunks.join(contents.where("n > 1").select("h1", "h2", first), ["h1", "h2"])
+             .where(~same(place, F.col("first"))))
+    repeated = pairs.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    in_first = same(F.col("id"), F.col("first.id")) & (F.col("row") == F.col("first.row"))
+    beside = pairs.join(repeated, "h").where(~in_first | (F.col("a") >= F.col("first.b")))
+    columns = ["id", "row", "a", "b", *[F.col(f"first.{c}").alias(f"first_{c}") for c in ("id", "row", "a", "b")]]
+    return again.select(*columns).unionByName(beside.select(*columns))
+
+
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """``docs`` with every repeated passage of two or more lines cut out of the text but
     at its first place, and under ``names`` how many lines there were and are gone."""
     kept = without(docs, *names)
     keyed = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("row"),
                         F.col(text).alias("text"))
     id_type = keyed.schema["id"].dataType.simpleString()
-    pairs = written(keyed.mapInArrow(_pairs, f"id {id_type}, row long, a long, b long, h long"), "pairs")
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "row", "a", "b")
-    repeated = (pairs.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-                .where("n > 1").drop("n"))
-    in_first = same(F.col("id"), F.col("first.id")) & (F.col("row") == F.col("first.row"))
-    runs = (pairs.join(repeated, "h").where(~in_first | (F.col("a") >= F.col("first.b")))
-            .groupBy("id", "row", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row"),
-                     (F.col("a") - F.col("first.a")).alias("shift"))
+    runs = (_repeats(keyed)
+            .groupBy("id", "row", "first_id", "first_row", (F.col("a") - F.col("first_a")).alias("shift"))
             .agg(F.collect_set(F.struct("a", "b")).alias("pieces"))
             .mapInArrow(_runs, f"id {id_type}, row long, first_id {id_type}, first_row long, "
                                "a long, b long, first_a long, first_b long"))
@@ -265,28 +269,29 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return _without_cuts(laid_out, cuts, text, names)
 
 
+dedup_passages = dedup_lines
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-OP4_SQL = f"""
+OP4_SQL = rf"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                   unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
-     h AS (SELECT *, ('0x' || md5(line)[1:8])::BIGINT AS h FROM l),
-     r AS (SELECT *, (coalesce(lag(h) OVER w, 0) * {MULTIPLIER} + h) % 4294967296 AS rolling
-           FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-     c AS (SELECT *, coalesce(sum((rolling % {DIVISOR} = 0)::INT) OVER
-                  (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k
-           FROM r),
-     t AS (SELECT doc_id, k, min(i) AS a, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk
-           FROM c GROUP BY doc_id, k),
-     f AS (SELECT doc_id, k, n > 1 AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, a) > 1
-                  AS again
-           FROM t)
+     k AS (SELECT *, max(CASE WHEN regexp_matches(line, '[^{BLANK}]') THEN i END) OVER
+                  (PARTITION BY doc_id ORDER BY i) AS a FROM l),
+     t AS (SELECT doc_id, a, string_agg(line, chr(10) ORDER BY i) AS block, min_by(line, i) AS line
+           FROM k WHERE a IS NOT NULL GROUP BY doc_id, a),
+     p AS (SELECT doc_id, a, lead(a) OVER w + 1 AS b, block || chr(10) || lead(line) OVER w AS pair
+           FROM t WINDOW w AS (PARTITION BY doc_id ORDER BY a)),
+     f AS (SELECT *, first_value(doc_id) OVER w AS first_doc, first_value(b) OVER w AS first_b
+           FROM p WHERE b IS NOT NULL WINDOW w AS (PARTITION BY pair ORDER BY doc_id, a)),
+     g AS (SELECT DISTINCT doc_id, unnest(range(a, b)) AS i FROM f WHERE doc_id <> first_doc OR a >= first_b)
 SELECT d.doc_id,
        CASE WHEN d.text IS NOT NULL
-            THEN coalesce(string_agg(c.line, chr(10) ORDER BY c.i) FILTER (NOT again), '') END AS text,
-       count(c.i) AS n_lines, count(c.i) FILTER (again) AS n_removed
-FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN f USING (doc_id, k)
+            THEN coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') END AS text,
+       count(l.i) AS n_lines, count(g.i) AS n_removed
+FROM documents d LEFT JOIN l USING (doc_id) LEFT JOIN g ON g.doc_id = l.doc_id AND g.i = l.i
 GROUP BY d.doc_id, d.text
 """
