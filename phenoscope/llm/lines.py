@@ -269,9 +269,6 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return _without_cuts(laid_out, cuts, text, names)
 
 
-dedup_passages = dedup_lines
-
-
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
