@@ -70,3 +70,12 @@ def test_repeated_turns_and_nulls(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r["tree"][0]: (r["n_turns"], C.read_back(r["formatted"])) for r in C.conversations(C.chained(df)).collect()}
     assert got == {1: (3, [("user", "a"), ("user", "a"), ("", "")]), None: (1, [("assistant", "z")]), 2: (1, [("user", "q")])}
+
+
+def test_very_long_text_and_clashing_columns_of_turns(spark):
+    long = "<|im_end|>\n" * 200_000
+    rows = [(1, 0, "user", "a", 7, "x", -1, "f"), (1, 1, "assistant", long, 7, "x", -1, "f"), (2, 0, "user", "", 8, None, 0, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, "
+                                     "Node long, parent string, n_turns long, formatted string")
+    got = {r["tree"][0]: (r["n_turns"], C.read_back(r["formatted"])) for r in C.conversations(C.chained(df)).collect()}
+    assert got == {1: (2, [("user", "a"), ("assistant", long)]), 2: (1, [("user", "")])}
