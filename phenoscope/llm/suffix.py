@@ -157,11 +157,11 @@ def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = np.cumsum(new_m) - 1
         several = np.add.reduceat(new_c.astype(int), head) > 1
         several |= np.bitwise_or.reduceat(x["flags"] & AGAIN, head) > 0
-        keep = several[group] if len(group) else new_c
         place = np.stack([x[k] for k in ("none", "id", "row", "a")])
         first_of_c = np.maximum.accumulate(np.where(new_c, np.arange(len(new_c)), 0))
         whole = ~new_c & ~(place == place[:, first_of_c]).all(axis=0)
-        keep &= new_c | whole
+        # copies go even where the hash has one content, whose first run needs no comparison
+        keep = several[group] & new_c | whole
         yield pa.RecordBatch.from_arrays(
             [pa.array(x["m"][keep]), pa.array(x["none"][keep] > 0),
              *[pa.array(x[k][keep]) for k in ("id", "row", "a", "n")], pa.array(whole[keep])],

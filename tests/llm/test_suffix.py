@@ -100,6 +100,18 @@ def test_odd_texts(spark, monkeypatch):
     assert [r[2] for r in _digest(S.remove_repeats(twice))] == [0, 0]
 
 
+def test_copies_that_meet_across_batches(spark):
+    rng = random.Random(5)
+    text = "".join(rng.choices("abcdefgh ", k=1500))
+    rows = [(d, text) for d in range(6)] + [(6, "x" + text[200:900]), (7, text[100:199]), (8, text[100:200])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    got = _digest(S.remove_repeats(df))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == _brute([(d, t.encode()) for d, t in rows])
+    assert [r[2] for r in got] == [0, *[1500] * 5, 700, 0, 100]
+
+
 def test_long_texts_in_pieces(monkeypatch):
     rng = random.Random(4)
     data = bytes(rng.choices(b"abc", k=900))
