@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.extract import extract_diagnoses, extract_labs, extract_medications
+from ..session import stored
 from ..sources import standin
 
 
@@ -46,3 +47,24 @@ class Events:
 
 def load_events(spark: SparkSession, sf_dir: str, on_error: str = "fail") -> Events:
     return Events(Raw(spark, sf_dir), on_error)
+
+
+class StoredEvents(Events):
+    """The cleaned events, each table extracted and stored once when it is first asked for;
+    of the instants only those of medication orders, which alone are compared."""
+
+    @cached_property
+    def dx(self) -> DataFrame:
+        return stored(super().dx.drop("ts"), "dx-events")
+
+    @cached_property
+    def med(self) -> DataFrame:
+        return stored(super().med, "med-events")
+
+    @cached_property
+    def lab(self) -> DataFrame:
+        return stored(super().lab.drop("ts"), "lab-events")
+
+
+def stored_events(spark: SparkSession, sf_dir: str, on_error: str = "fail") -> StoredEvents:
+    return StoredEvents(Raw(spark, sf_dir), on_error)

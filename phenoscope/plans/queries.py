@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from ..operators import cohort, features, metrics
 from ..operators.extract import with_epoch_ms
 from ..sources.criteria import candidate_terms, criteria_frame, lab_rules_frame
-from ..session import reliable_checkpoint
-from .context import load_events
+from ..session import reliable_checkpoint, scratch_scope, stored
+from .context import Events, load_events, stored_events
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -234,8 +234,8 @@ def lab_means_filtered(spark, sf_dir):
     return _tuples_out(features.lab_features(lab, candidate_terms("lab")))
 
 
-def _all_tuples(spark, sf_dir, filtered=False):
-    ev = load_events(spark, sf_dir)
+def _all_tuples(spark, sf_dir, filtered=False, ev: Events | None = None):
+    ev = ev or load_events(spark, sf_dir)
     if not filtered:
         return features.feature_tuples(ev.dx, ev.med, ev.lab)
     return features.feature_tuples(
@@ -578,9 +578,11 @@ def online_kmeans_assign(spark, sf_dir):
 def experiment_report(spark, sf_dir):
     from .learn import experiment_report as report
 
-    ev = load_events(spark, sf_dir)
-    labels = cohort.phenotype_labels(ev.dx, ev.med, ev.lab)
-    return report(ev.dx, ev.med, ev.lab, labels)
+    # the report is collected, so the stored events need not outlive it
+    with scratch_scope(spark):
+        ev = stored_events(spark, sf_dir)
+        labels = cohort.phenotype_labels(ev.dx, ev.med, ev.lab)
+        return report(ev.dx, ev.med, ev.lab, labels)
 
 
 # --- standardisation and the PCA covariance (M4, A12) -----------------------
@@ -778,11 +780,12 @@ def experiment_certificate(spark, sf_dir):
     the arm's largest class and 1."""
     from .learn import experiment_report as report
 
-    ev = load_events(spark, sf_dir)
+    # labels, both arms' tuples and the report read the events
+    ev = stored_events(spark, sf_dir)
     labels = reliable_checkpoint(cohort.phenotype_labels(ev.dx, ev.med, ev.lab))
     parts = []
     for arm, filtered in (("all", False), ("filtered", True)):
-        own = _all_tuples(spark, sf_dir, filtered).select("patient_id").distinct().join(labels, "patient_id")
+        own = _all_tuples(spark, sf_dir, filtered, ev).select("patient_id").distinct().join(labels, "patient_id")
         sizes = own.groupBy("label").agg(F.count("*").alias("c"))
         parts.append(sizes.agg((F.max("c") / F.sum("c")).alias("share")).withColumn("arm", F.lit(arm)))
     found = report(ev.dx, ev.med, ev.lab, labels).join(parts[0].unionByName(parts[1]), "arm")

@@ -126,6 +126,14 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return out
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once, written as Parquet to the shared checkpoint folder and reread:
+    for rows that several steps read, where their order does not matter."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking that it has at most ``max_rows`` rows.
 

@@ -86,3 +86,16 @@ def test_set_operations_collapse_hot_keys_before_the_shuffle(spark, name):
 def test_no_python_on_the_executors(spark, name):
     plan, _ = _plan(spark, name)
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_the_experiment_extracts_its_events_once(spark, monkeypatch):
+    from phenoscope.plans import context
+
+    made = []
+    for name in ("extract_diagnoses", "extract_medications", "extract_labs"):
+        monkeypatch.setattr(context, name, lambda *a, f=getattr(context, name), n=name, **k: made.append(n) or f(*a, **k))
+    for query in ("experiment_certificate", "experiment_report"):
+        made.clear()
+        files = QUERIES[query](spark, SF_DIR).inputFiles()
+        assert sorted(made) == ["extract_diagnoses", "extract_labs", "extract_medications"]
+        assert not [f for f in files if SF_DIR in f]  # nothing is left to be extracted again
