@@ -328,22 +328,25 @@ def _staged_csv(spark, sf_dir, stems):
     whose first key ends in 0 there is a copy with a comma too many."""
     from ..session import scratch_path
     from ..sources.csv import RAW_COLUMNS, read_csv_table, write_csv_table
+    from .learn import run_concurrently
 
     raw = load_events(spark, sf_dir).raw
     root = scratch_path(spark, "raw-csv")
-    out = {}
-    for stem in stems:
+
+    def stage(stem):
         path = f"{root}/{stem}.csv"
         names = RAW_COLUMNS[stem]
+        rows = stored(raw[stem], stem)  # three writes read them
         half = F.pmod(F.xxhash64(*names), F.lit(2))
         backward = [F.col(c) for c in reversed(names)]
-        write_csv_table(raw[stem].where(half == 0).select(
+        write_csv_table(rows.where(half == 0).select(
             *backward[:1], F.lit("x, y").alias("Remark"), *backward[1:]), path)
-        write_csv_table(raw[stem].where(half == 1).select(*names), path, mode="append")
-        broken = raw[stem].where(F.col(names[0]).endswith("0")).select(F.lit("x,y").alias(names[0]), *names[1:])
+        write_csv_table(rows.where(half == 1).select(*names), path, mode="append")
+        broken = rows.where(F.col(names[0]).endswith("0")).select(F.lit("x,y").alias(names[0]), *names[1:])
         broken.write.mode("append").option("header", "true").option("quote", "").csv(path)
-        out[stem] = read_csv_table(spark, path, columns=names)
-    return out
+        return read_csv_table(spark, path, columns=names)
+
+    return dict(zip(stems, run_concurrently(spark, [functools.partial(stage, s) for s in stems])))
 
 
 @query

@@ -180,3 +180,25 @@ def test_compressed_files_and_empty_folders(spark, tmp_path):
         ("a", "1"), (None, "2")]
     (tmp_path / "none").mkdir()
     assert read_csv_table(spark, str(tmp_path / "none"), columns=("k",)).collect() == []
+
+
+def test_staging_computes_each_raw_extract_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from phenoscope.plans import queries
+    from phenoscope.plans.context import Events
+
+    computed = spark.sparkContext.accumulator(0)
+
+    def seen(code):
+        computed.add(1)
+        return code
+
+    raw = spark.createDataFrame([(str(i), f"c{i % 3}" if i % 5 else None) for i in range(40)], "Encounter_ID string, code string")
+    raw = raw.select("Encounter_ID", F.udf(seen)("code").alias("code"))
+    monkeypatch.setattr(queries, "load_events", lambda *_: Events({"encounter_dx_INPUT": raw}))
+    back = queries._staged_csv(spark, "", ["encounter_dx_INPUT"])["encounter_dx_INPUT"]
+    assert computed.value == 40
+    assert sorted((int(r.Encounter_ID), r.code) for r in back.collect()) == [
+        (i, f"c{i % 3}" if i % 5 else None) for i in range(40)]
+    assert spark.table("encounter_dx_INPUT_rejected").count() == 4
