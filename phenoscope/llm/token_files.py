@@ -14,7 +14,8 @@ sum per part, not a sort of the documents.
 Encoding goes by pieces of text: a piece ends before white space that follows something
 else, and behind a run of Latin letters.  The byte-level pattern never joins text across
 such a place, so the ids of a text are those of its pieces, and each different piece is
-encoded once per worker as long as its bounded memory holds it.  Text with other than the six ASCII blanks is encoded as a
+encoded once per worker as long as its bounded memory holds it; a text's unknown words of a
+blank and letters are encoded together.  Text with other than the six ASCII blanks is encoded as a
 whole, where a letter, digit or comma before a blank cuts a very long one.
 
 A null text is empty and gives the end id alone.  Rows that repeat an id are documents
@@ -62,6 +63,9 @@ _PIECE = re.compile(f"[ \t\n\v\f\r]*+[{_LETTER}]++(?![^\x00-\x7f])|[ \t\n\v\f\r]
 #: White space, and what some libraries take for it, beside the six ASCII blanks.
 _OTHER = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 _CUT = re.compile("[A-Za-z0-9,][ \n]")
+#: Pieces that are one word of the pattern wherever they stand, and the byte-level form of a blank.
+_WORD = re.compile(f" [{_LETTER}]+")
+_BLANK = "\u0120"
 
 
 def segments(text: str, limit: int = SEGMENT) -> Iterator[str]:
@@ -85,22 +89,42 @@ class Encoder:
     def __init__(self, tokenizer: Tokenizer):
         tokenizer.encode_special_tokens = True
         self.tokenizer = tokenizer
+        vocab = tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.opens[[i for token, i in vocab.items() if token.startswith(_BLANK)]] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.size = 0
 
+    def _one_by_one(self, pieces: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False) if pieces else ()
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Pieces of a blank and letters, encoded as one text: only the first token of each
+        starts with the blank."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        starts = np.flatnonzero(self.opens[ids])
+        if len(starts) != len(words) or starts[0]:
+            return self._one_by_one(words)
+        data, cut = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+        return [data[a:b] for a, b in zip(cut, cut[1:])]
+
     def _ids(self, pieces: list[str]) -> Iterator[bytes]:
-        unknown = [p for p in dict.fromkeys(pieces) if p not in self.known]
+        unknown = set(pieces).difference(self.known)
         if unknown:
             more = sum(map(len, unknown)) + 100 * len(unknown)
             if self.size + more > REMEMBERED:
                 self.older, self.known, self.size = self.known, {}, 0
-                unknown = list(dict.fromkeys(pieces))
+                unknown = set(pieces)
                 more = sum(map(len, unknown)) + 100 * len(unknown)
-            new = [p for p in unknown if p not in self.older]
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else ()
+            new = unknown.difference(self.older)
+            words = [p for p in new if _WORD.fullmatch(p)]
+            other = list(new.difference(words))
             self.known.update((p, self.older[p]) for p in unknown if p in self.older)
-            self.known.update(zip(new, (array("I", e.ids).tobytes() for e in found)))
+            self.known.update(zip(other, self._one_by_one(other)))
+            if words:
+                self.known.update(zip(words, self._words(words)))
             self.size += more
         return map(self.known.__getitem__, pieces)
 

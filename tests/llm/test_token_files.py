@@ -33,6 +33,32 @@ ODD = ["", " ", "\n\n", " a", "a  b", "a \n b", "it's we'll  don't ", "x \n\ny"
        "tab\t\ttab", "<|endoftext|> <|endoftext|>x", "\u00a0\u00e9 \u200b  q", "99 bottles, 1,000\r\n", "\ufeffhead \u2003 "]
 
 
+class _Counting:
+    def __init__(self, tokenizer, blank=True):
+        self.tokenizer, self.blank, self.texts = tokenizer, blank, 0
+
+    def get_vocab(self):
+        return self.tokenizer.get_vocab() if self.blank else {"a": 0, "b": 60_000}
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_unknown_words_of_a_text_are_encoded_together(plain):
+    words = [f"{a}{b}x\xe9" for a in "abcdefgh" for b in "qzjv"]
+    text = " ".join(words) + ", it's  two \xb5 \u01c5x \U0001f600 end\n last"
+    together = _Counting(Tokenizer.from_file(M.TOKENIZER))
+    encoder = M.Encoder(together)
+    for _ in range(2):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == plain(text)
+    assert together.texts < len(words)
+    # without tokens for blanks the words cannot be told apart, so each is encoded by itself
+    alone = _Counting(Tokenizer.from_file(M.TOKENIZER), blank=False)
+    assert np.frombuffer(M.Encoder(alone).encode(text), "<u4").tolist() == plain(text)
+    assert alone.texts > len(words)
+
+
 def test_pieces_give_the_ids_of_the_whole(plain, monkeypatch):
     encoder = M.Encoder(Tokenizer.from_file(M.TOKENIZER))
     for text in [*ODD, " ".join(ODD), "".join(ODD)]:
