@@ -12,10 +12,12 @@ running sum is known while a part is written in order, so the place among all id
 sum per part, not a sort of the documents.
 
 Encoding goes by pieces of text: a piece ends before white space that follows something
-else, and behind a run of Latin letters.  The byte-level pattern never joins text across
-such a place, so the ids of a text are those of its pieces, and each different piece is
-encoded once per worker as long as its bounded memory holds it; a text's unknown words of a
-blank and letters are encoded together.  Text with other than the six ASCII blanks is encoded as a
+else, and between a Latin letter and another ASCII character.  The byte-level pattern never
+joins text across such a place, so the ids of a text are those of its pieces.  Many texts are
+cut at once, by the kinds of neighbouring bytes; Arrow looks their
+pieces up among those remembered and puts the ids together.  Each different piece is encoded once
+per worker as long as its bounded memory holds it; unknown words of a blank and letters are encoded
+many together.  Text with other than the six ASCII blanks is encoded as a
 whole, where a letter, digit or comma before a blank cuts a very long one.
 
 A null text is empty and gives the end id alone.  Rows that repeat an id are documents
@@ -27,6 +29,7 @@ Strings of special tokens inside a text are ordinary text.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import zlib
@@ -36,10 +39,11 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from ..session import broadcast_if_small, scratch_path
 from .common import read_table, strings, text_slices
@@ -51,21 +55,31 @@ END = 0
 ROW_INDEX = 1_000
 STRIPE = 16 << 20
 FALSE_POSITIVES = 0.01
-#: What a worker's remembered pieces may take, twice: their characters and a hundred for each.
-REMEMBERED = 48 << 20
+#: Bytes that a worker's remembered pieces and their ids may take before the next texts.
+REMEMBERED = 12 << 20
 #: Characters of a text that are encoded at a time.
 SEGMENT = 1 << 20
+#: Characters of the texts that are cut at a time.
+SLICE = 4 << 20
+#: Unknown words that are encoded together.
+TOGETHER = 1_000
 
-#: Pieces end behind a run of Latin letters (unless another script's character follows, which
-#: may be a letter) and before blanks that follow something else.
 _LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-_PIECE = re.compile(f"[ \t\n\v\f\r]*+[{_LETTER}]++(?![^\x00-\x7f])|[ \t\n\v\f\r]*+[^ \t\n\v\f\r]+|[ \t\n\v\f\r]+")
+#: Kinds of bytes; those of non-ASCII characters and the ASCII separators may be white space.
+_SIGN, _LETTERS, _BLANKS, _ODD = range(4)
+_KINDS = bytes(_BLANKS if chr(i) in " \t\n\v\f\r" else _ODD if i > 0x7f or 0x1c <= i <= 0x1f
+               else _LETTERS if chr(i).isalpha() else _SIGN for i in range(256))
+#: First byte of the letters from \xc0 to \xff, second byte of the two signs among them.
+_LATIN, _LATIN_SIGNS = 0xc3, (0x97, 0xb7)
 #: White space, and what some libraries take for it, beside the six ASCII blanks.
 _OTHER = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 _CUT = re.compile("[A-Za-z0-9,][ \n]")
 #: Pieces that are one word of the pattern wherever they stand, and the byte-level form of a blank.
 _WORD = re.compile(f" [{_LETTER}]+")
 _BLANK = "\u0120"
+_BYTES = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+_LATIN_LETTERS = re.compile("[\xc0-\xff]")
+_LATIN_FORMS = {c: _BYTES.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xc0, 0x100))}
 
 
 def segments(text: str, limit: int = SEGMENT) -> Iterator[str]:
@@ -81,20 +95,59 @@ def segments(text: str, limit: int = SEGMENT) -> Iterator[str]:
         yield text[start:]
 
 
+def pieces(texts: list[str]) -> tuple[pa.StringArray, np.ndarray]:
+    """The pieces of texts, one text's after the other's, and their number before each text
+    and in all."""
+    data = [t.encode() for t in texts]
+    bounds = np.cumsum([0, *map(len, data)])
+    joined = b"".join([*data, b"\0"])
+    kind = np.frombuffer(joined.translate(_KINDS), np.uint8)
+    if not joined.isascii():
+        raw, kind = np.frombuffer(joined, np.uint8), kind.copy()
+        at = np.flatnonzero(raw == _LATIN)
+        at = at[~np.isin(raw[at + 1], _LATIN_SIGNS)]
+        kind[at] = kind[at + 1] = _LETTERS
+    left, right = kind[:-2], kind[1:-1]
+    cut = np.zeros(len(joined), bool)
+    cut[1:-1] = (right == _BLANKS) & (left != _BLANKS) | (left == _LETTERS) & (right == _SIGN)
+    for i in np.flatnonzero(np.maximum.reduceat(kind, bounds[:-1]) == _ODD):
+        if _OTHER.search(texts[i]):
+            cut[bounds[i]:bounds[i + 1]] = False
+    cut[bounds] = True
+    at = np.flatnonzero(cut)
+    found = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(joined))
+    return found, np.searchsorted(at, bounds)
+
+
+def word_tokenizer(tokenizer: str) -> Tokenizer | None:
+    """The same model for words of a blank and letters in byte-level form: the blank alone cuts
+    them, and without a cache, as none comes twice.  None if the pattern is another one."""
+    spec = json.loads(tokenizer)
+    cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    if (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex", True)) != ("ByteLevel", False, True) or spec.get("normalizer"):
+        return None
+    merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    options = {k: v for k, v in model.items() if v is not None and k not in ("type", "vocab", "merges")}
+    words = Tokenizer(models.BPE(model["vocab"], merges, cache_capacity=0, **options))
+    words.pre_tokenizer = pre_tokenizers.Split(_BLANK, "merged_with_next")
+    return words
+
+
 class Encoder:
     """Texts → little-endian 32-bit ids, with a bounded memory of pieces.
 
-    Pieces used since the memory was last full are kept when it is full again."""
+    Of a full memory the pieces used again since it was last full are kept; if they take more
+    than half of it, the earlier half of them."""
 
-    def __init__(self, tokenizer: Tokenizer):
+    def __init__(self, tokenizer: Tokenizer, words: Tokenizer | None = None):
+        """``words``: ``word_tokenizer`` of the same file."""
         tokenizer.encode_special_tokens = True
-        self.tokenizer = tokenizer
+        self.tokenizer, self.words = tokenizer, words
         vocab = tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values(), default=0) + 1, bool)
         self.opens[[i for token, i in vocab.items() if token.startswith(_BLANK)]] = True
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.size = 0
+        self.known, self.ids = pa.array([], pa.string()), pa.array([], pa.list_(pa.int32()))
+        self.used = np.zeros(0, bool)
 
     def _one_by_one(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False) if pieces else ()
@@ -103,33 +156,70 @@ class Encoder:
     def _words(self, words: list[str]) -> list[bytes]:
         """Pieces of a blank and letters, encoded as one text: only the first token of each
         starts with the blank."""
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        text = "".join(words)
+        if self.words:
+            if not text.isascii():
+                text = _LATIN_LETTERS.sub(lambda m: _LATIN_FORMS[m[0]], text)
+            text = text.replace(" ", _BLANK)
+        ids = np.array((self.words or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         starts = np.flatnonzero(self.opens[ids])
         if len(starts) != len(words) or starts[0]:
             return self._one_by_one(words)
         data, cut = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
         return [data[a:b] for a, b in zip(cut, cut[1:])]
 
-    def _ids(self, pieces: list[str]) -> Iterator[bytes]:
-        unknown = set(pieces).difference(self.known)
-        if unknown:
-            more = sum(map(len, unknown)) + 100 * len(unknown)
-            if self.size + more > REMEMBERED:
-                self.older, self.known, self.size = self.known, {}, 0
-                unknown = set(pieces)
-                more = sum(map(len, unknown)) + 100 * len(unknown)
-            new = unknown.difference(self.older)
-            words = [p for p in new if _WORD.fullmatch(p)]
-            other = list(new.difference(words))
-            self.known.update((p, self.older[p]) for p in unknown if p in self.older)
-            self.known.update(zip(other, self._one_by_one(other)))
-            if words:
-                self.known.update(zip(words, self._words(words)))
-            self.size += more
-        return map(self.known.__getitem__, pieces)
+    def _encoded(self, distinct: list[str]) -> pa.ListArray:
+        found = [b""] * len(distinct)
+        words, other = [], []
+        for i, p in enumerate(distinct):
+            (words if _WORD.fullmatch(p) else other).append(i)
+        for encode, new in (self._words, words), (self._one_by_one, other):
+            for a in range(0, len(new), TOGETHER):
+                at = new[a:a + TOGETHER]
+                for i, ids in zip(at, encode([distinct[i] for i in at])):
+                    found[i] = ids
+        ends = np.cumsum([0, *map(len, found)]) // 4
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
+
+    def _size(self) -> int:
+        return self.known.nbytes + self.ids.nbytes
+
+    def _keep(self, at: np.ndarray) -> None:
+        self.known, self.ids = self.known.take(pa.array(at)), self.ids.take(pa.array(at))
+
+    def _parts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self._size() > REMEMBERED:
+            at = np.flatnonzero(self.used)
+            self._keep(at)
+            if self._size() > REMEMBERED // 2:
+                self._keep(np.arange(len(at) // 2))
+            self.used = np.zeros(len(self.known), bool)
+        found, bounds = pieces(texts)
+        at = pc.fill_null(pc.index_in(found, self.known), -1).to_numpy()
+        unknown = at < 0
+        self.used[at[~unknown]] = True
+        if unknown.any():
+            new = found.filter(pa.array(unknown)).dictionary_encode()
+            at = at.copy()
+            at[unknown] = len(self.known) + new.indices.to_numpy()
+            self.ids = pa.concat_arrays([self.ids, self._encoded(new.dictionary.to_numpy(zero_copy_only=False).tolist())])
+            self.known = pa.concat_arrays([self.known, new.dictionary])
+            self.used = np.concatenate([self.used, np.zeros(len(new.dictionary), bool)])
+        taken = self.ids.take(pa.array(at))
+        return taken.flatten().to_numpy(), np.diff(taken.offsets.to_numpy()[bounds])
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts, one text's after the other's, and how many each has."""
+        parts = [(i, s) for i, t in enumerate(texts) for s in segments(t)]
+        ids, n = [np.zeros(0, "<i4")], np.zeros(len(texts), np.int64)
+        for a, b in text_slices([len(s) for _, s in parts], SLICE):
+            values, counts = self._parts([s for _, s in parts[a:b]])
+            ids.append(values)
+            np.add.at(n, [i for i, _ in parts[a:b]], counts)
+        return np.concatenate(ids), n
 
     def encode(self, text: str) -> bytes:
-        return b"".join(b"".join(self._ids([s] if _OTHER.search(s) else _PIECE.findall(s))) for s in segments(text))
+        return self.encode_all([text])[0].tobytes()
 
 
 @functools.lru_cache(maxsize=1)
@@ -137,7 +227,7 @@ def _encoder(tokenizer: str) -> Encoder:
     """The encoder of a Python worker, which the tasks that it runs share."""
     # Spark runs a task per core; threads of the library would only get in their way
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Encoder(Tokenizer.from_str(tokenizer))
+    return Encoder(Tokenizer.from_str(tokenizer), word_tokenizer(tokenizer))
 
 
 def _encoded(carried):
@@ -145,14 +235,13 @@ def _encoded(carried):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(carried.value)
         part, place = TaskContext.get().partitionId(), 0
-        end = np.array([END], "<u4").tobytes()
         for batch in batches:
             texts = strings(batch, "text")
-            for a, b in text_slices([len(t) for t in texts]):
-                ids = [encoder.encode(t) + end for t in texts[a:b]]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
+            for a, b in text_slices([len(t) for t in texts], SLICE):
+                ids, n = encoder.encode_all(texts[a:b])
+                values = pa.array(np.insert(ids, np.cumsum(n), END))
+                n += 1
                 ends = np.cumsum(n)
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(np.full(b - a, part, np.int32)),
                      pa.array(place + ends - n), pa.array(n),

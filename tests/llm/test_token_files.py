@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -59,6 +60,51 @@ def test_unknown_words_of_a_text_are_encoded_together(plain):
     assert alone.texts > len(words)
 
 
+class _Calls(_Counting):
+    calls = 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.calls += 1
+        return super().encode_batch_fast(texts, **options)
+
+
+def test_many_texts_are_cut_and_encoded_at_once(plain, monkeypatch):
+    with open(M.TOKENIZER, encoding="utf-8") as f:
+        source = f.read()
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choices("abcdezq\xe9\xd8\xdf", k=rng.randrange(1, 14))) for _ in range(30)) for _ in range(300)]
+    texts += [*ODD, "\xd7a\xf7b \xc3\u0120x", "", " ".join(ODD), "a,b.c don't\n\n x"] * 3
+    rng.shuffle(texts)
+    expected = [plain(t) for t in texts]
+    rest, words = _Calls(Tokenizer.from_str(source)), _Calls(M.word_tokenizer(source))
+    rest.tokenizer.encode_special_tokens = True
+    encoder = M.Encoder(rest, words)
+    ids, n = encoder.encode_all(texts)
+    assert n.tolist() == list(map(len, expected)) and ids.tolist() == sum(expected, [])
+    # not a call for each text, and no piece again
+    assert words.calls + rest.calls < 20
+    done = words.texts, rest.texts
+    assert encoder.encode_all(texts)[0].tolist() == ids.tolist() and (words.texts, rest.texts) == done
+
+    # a full memory keeps what was used again, and whatever it holds, the ids are the same
+    monkeypatch.setattr(M, "REMEMBERED", 4_000)
+    monkeypatch.setattr(M, "SLICE", 2_000)
+    monkeypatch.setattr(M, "TOGETHER", 7)
+    encoder = M.Encoder(Tokenizer.from_str(source), M.word_tokenizer(source))
+    for _ in range(2):
+        assert encoder.encode_all(texts)[0].tolist() == ids.tolist()
+        assert len(encoder.known) == len(encoder.ids) == len(encoder.used) < 1_000
+    assert encoder.encode_all([])[0].tolist() == encoder.encode_all(["", ""])[0].tolist() == []
+
+
+def test_words_are_cut_as_the_file_says(plain):
+    with open(M.TOKENIZER, encoding="utf-8") as f:
+        spec = json.load(f)
+    for change in {"use_regex": False}, {"add_prefix_space": True}:
+        assert M.word_tokenizer(json.dumps({**spec, "pre_tokenizer": {**spec["pre_tokenizer"], **change}})) is None
+    assert M.word_tokenizer(json.dumps({**spec, "normalizer": {"type": "Lowercase"}})) is None
+
+
 def test_pieces_give_the_ids_of_the_whole(plain, monkeypatch):
     encoder = M.Encoder(Tokenizer.from_file(M.TOKENIZER))
     for text in [*ODD, " ".join(ODD), "".join(ODD)]:
